@@ -45,12 +45,35 @@ def reconcile(
     Batches that landed but were never logged do not appear (see
     ``unregistered_batches``). A logged batch with no records has a NULL rate.
     """
-    joined = (
+    counts = (
         metadata.select(*BATCH_KEYS, "expected_record_count")
         .join(bronze_counts(bronze), on=BATCH_KEYS, how="left")
         .join(silver_counts(clean), on=BATCH_KEYS, how="left")
         .join(quarantine_counts(quarantine), on=BATCH_KEYS, how="left")
     )
+    return _finish(counts, as_of, threshold)
+
+
+def reconcile_tagged(
+    metadata: DataFrame, tagged: DataFrame, as_of=None, threshold: float = fixed.REJECT_RATE_WARNING_THRESHOLD
+) -> DataFrame:
+    """``reconcile`` when clean and quarantine are still the two halves of one tagged set.
+
+    The four counts per batch come from one aggregate over the tagged records
+    (one pass instead of three); the result equals ``reconcile`` over the split.
+    """
+    rejected = F.col("quality_status") == fixed.STATUS_REJECTED
+    counts = tagged.groupBy(*BATCH_KEYS).agg(
+        F.count(F.lit(1)).alias("bronze_record_count"),
+        count_when(F.col("quality_status") == fixed.STATUS_VALID).alias("silver_valid_count"),
+        count_when(rejected).alias("quarantine_count"),
+        count_when(rejected & (F.col("reject_reason") == "DUPLICATE_CDR_ID")).alias("duplicate_count"),
+    )
+    joined = metadata.select(*BATCH_KEYS, "expected_record_count").join(counts, on=BATCH_KEYS, how="left")
+    return _finish(joined, as_of, threshold)
+
+
+def _finish(joined: DataFrame, as_of, threshold: float) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     counts = joined.select(
         *BATCH_KEYS,
@@ -60,9 +83,10 @@ def reconcile(
             for c in ["bronze_record_count", "silver_valid_count", "quarantine_count", "duplicate_count"]
         ],
     )
-    return with_status(counts.withColumn("reject_rate", rate("quarantine_count", "bronze_record_count")), threshold).withColumn(
-        "reconciliation_ts", wall_clock(as_of)
-    ).select(*RECONCILIATION_COLUMNS)
+    rated = counts.withColumn("reject_rate", rate("quarantine_count", "bronze_record_count"))
+    return (
+        with_status(rated, threshold).withColumn("reconciliation_ts", wall_clock(as_of)).select(*RECONCILIATION_COLUMNS)
+    )
 
 
 def with_status(counts: DataFrame, threshold: float = fixed.REJECT_RATE_WARNING_THRESHOLD) -> DataFrame:

@@ -78,4 +78,6 @@ class LayerSet:
     def recon(self) -> DataFrame:
         if self._recon is not None:
             return self._recon
+        if self._clean is None and self._quarantine is None:
+            return reconcile.reconcile_tagged(self.metadata, self.tagged, as_of=self.as_of)
         return reconcile.reconcile(self.metadata, self.bronze, self.clean, self.quarantine, as_of=self.as_of)
