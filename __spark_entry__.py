@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from meterflow import fixed  # noqa: E402
 from meterflow.operators import quality, reconcile  # noqa: E402
-from meterflow.plans import reports  # noqa: E402
+from meterflow.plans import monitoring, reports  # noqa: E402
 from meterflow.plans.layerset import LayerSet  # noqa: E402
 from meterflow.plans.oracle import ORACLE_SQL  # noqa: E402
 from meterflow.sources import landing  # noqa: E402
@@ -96,6 +96,11 @@ _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     "daily_usage_summary": lambda ls: reports.daily_usage_summary(ls.hourly),
     "quality_by_source": lambda ls: reports.quality_by_source(ls.clean, ls.quarantine),
     "quarantine_sample": lambda ls: reports.quarantine_sample(ls.quarantine),
+    # monitoring (documented needs beyond the core reports)
+    "reconciliation_trend": lambda ls: monitoring.reconciliation_trend(ls.recon, ls.metadata),
+    "quality_scorecard": lambda ls: monitoring.quality_scorecard(ls.tagged),
+    "reject_rate_jumps": lambda ls: monitoring.reject_rate_jumps(ls.recon, ls.metadata),
+    "missing_batches": lambda ls: monitoring.missing_batches(ls.metadata),
 }
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import cached_property
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +24,7 @@ from meterflow.sources import fixture
 class LayerSet:
     spark: SparkSession
     bronze: DataFrame
-    metadata: DataFrame
+    metadata_source: DataFrame | Callable[[], DataFrame]
     as_of: object = None
     rules: list | None = None
     _clean: DataFrame | None = field(default=None, repr=False)
@@ -35,7 +36,7 @@ class LayerSet:
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, as_of=fixture.AS_OF, rules=None) -> "LayerSet":
         bronze = fixture.fixture_bronze(fixture.events(spark, sf_dir))
-        return cls(spark, bronze, fixture.fixture_metadata(spark, bronze), as_of=as_of, rules=rules)
+        return cls(spark, bronze, lambda: fixture.fixture_metadata(spark, bronze), as_of=as_of, rules=rules)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, as_of=None) -> "LayerSet":
@@ -54,6 +55,11 @@ class LayerSet:
             _recon=read_layer(spark, root, "gold_reconciliation_daily"),
         )
 
+    @cached_property
+    def metadata(self) -> DataFrame:
+        src = self.metadata_source
+        return src() if callable(src) else src
+
     @cached_property
     def tagged(self) -> DataFrame:
         return quality.tag_quality(self.bronze, rules=self.rules, as_of=self.as_of)

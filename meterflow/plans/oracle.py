@@ -224,6 +224,11 @@ _REASON_COUNTS = ",\n".join(
     f"       CAST(sum(CASE WHEN reject_reason = '{r}' THEN 1 ELSE 0 END) AS BIGINT) AS {r.lower()}_count" for r in fixed.RULE_REASONS
 )
 
+_SCORECARD_REASONS = ",\n".join(
+    f"       CAST(sum(CASE WHEN reject_reason = '{r}' THEN 1 ELSE 0 END) AS BIGINT) AS {r.lower()}_count"
+    for r in fixed.RULE_REASONS
+)
+
 ORACLE_SQL: dict[str, str] = {
     # sources
     "bronze_raw": with_(BRONZE, "SELECT * FROM bronze"),
@@ -413,4 +418,50 @@ ORACLE_SQL: dict[str, str] = {
         SILVER,
         "SELECT * FROM quarantine ORDER BY reject_ts DESC, source_system, cdr_id, reject_reason LIMIT 100",
     ),
+    # monitoring
+    "reconciliation_trend": with_(
+        RECON,
+        "SELECT CAST(m.arrival_ts AS DATE) AS arrival_date, count(*) AS batch_count, "
+        "CAST(sum(CASE WHEN r.reconciliation_status = 'RECONCILED' THEN 1 ELSE 0 END) AS BIGINT) AS reconciled_batches, "
+        "CAST(sum(CASE WHEN r.reconciliation_status = 'WARNING' THEN 1 ELSE 0 END) AS BIGINT) AS warning_batches, "
+        "CAST(sum(CASE WHEN r.reconciliation_status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed_batches, "
+        "CAST(sum(r.expected_record_count) AS BIGINT) AS expected_record_count, "
+        "CAST(sum(r.bronze_record_count) AS BIGINT) AS bronze_record_count, "
+        "CAST(sum(r.quarantine_count) AS BIGINT) AS quarantine_count, "
+        "round(sum(r.quarantine_count) / NULLIF(sum(r.bronze_record_count), 0), 4) AS reject_rate "
+        "FROM recon r JOIN metadata m ON r.batch_id = m.batch_id AND r.source_system = m.source_system "
+        "AND r.source_file = m.source_file GROUP BY CAST(m.arrival_ts AS DATE) ORDER BY arrival_date",
+    ),
+    "quality_scorecard": with_(
+        TAGGED,
+        "SELECT source_system, CAST(ingestion_ts AS DATE) AS load_date, count(*) AS total_records, "
+        "CAST(sum(CASE WHEN quality_status = 'VALID' THEN 1 ELSE 0 END) AS BIGINT) AS valid_records, "
+        "CAST(sum(CASE WHEN quality_status = 'REJECTED' THEN 1 ELSE 0 END) AS BIGINT) AS quarantined_records, "
+        "round(sum(CASE WHEN quality_status = 'REJECTED' THEN 1 ELSE 0 END) / count(*), 4) AS reject_rate,\n"
+        + _SCORECARD_REASONS
+        + "\nFROM tagged GROUP BY source_system, CAST(ingestion_ts AS DATE) ORDER BY source_system, load_date",
+    ),
+    "reject_rate_jumps": with_(
+        RECON,
+        ", jr AS (SELECT r.batch_id, r.source_system, m.arrival_ts, r.reject_rate, "
+        "CAST(round(r.reject_rate * 10000) AS BIGINT) AS bp FROM recon r JOIN metadata m "
+        "ON r.batch_id = m.batch_id AND r.source_system = m.source_system AND r.source_file = m.source_file), "
+        "jw AS (SELECT *, sum(bp) OVER w AS s, count(bp) OVER w AS n FROM jr "
+        "WINDOW w AS (PARTITION BY source_system ORDER BY arrival_ts, batch_id "
+        "ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)), "
+        "jp AS (SELECT *, CASE WHEN n > 0 THEN CAST(floor((s * 2 + n) / (n * 2)) AS BIGINT) END AS prev_bp FROM jw) "
+        "SELECT batch_id, source_system, arrival_ts, reject_rate, prev_bp / 10000.0 AS previous_avg_reject_rate, "
+        "coalesce(bp - prev_bp > 200, false) AS is_jump FROM jp",
+    ),
+    "missing_batches": with_(
+        METADATA,
+        ", logged AS (SELECT source_system, CAST(arrival_ts AS DATE) AS expected_date FROM metadata), "
+        "span AS (SELECT source_system, min(expected_date) AS d0, max(expected_date) AS d1 FROM logged "
+        "GROUP BY source_system), "
+        "sched AS (SELECT source_system, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) "
+        "AS expected_date FROM span) "
+        "SELECT s.source_system, s.expected_date FROM sched s WHERE NOT EXISTS (SELECT 1 FROM logged l "
+        "WHERE l.source_system = s.source_system AND l.expected_date = s.expected_date) "
+        "ORDER BY s.source_system, s.expected_date",
+    ),
 }
