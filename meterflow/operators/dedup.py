@@ -47,8 +47,20 @@ def repeated_keys(df: DataFrame, key=DEFAULT_KEY, order=DEFAULT_ORDER) -> DataFr
     return candidates.groupBy(*key).agg(F.count(F.lit(1)).alias("occurrences"), F.min(first).alias("first_order"))
 
 
-def flag_duplicates(df: DataFrame, key=DEFAULT_KEY, order=DEFAULT_ORDER, flag: str = "is_duplicate") -> DataFrame:
-    """``df`` plus a non-NULL boolean ``flag``: true for all but the first record of a key."""
+def flag_duplicates(
+    df: DataFrame,
+    key=DEFAULT_KEY,
+    order=DEFAULT_ORDER,
+    flag: str = "is_duplicate",
+    seen: DataFrame | None = None,
+) -> DataFrame:
+    """``df`` plus a non-NULL boolean ``flag``: true for all but the first record of a key.
+
+    ``seen`` (optional) holds records loaded earlier (at least the key columns);
+    a key found there makes every record of ``df`` with that key a duplicate.
+    Only the seen keys that also occur in ``df`` are kept (a semi join), so an
+    incremental load never deduplicates the whole history.
+    """
     key, order = list(key), list(order)
     reps = repeated_keys(df, key, order).select(
         *[F.col(k).alias(f"_dk_{i}") for i, k in enumerate(key)], F.col("first_order").alias("_first")
@@ -56,6 +68,17 @@ def flag_duplicates(df: DataFrame, key=DEFAULT_KEY, order=DEFAULT_ORDER, flag: s
     on = _on_key(df, reps, key, "_dk_")
     mine = F.struct(*[F.col(c) for c in order])
     out = df.join(reps, on=on, how="left")
-    return out.withColumn(flag, F.coalesce(mine != F.col("_first"), F.lit(False))).drop(
-        "_first", *[f"_dk_{i}" for i in range(len(key))]
-    )
+    dup = F.coalesce(mine != F.col("_first"), F.lit(False))
+    drop = ["_first", *[f"_dk_{i}" for i in range(len(key))]]
+    if seen is not None:
+        earlier = seen.select(*[F.col(k).alias(f"_sk_{i}") for i, k in enumerate(key)])
+        earlier = earlier.join(df, on=_on_seen(earlier, df, key), how="left_semi")
+        earlier = earlier.groupBy(*[f"_sk_{i}" for i in range(len(key))]).agg(F.lit(True).alias("_seen"))
+        out = out.join(earlier, on=_on_key(out, earlier, key, "_sk_"), how="left")
+        dup = dup | F.coalesce(F.col("_seen"), F.lit(False))
+        drop += ["_seen", *[f"_sk_{i}" for i in range(len(key))]]
+    return out.withColumn(flag, dup).drop(*drop)
+
+
+def _on_seen(earlier: DataFrame, df: DataFrame, key: list[str]):
+    return reduce(lambda a, b: a & b, [earlier[f"_sk_{i}"].eqNullSafe(df[k]) for i, k in enumerate(key)])

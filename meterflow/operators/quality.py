@@ -84,15 +84,17 @@ def tag_quality(
     as_of=None,
     key=DEFAULT_KEY,
     order=DEFAULT_ORDER,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Typed bronze with ``is_duplicate``, ``reject_reason`` and ``quality_status``.
 
     Duplicates are ranked over all records, before the other rules, so a
-    repeated key whose first copy is invalid has no clean record.
+    repeated key whose first copy is invalid has no clean record. ``seen``
+    holds records of earlier loads (incremental runs): their keys count first.
     """
     rules = rules or default_rules()
     typed = standardise(bronze, as_of)
-    flagged = flag_duplicates(typed, key, order)
+    flagged = flag_duplicates(typed, key, order, seen=seen)
     reason = reject_reason(rules)
     return flagged.withColumn("reject_reason", reason).withColumn(
         "quality_status",

@@ -25,6 +25,10 @@ LAYOUT: dict[str, list[str]] = {
     "gold_reconciliation_daily": [],
 }
 
+# Layout of the incremental (streaming) tier: silver is kept per batch too, so
+# a retried micro-batch replaces exactly what it wrote before.
+STREAM_LAYOUT: dict[str, list[str]] = {**LAYOUT, "silver_cdr_clean": ["batch_id"]}
+
 # Tables read with a fixed schema (their partition column is part of it).
 SCHEMAS = {"bronze_cdr_raw": BRONZE_SCHEMA, "metadata_ingestion_log": METADATA_SCHEMA}
 
@@ -44,14 +48,16 @@ def layer_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def write_layer(df: DataFrame, root: str, table: str, dynamic: bool = False, rebalance: bool = True) -> None:
+def write_layer(
+    df: DataFrame, root: str, table: str, dynamic: bool = False, rebalance: bool = True, layout: dict | None = None
+) -> None:
     """Write ``df`` as ``table``; ``dynamic`` replaces only the partitions it holds.
 
     ``rebalance`` adds an AQE rebalance on the partition columns first: skewed
     partitions are split and small ones merged, so file sizes follow the
     advisory size whatever the upstream partitioning was.
     """
-    parts = LAYOUT[table]
+    parts = (layout or LAYOUT)[table]
     out = df.hint("rebalance", *parts) if (rebalance and parts) else df
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if parts:
