@@ -19,43 +19,20 @@ _BRONZE_COLS = (
     "start_time_raw, duration_raw, cell_id, switch_id, roaming_flag, charge_amount_raw, currency"
 )
 
+_RECORDS = ",\n    ".join(f"{expr} AS {name}" for name, expr in fixture.RECORD_COLUMNS)
+
 BRONZE = f"""
-ev AS (
-  SELECT event_id AS e, user_id AS u, event_type AS t, ts,
-         replace(substr(CAST(ts AS VARCHAR), 1, 10), '-', '') AS d,
-         CASE event_id % 3 WHEN 0 THEN 'MEDIATION_A' WHEN 1 THEN 'MEDIATION_B' ELSE 'ROAMING_PARTNER' END AS src
-  FROM events
-),
+ev AS (SELECT {", ".join(fixture.EVENT_COLUMNS)} FROM events),
 proj AS (
   SELECT e,
-    'BATCH_' || d || '_000000_' || src AS batch_id,
-    src AS source_system,
-    'cdr_' || lower(src) || '_' || d || '_000000.csv' AS source_file,
-    src || '_' || CAST(e AS VARCHAR) AS cdr_id,
-    CASE WHEN e % 61 = 13 THEN NULL WHEN e % 503 = 27 THEN '  '
-         ELSE '9053' || lpad(CAST(u AS VARCHAR), 7, '0') END AS subscriber_msisdn,
-    '9054' || lpad(CAST((e * 7919) % 10000000 AS VARCHAR), 7, '0') AS other_party_msisdn,
-    CASE WHEN e % 997 = 5 THEN NULL WHEN e % 67 = 3 THEN 'MMS'
-         WHEN t = 'click' THEN 'VOICE' WHEN t = 'view' THEN 'SMS' WHEN t = 'purchase' THEN 'DATA'
-         WHEN t = 'signup' THEN 'ROAMING' WHEN t = 'error' THEN 'VOICE' END AS event_type,
-    CASE WHEN e % 41 = 4 THEN 'invalid_timestamp' ELSE substr(CAST(ts AS VARCHAR), 1, 19) END AS start_time_raw,
-    CASE WHEN e % 83 = 5 THEN '0' WHEN e % 83 = 6 THEN '-10' WHEN e % 409 = 7 THEN 'abc'
-         ELSE CAST(1 + (e * 13) % 600 AS VARCHAR) END AS duration_raw,
-    'CELL_' || CAST(100 + e % 900 AS VARCHAR) AS cell_id,
-    'SW_' || CAST(1 + e % 20 AS VARCHAR) AS switch_id,
-    CASE WHEN e % 101 = 3 THEN 'X' WHEN t = 'signup' OR src = 'ROAMING_PARTNER' OR e % 4 = 0 THEN 'Y' ELSE 'N' END
-      AS roaming_flag,
-    CASE WHEN e % 71 = 9 THEN '-' ELSE '' END || CAST(1 + e % 24 AS VARCHAR) || '.'
-      || lpad(CAST((e * 37) % 100 AS VARCHAR), 2, '0') AS charge_amount_raw,
-    'TRY' AS currency,
-    CAST(ts AS TIMESTAMP) AS ingestion_ts
+    {_RECORDS}
   FROM ev
 ),
 bronze AS (
   SELECT {_BRONZE_COLS}, ingestion_ts, e * 2 AS ingest_seq FROM proj
   UNION ALL
-  SELECT {_BRONZE_COLS}, ingestion_ts + INTERVAL 1 MINUTE AS ingestion_ts, e * 2 + 1 AS ingest_seq
-  FROM proj WHERE e % 89 = 1
+  SELECT {_BRONZE_COLS}, ingestion_ts + INTERVAL {fixture.COPY_DELAY_SECONDS} SECOND AS ingestion_ts, e * 2 + 1 AS ingest_seq
+  FROM proj WHERE e % {fixture.COPY_EVERY} = {fixture.COPY_REMAINDER}
 )"""
 
 TAGGED = (

@@ -11,11 +11,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow import fixed
-from meterflow.functions import naming
 from meterflow.schemas import BATCH_KEYS, BRONZE_COLUMNS, METADATA_COLUMNS
 
 # Fixture parameters.
@@ -28,74 +27,85 @@ EMPTY_BATCH_EXPECTED = 100
 COPY_DELAY_SECONDS = 60  # copies land one minute after their original
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def _when_chain(pairs: list[tuple[Column, Column | str | None]], otherwise) -> Column:
-    expr = None
-    for cond, value in pairs:
-        v = value if isinstance(value, Column) else F.lit(value)
-        expr = F.when(cond, v) if expr is None else expr.when(cond, v)
-    return expr.otherwise(otherwise if isinstance(otherwise, Column) else F.lit(otherwise))
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's ``events`` table, read with its known schema (no inference job)."""
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+
+
+# The projection, as SQL expressions that Spark and DuckDB both accept, so the
+# Spark fixture and the DuckDB oracle share one definition. ``e, u, t, ts`` are
+# the event columns, ``d`` the event day (yyyyMMdd, built from integers: the
+# same text as the first ten characters of the timestamp without dashes, at a
+# fraction of the cost), ``src`` the source system.
+EVENT_COLUMNS = [
+    "event_id AS e",
+    "user_id AS u",
+    "event_type AS t",
+    "ts",
+    "CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS STRING) AS d",
+    "CASE event_id % 3 WHEN 0 THEN 'MEDIATION_A' WHEN 1 THEN 'MEDIATION_B' ELSE 'ROAMING_PARTNER' END AS src",
+]
+RECORD_COLUMNS = [
+    ("batch_id", "'BATCH_' || d || '_000000_' || src"),
+    ("source_system", "src"),
+    ("source_file", "'cdr_' || lower(src) || '_' || d || '_000000.csv'"),
+    ("cdr_id", "src || '_' || CAST(e AS STRING)"),
+    (
+        "subscriber_msisdn",
+        "CASE WHEN e % 61 = 13 THEN NULL WHEN e % 503 = 27 THEN '  ' "
+        "ELSE '9053' || lpad(CAST(u AS STRING), 7, '0') END",
+    ),
+    ("other_party_msisdn", "'9054' || lpad(CAST((e * 7919) % 10000000 AS STRING), 7, '0')"),
+    (
+        "event_type",
+        "CASE WHEN e % 997 = 5 THEN NULL WHEN e % 67 = 3 THEN 'MMS' "
+        "WHEN t = 'click' THEN 'VOICE' WHEN t = 'view' THEN 'SMS' WHEN t = 'purchase' THEN 'DATA' "
+        "WHEN t = 'signup' THEN 'ROAMING' WHEN t = 'error' THEN 'VOICE' END",
+    ),
+    ("start_time_raw", "CASE WHEN e % 41 = 4 THEN 'invalid_timestamp' ELSE substr(CAST(ts AS STRING), 1, 19) END"),
+    (
+        "duration_raw",
+        "CASE WHEN e % 83 = 5 THEN '0' WHEN e % 83 = 6 THEN '-10' WHEN e % 409 = 7 THEN 'abc' "
+        "ELSE CAST(1 + (e * 13) % 600 AS STRING) END",
+    ),
+    ("cell_id", "'CELL_' || CAST(100 + e % 900 AS STRING)"),
+    ("switch_id", "'SW_' || CAST(1 + e % 20 AS STRING)"),
+    (
+        "roaming_flag",
+        "CASE WHEN e % 101 = 3 THEN 'X' WHEN t = 'signup' OR src = 'ROAMING_PARTNER' OR e % 4 = 0 THEN 'Y' ELSE 'N' END",
+    ),
+    (
+        "charge_amount_raw",
+        "CASE WHEN e % 71 = 9 THEN '-' ELSE '' END || CAST(1 + e % 24 AS STRING) || '.' "
+        "|| lpad(CAST((e * 37) % 100 AS STRING), 2, '0')",
+    ),
+    ("currency", "'TRY'"),
+    ("ingestion_ts", "CAST(ts AS TIMESTAMP)"),
+]
+COPY_EVERY = 89  # events with e % 89 = 1 land twice
+COPY_REMAINDER = 1
 
 
 def fixture_bronze(ev: DataFrame) -> DataFrame:
-    """Bronze rows (schema ``BRONZE_SCHEMA``) from ``events``; copies appended."""
-    e, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    ts_text = F.col("ts").cast("string")
-    day = F.regexp_replace(F.substring(ts_text, 1, 10), "-", "")
-    src = _when_chain([(e % 3 == 0, "MEDIATION_A"), (e % 3 == 1, "MEDIATION_B")], "ROAMING_PARTNER")
-    stamp = F.concat(day, F.lit("_000000"))
-
-    base = ev.select(
-        e.alias("_e"),
-        naming.batch_id(stamp, src).alias("batch_id"),
-        src.alias("source_system"),
-        naming.source_file(stamp, src).alias("source_file"),
-        naming.cdr_key(src, e).alias("cdr_id"),
-        _when_chain([(e % 61 == 13, None), (e % 503 == 27, "  ")], naming.msisdn(naming.SUBSCRIBER_PREFIX, u)).alias(
-            "subscriber_msisdn"
-        ),
-        naming.msisdn(naming.OTHER_PARTY_PREFIX, (e * 7919) % 10000000).alias("other_party_msisdn"),
-        _when_chain(
-            [
-                (e % 997 == 5, None),
-                (e % 67 == 3, "MMS"),
-                (t == "click", "VOICE"),
-                (t == "view", "SMS"),
-                (t == "purchase", "DATA"),
-                (t == "signup", "ROAMING"),
-                (t == "error", "VOICE"),
-            ],
-            None,
-        ).alias("event_type"),
-        F.when(e % 41 == 4, F.lit("invalid_timestamp")).otherwise(F.substring(ts_text, 1, 19)).alias("start_time_raw"),
-        _when_chain(
-            [(e % 83 == 5, "0"), (e % 83 == 6, "-10"), (e % 409 == 7, "abc")],
-            (F.lit(1) + (e * 13) % 600).cast("string"),
-        ).alias("duration_raw"),
-        F.concat(F.lit("CELL_"), (F.lit(100) + e % 900).cast("string")).alias("cell_id"),
-        F.concat(F.lit("SW_"), (F.lit(1) + e % 20).cast("string")).alias("switch_id"),
-        _when_chain(
-            [(e % 101 == 3, "X"), ((t == "signup") | (src == "ROAMING_PARTNER") | (e % 4 == 0), "Y")], "N"
-        ).alias("roaming_flag"),
-        F.concat(
-            F.when(e % 71 == 9, F.lit("-")).otherwise(F.lit("")),
-            (F.lit(1) + e % 24).cast("string"),
-            F.lit("."),
-            F.lpad(((e * 37) % 100).cast("string"), 2, "0"),
-        ).alias("charge_amount_raw"),
-        F.lit("TRY").alias("currency"),
-        F.col("ts").cast("timestamp").alias("ingestion_ts"),
-    )
-    originals = base.withColumn("ingest_seq", F.col("_e") * 2)
-    copies = (
-        base.where(F.col("_e") % 89 == 1)
-        .withColumn("ingestion_ts", F.timestamp_add("SECOND", F.lit(COPY_DELAY_SECONDS), F.col("ingestion_ts")))
-        .withColumn("ingest_seq", F.col("_e") * 2 + 1)
+    """Bronze rows (schema ``BRONZE_SCHEMA``) from ``events``: one narrow map over one scan.
+
+    Every event lands once; every 89th lands again a minute later, so each
+    event row expands to its copies (0, or 0 and 1) instead of a second scan.
+    """
+    records = ev.selectExpr(*EVENT_COLUMNS).selectExpr(
+        "e",
+        *[f"{expr} AS {name}" for name, expr in RECORD_COLUMNS],
+        f"explode(CASE WHEN e % {COPY_EVERY} = {COPY_REMAINDER} THEN array(0, 1) ELSE array(0) END) AS copy_no",
     )
-    return originals.unionByName(copies).select(*BRONZE_COLUMNS)
+    return records.withColumns(
+        {
+            "ingestion_ts": F.timestamp_add("SECOND", F.col("copy_no") * COPY_DELAY_SECONDS, F.col("ingestion_ts")),
+            "ingest_seq": F.col("e") * 2 + F.col("copy_no"),
+        }
+    ).select(*BRONZE_COLUMNS)
 
 
 def fixture_control(spark: SparkSession, bronze: DataFrame) -> DataFrame:
