@@ -57,6 +57,35 @@ OPTIONAL_RULES = {
 }
 
 
+@dataclass(frozen=True)
+class ReferenceCheck:
+    """Reject a record whose ``column`` is not NULL and not among ``reference[ref_column]``.
+
+    Reference tables (cells, roaming partners) are dimension tables; their
+    distinct keys are left-joined, and AQE broadcasts them when small.
+    """
+
+    rule_id: str
+    reason: str
+    column: str
+    reference: DataFrame
+    ref_column: str | None = None
+
+    @property
+    def flag(self) -> str:
+        return f"_unknown_{self.column}"
+
+    def rule(self) -> Rule:
+        return Rule(self.rule_id, self.reason, lambda: F.col(self.flag))
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        keys = self.reference.select(F.col(self.ref_column or self.column).alias("_ref_key")).distinct()
+        hit = keys.withColumn("_ref_hit", F.lit(True))
+        out = df.join(hit, df[self.column] == hit["_ref_key"], "left")
+        unknown = F.col(self.column).isNotNull() & F.col("_ref_hit").isNull()
+        return out.withColumn(self.flag, unknown).drop("_ref_key", "_ref_hit")
+
+
 def default_rules(null_event_type: str = "pass", extra: list[Rule] | None = None) -> list[Rule]:
     """The six rules in priority order; ``extra`` rules go before the duplicate rule."""
     rules = []
@@ -85,21 +114,29 @@ def tag_quality(
     key=DEFAULT_KEY,
     order=DEFAULT_ORDER,
     seen: DataFrame | None = None,
+    reference_checks: list[ReferenceCheck] | None = None,
 ) -> DataFrame:
     """Typed bronze with ``is_duplicate``, ``reject_reason`` and ``quality_status``.
 
     Duplicates are ranked over all records, before the other rules, so a
     repeated key whose first copy is invalid has no clean record. ``seen``
     holds records of earlier loads (incremental runs): their keys count first.
+    ``reference_checks`` add reference-data rules, ahead of the duplicate rule.
     """
     rules = rules or default_rules()
+    checks = reference_checks or []
+    if checks:
+        rules = rules[:-1] + [c.rule() for c in checks] + rules[-1:]
     typed = standardise(bronze, as_of)
+    for check in checks:
+        typed = check.apply(typed)
     flagged = flag_duplicates(typed, key, order, seen=seen)
     reason = reject_reason(rules)
-    return flagged.withColumn("reject_reason", reason).withColumn(
+    out = flagged.withColumn("reject_reason", reason).withColumn(
         "quality_status",
         F.when(F.col("reject_reason").isNull(), F.lit(fixed.STATUS_VALID)).otherwise(F.lit(fixed.STATUS_REJECTED)),
     )
+    return out.drop(*[c.flag for c in checks])
 
 
 def clean_records(tagged: DataFrame) -> DataFrame:

@@ -36,7 +36,10 @@ def read_landing(
         paths = [f"{p.rstrip('/')}/{DATED_GLOB}" for p in paths]
     reader = spark.read.schema(LANDING_SCHEMA).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("mode", "PERMISSIVE")
+        # Raw strings are kept as sent: no trimming (a blank number must stay blank).
+        reader = reader.options(
+            header="true", mode="PERMISSIVE", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        )
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     raw = reader.load(paths)

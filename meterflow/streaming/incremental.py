@@ -30,7 +30,7 @@ from meterflow.sources.tables import STREAM_LAYOUT, layer_path, read_layer, writ
 def landing_stream(spark: SparkSession, path: str, fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(LANDING_SCHEMA).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(path)

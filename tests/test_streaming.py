@@ -16,7 +16,7 @@ LANDING_COLS = [f.name for f in LANDING_SCHEMA.fields]
 
 
 def land(bronze, path, files):
-    bronze.select(*LANDING_COLS).repartition(files, "batch_id").write.option("header", "true").csv(path)
+    bronze.select(*LANDING_COLS).repartition(files, "batch_id").write.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
 
 
 def outcome(df):
