@@ -18,7 +18,8 @@ from meterflow import fixed
 from meterflow.functions.parsing import is_blank, wall_clock
 from meterflow.operators.dedup import DEFAULT_KEY, DEFAULT_ORDER, flag_duplicates
 from meterflow.operators.standardise import standardise
-from meterflow.schemas import BRONZE_COLUMNS, SILVER_CLEAN_COLUMNS, SILVER_QUARANTINE_COLUMNS
+from meterflow import schemas
+from meterflow.schemas import SILVER_CLEAN_COLUMNS, SILVER_QUARANTINE_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -158,16 +159,4 @@ def duplicate_records(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col("is_duplicate")).select("batch_id", "source_system", "source_file", "cdr_id", "is_duplicate")
 
 
-TAGGED_COLUMNS = BRONZE_COLUMNS + [
-    "event_ts",
-    "event_date",
-    "event_hour",
-    "duration_sec",
-    "charge_amount",
-    "roaming_flag_bool",
-    "record_hash",
-    "processed_ts",
-    "is_duplicate",
-    "reject_reason",
-    "quality_status",
-]
+TAGGED_COLUMNS = schemas.TAGGED_COLUMNS

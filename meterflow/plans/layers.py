@@ -1,15 +1,16 @@
 """Build and write the seven layer tables; replay batches idempotently.
 
 Order: ingestion log and bronze are written first, so ``ingest_seq`` is fixed
-before anything ranks on it; silver is tagged from the written bronze, kept
-(memory, spilling to disk; rebuilt from the bronze table if an executor is
-lost) for its two writes; gold reads the written clean table; reconciliation
-reads the four written tables, so it checks what actually landed on storage.
+before anything ranks on it; the tagging result is written once
+(``silver_cdr_tagged``, per quality status), which cuts the lineage on shared
+storage: clean and quarantine are then narrow reads of one partition each,
+and a lost executor never sends the job back to the duplicate ranking. Gold
+reads the written clean table; reconciliation reads the four written tables,
+so it checks what actually landed on storage.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.operators import quality, reconcile, usage
@@ -32,12 +33,10 @@ def build_downstream(spark: SparkSession, root: str, as_of=None, rules=None) ->
     Duplicate ranking and gold span batches, so these layers are rebuilt whole.
     """
     bronze = read_layer(spark, root, "bronze_cdr_raw")
-    tagged = quality.tag_quality(bronze, rules=rules, as_of=as_of).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_layer(quality.clean_records(tagged), root, "silver_cdr_clean")
-        write_layer(quality.quarantine_records(tagged, as_of), root, "silver_cdr_quarantine")
-    finally:
-        tagged.unpersist()
+    write_layer(quality.tag_quality(bronze, rules=rules, as_of=as_of), root, "silver_cdr_tagged")
+    tagged = read_layer(spark, root, "silver_cdr_tagged")
+    write_layer(quality.clean_records(tagged), root, "silver_cdr_clean")
+    write_layer(quality.quarantine_records(tagged, as_of), root, "silver_cdr_quarantine")
 
     clean = read_layer(spark, root, "silver_cdr_clean")
     write_layer(usage.usage_hourly(clean), root, "gold_cdr_usage_hourly")

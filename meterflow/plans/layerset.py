@@ -27,6 +27,7 @@ class LayerSet:
     metadata_source: DataFrame | Callable[[], DataFrame]
     as_of: object = None
     rules: list | None = None
+    _tagged: DataFrame | None = field(default=None, repr=False)
     _clean: DataFrame | None = field(default=None, repr=False)
     _quarantine: DataFrame | None = field(default=None, repr=False)
     _hourly: DataFrame | None = field(default=None, repr=False)
@@ -48,6 +49,7 @@ class LayerSet:
             read_layer(spark, root, "bronze_cdr_raw"),
             read_layer(spark, root, "metadata_ingestion_log"),
             as_of=as_of,
+            _tagged=read_layer(spark, root, "silver_cdr_tagged"),
             _clean=read_layer(spark, root, "silver_cdr_clean"),
             _quarantine=read_layer(spark, root, "silver_cdr_quarantine"),
             _hourly=read_layer(spark, root, "gold_cdr_usage_hourly"),
@@ -62,6 +64,8 @@ class LayerSet:
 
     @cached_property
     def tagged(self) -> DataFrame:
+        if self._tagged is not None:
+            return self._tagged
         return quality.tag_quality(self.bronze, rules=self.rules, as_of=self.as_of)
 
     @cached_property

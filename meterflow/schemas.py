@@ -59,6 +59,21 @@ METADATA_SCHEMA = T.StructType(
 )
 METADATA_COLUMNS = [f.name for f in METADATA_SCHEMA.fields]
 
+# Every bronze record with its typed values, duplicate flag and verdict.
+TAGGED_COLUMNS = BRONZE_COLUMNS + [
+    "event_ts",
+    "event_date",
+    "event_hour",
+    "duration_sec",
+    "charge_amount",
+    "roaming_flag_bool",
+    "record_hash",
+    "processed_ts",
+    "is_duplicate",
+    "reject_reason",
+    "quality_status",
+]
+
 SILVER_CLEAN_COLUMNS = [
     "batch_id",
     "source_system",

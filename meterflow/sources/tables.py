@@ -18,6 +18,7 @@ from meterflow.schemas import BRONZE_SCHEMA, METADATA_SCHEMA
 LAYOUT: dict[str, list[str]] = {
     "metadata_ingestion_log": [],
     "bronze_cdr_raw": ["batch_id"],
+    "silver_cdr_tagged": ["quality_status"],
     "silver_cdr_clean": ["event_date"],
     "silver_cdr_quarantine": ["batch_id"],
     "gold_cdr_usage_hourly": ["usage_date"],
@@ -36,6 +37,7 @@ SCHEMAS = {"bronze_cdr_raw": BRONZE_SCHEMA, "metadata_ingestion_log": METADATA_S
 COLUMNS = {
     "metadata_ingestion_log": schemas.METADATA_COLUMNS,
     "bronze_cdr_raw": schemas.BRONZE_COLUMNS,
+    "silver_cdr_tagged": schemas.TAGGED_COLUMNS,
     "silver_cdr_clean": schemas.SILVER_CLEAN_COLUMNS,
     "silver_cdr_quarantine": schemas.SILVER_QUARANTINE_COLUMNS,
     "gold_cdr_usage_hourly": schemas.GOLD_HOURLY_COLUMNS,

@@ -27,6 +27,7 @@ def test_write_read_and_replay(spark, scratch):
     assert disk.recon.exceptAll(mem.recon).count() == 0
     assert disk.hourly.exceptAll(mem.hourly).count() == 0
     assert reports.layer_counts(disk).exceptAll(reports.layer_counts(mem)).count() == 0
+    assert reports.quality_metrics(disk.tagged).exceptAll(reports.quality_metrics(mem.tagged)).count() == 0
 
     # Replay one batch: only its bronze partition is replaced; result identical.
     one = mem.bronze.where(F.col("batch_id") == "BATCH_20240105_000000_MEDIATION_B")
