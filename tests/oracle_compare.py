@@ -35,7 +35,7 @@ def norm(v) -> str:
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9))
+        return repr(v)
     if isinstance(v, decimal.Decimal):
         return repr(round(float(v), 9))
     if isinstance(v, dt.datetime):
