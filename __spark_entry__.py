@@ -101,6 +101,7 @@ _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     "quality_scorecard": lambda ls: monitoring.quality_scorecard(ls.tagged),
     "reject_rate_jumps": lambda ls: monitoring.reject_rate_jumps(ls.recon, ls.metadata),
     "missing_batches": lambda ls: monitoring.missing_batches(ls.metadata),
+    "sequence_overlaps": lambda ls: monitoring.sequence_overlaps(ls.clean),
 }
 
 

@@ -97,3 +97,52 @@ def missing_batches(metadata: DataFrame) -> DataFrame:
     return schedule.join(logged, on=["source_system", "expected_date"], how="left_anti").orderBy(
         "source_system", "expected_date"
     )
+
+
+SEQUENCE_ORDER = ["event_ts", "source_system", "cdr_id"]  # total within a subscriber (clean keys are unique)
+
+
+def sequence_overlaps(clean: DataFrame, chunks: int | None = None) -> DataFrame:
+    """Events that start before the subscriber's previous event has ended.
+
+    The previous event is ``lag`` over the subscriber's events by time. To keep
+    a subscriber with a third of all records out of a single task, records are
+    range-partitioned on (subscriber, time, key) into ``chunks`` -- a hot
+    subscriber spreads over many chunks -- and ``lag`` runs per (chunk,
+    subscriber). The first record of a subscriber in a chunk then takes the
+    last record of the previous non-empty chunk if it is the same subscriber:
+    that carry table has one row per chunk, a size fixed by ``chunks``, so it is
+    broadcast.
+    """
+    n = chunks or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    events = clean.select(
+        "subscriber_msisdn",
+        *SEQUENCE_ORDER,
+        F.timestamp_add("SECOND", F.col("duration_sec"), F.col("event_ts")).alias("event_end"),
+    )
+    ranged = events.repartitionByRange(n, "subscriber_msisdn", *SEQUENCE_ORDER).withColumn(
+        "_chunk", F.spark_partition_id()
+    )
+    w = Window.partitionBy("_chunk", "subscriber_msisdn").orderBy(*SEQUENCE_ORDER)
+    within = ranged.withColumns(
+        {
+            "_prev_cdr": F.lag("cdr_id").over(w),
+            "_prev_src": F.lag("source_system").over(w),
+            "_prev_end": F.lag("event_end").over(w),
+        }
+    )
+    last_row = F.struct("subscriber_msisdn", *SEQUENCE_ORDER, "event_end")
+    per_chunk = ranged.groupBy("_chunk").agg(F.max(last_row).alias("_last"))
+    carry = per_chunk.select("_chunk", F.lag("_last").over(Window.orderBy("_chunk")).alias("_carry"))
+    joined = within.join(F.broadcast(carry), on="_chunk", how="left")
+    use_carry = F.col("_prev_end").isNull() & (F.col("_carry.subscriber_msisdn") == F.col("subscriber_msisdn"))
+    out = joined.select(
+        "subscriber_msisdn",
+        "source_system",
+        "cdr_id",
+        "event_ts",
+        F.when(use_carry, F.col("_carry.source_system")).otherwise(F.col("_prev_src")).alias("previous_source_system"),
+        F.when(use_carry, F.col("_carry.cdr_id")).otherwise(F.col("_prev_cdr")).alias("previous_cdr_id"),
+        F.when(use_carry, F.col("_carry.event_end")).otherwise(F.col("_prev_end")).alias("previous_end_ts"),
+    )
+    return out.where(F.col("event_ts") < F.col("previous_end_ts"))

@@ -441,4 +441,12 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE l.source_system = s.source_system AND l.expected_date = s.expected_date) "
         "ORDER BY s.source_system, s.expected_date",
     ),
+    "sequence_overlaps": with_(
+        SILVER,
+        ", seq AS (SELECT subscriber_msisdn, source_system, cdr_id, event_ts, "
+        "lag(source_system) OVER w AS previous_source_system, lag(cdr_id) OVER w AS previous_cdr_id, "
+        "lag(event_ts + to_seconds(duration_sec)) OVER w AS previous_end_ts FROM clean "
+        "WINDOW w AS (PARTITION BY subscriber_msisdn ORDER BY event_ts, source_system, cdr_id)) "
+        "SELECT * FROM seq WHERE event_ts < previous_end_ts",
+    ),
 }
