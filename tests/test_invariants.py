@@ -61,3 +61,25 @@ def test_run_twice_deterministic(spark):
 def test_bronze_schema(ls):
     assert ls.bronze.columns == BRONZE_COLUMNS
     assert dict(ls.bronze.dtypes)["ingestion_ts"] == "timestamp"
+
+
+def test_partition_count_independence(spark):
+    """Gold and reconciliation are identical (exact doubles) at 1 and 64 shuffle partitions."""
+    import __spark_entry__ as entry_module
+
+    q = entry_module.queries()
+    names = ["gold_usage_hourly", "gold_subscriber_daily", "reconciliation", "top_subscribers",
+             "event_type_distribution", "source_usage_summary", "quality_metrics"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = {}
+    try:
+        for parts in ["1", "64"]:
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            results[parts] = {
+                n: sorted(map(tuple, q[n](spark, SF["0.1"]).collect()), key=lambda r: [(v is None, str(v)) for v in r])
+                for n in names
+            }
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for n in names:
+        assert results["1"][n] == results["64"][n], n
