@@ -19,6 +19,11 @@ def batch_stamp(batch_time: Column) -> Column:
     return F.date_format(batch_time, BATCH_TIME_PATTERN)
 
 
+def stamp_from_file(file_name: Column) -> Column:
+    """The ``yyyyMMdd_HHmmss`` stamp at the end of a batch file name, or NULL."""
+    return F.nullif(F.regexp_extract(file_name, r"_(\d{8}_\d{6})\.[^./]+$", 1), F.lit(""))
+
+
 def batch_id(stamp: Column, source_system: Column) -> Column:
     return F.concat(F.lit("BATCH_"), stamp, F.lit("_"), source_system)
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow import fixed
+from meterflow.functions import naming
 from meterflow.functions.parsing import wall_clock
 from meterflow.schemas import BATCH_KEYS, BRONZE_COLUMNS, LANDING_SCHEMA, METADATA_COLUMNS
 
@@ -47,7 +48,10 @@ def read_landing(
     if dated:
         folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/\d{4}/\d{2}/\d{2}/[^/]+$", 1)
         lineage["source_system"] = F.coalesce(F.col("source_system"), F.nullif(folder, F.lit("")))
-    return stamp_ingestion(raw.withColumns(lineage), as_of)
+    with_lineage = raw.withColumns(lineage)
+    # A record without a batch id belongs to the batch its file names: BATCH_<file stamp>_<source>.
+    derived = naming.batch_id(naming.stamp_from_file(F.col("source_file")), F.col("source_system"))
+    return stamp_ingestion(with_lineage.withColumn("batch_id", F.coalesce(F.col("batch_id"), derived)), as_of)
 
 
 def stamp_ingestion(raw: DataFrame, as_of=None) -> DataFrame:

@@ -24,7 +24,7 @@ from meterflow.functions.metrics import count_when, money_sum
 from meterflow.operators import quality
 from meterflow.schemas import LANDING_SCHEMA
 from meterflow.sources.landing import stamp_ingestion
-from meterflow.sources.tables import STREAM_LAYOUT, layer_path, read_layer, write_layer
+from meterflow.sources.tables import STREAM_LAYOUT, read_layer, write_layer
 
 
 def landing_stream(spark: SparkSession, path: str, fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:

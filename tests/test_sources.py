@@ -36,9 +36,11 @@ def test_read_landing_lineage_and_dated_layout(spark, scratch):
     with open(os.path.join(day, "cdr_mediation_b_20240107_000000.csv"), "w") as fh:
         fh.write(",".join(LANDING_COLS) + "\n")
         fh.write("BATCH_X,,,K1,90531234567,90547654321,VOICE,2024-01-07 10:00:00,30,CELL_1,SW_1,N,1.00,TRY\n")
-    got = read_landing(spark, root, dated=True).first()
-    assert got.source_system == "MEDIATION_B"
-    assert got.source_file == "cdr_mediation_b_20240107_000000.csv"
+        fh.write(",,,K2,90531234567,90547654321,VOICE,2024-01-07 10:00:00,30,CELL_1,SW_1,N,1.00,TRY\n")
+    got = read_landing(spark, root, dated=True).orderBy("cdr_id").collect()
+    assert [r.source_system for r in got] == ["MEDIATION_B", "MEDIATION_B"]
+    assert got[0].source_file == "cdr_mediation_b_20240107_000000.csv"
+    assert [r.batch_id for r in got] == ["BATCH_X", "BATCH_20240107_000000_MEDIATION_B"]
 
 
 def test_naming_expressions(spark):
