@@ -13,7 +13,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from meterflow.operators import quality, reconcile, usage
+from meterflow.schemas import BATCH_KEYS
+from meterflow.sources.landing import ingestion_log, read_landing
 from meterflow.sources.tables import read_layer, write_layer
 
 
@@ -56,3 +60,19 @@ def write_layers(bronze: DataFrame, metadata: DataFrame, root: str, as_of=None,
     """The whole pipeline: landing, then every downstream layer."""
     write_landing(bronze, metadata, root, replay=replay)
     build_downstream(bronze.sparkSession, root, as_of=as_of, rules=rules)
+
+
+def build_from_landing(
+    spark: SparkSession, landing: str, root: str, dated: bool = False, replay: bool = False, control: DataFrame | None = None
+) -> None:
+    """Raw files -> every layer. ``control`` is the senders' announcement per batch
+    (batch keys, ``arrival_ts``, ``expected_record_count``); without one, the log
+    announces what landed (arrival = first ingestion time)."""
+    write_layer(read_landing(spark, landing, dated=dated), root, "bronze_cdr_raw", dynamic=replay, rebalance=False)
+    landed = read_layer(spark, root, "bronze_cdr_raw")
+    if control is None:
+        control = landed.groupBy(*BATCH_KEYS).agg(
+            F.min("ingestion_ts").alias("arrival_ts"), F.count(F.lit(1)).cast("int").alias("expected_record_count")
+        )
+    write_layer(ingestion_log(control, landed), root, "metadata_ingestion_log")
+    build_downstream(spark, root)

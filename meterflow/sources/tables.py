@@ -72,3 +72,28 @@ def read_layer(spark: SparkSession, root: str, table: str) -> DataFrame:
     if table in SCHEMAS:
         reader = reader.schema(SCHEMAS[table])
     return reader.parquet(layer_path(root, table)).select(*COLUMNS[table])
+
+
+def register_views(spark: SparkSession, root: str | None = None, layers=None) -> list[str]:
+    """Expose the layer tables as temp views under their table names.
+
+    SQL written against the seven tables (dashboards, checks) then runs as-is
+    with ``spark.sql``. Views come from written tables under ``root``, or from
+    an in-memory ``LayerSet``.
+    """
+    if layers is not None:
+        frames = {
+            "metadata_ingestion_log": layers.metadata,
+            "bronze_cdr_raw": layers.bronze,
+            "silver_cdr_tagged": layers.tagged,
+            "silver_cdr_clean": layers.clean,
+            "silver_cdr_quarantine": layers.quarantine,
+            "gold_cdr_usage_hourly": layers.hourly,
+            "gold_subscriber_usage_daily": layers.daily,
+            "gold_reconciliation_daily": layers.recon,
+        }
+    else:
+        frames = {table: read_layer(spark, root, table) for table in LAYOUT}
+    for table, df in frames.items():
+        df.createOrReplaceTempView(table)
+    return list(frames)

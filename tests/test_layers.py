@@ -33,3 +33,44 @@ def test_write_read_and_replay(spark, scratch):
     one = mem.bronze.where(F.col("batch_id") == "BATCH_20240105_000000_MEDIATION_B")
     write_layers(one, mem.metadata, root, as_of=fixture.AS_OF, replay=True)
     assert snapshot(spark, root) == first
+
+
+def test_sql_over_views_and_cli(spark, scratch):
+    from meterflow.__main__ import main
+    from meterflow.sources.tables import register_views
+
+    root = os.path.join(scratch, "cli")
+    main(["build", "--sf-dir", SF["0.001"], "--root", root])
+    register_views(spark, root)
+    got = spark.sql(
+        "SELECT reconciliation_status, count(*) AS n FROM gold_reconciliation_daily GROUP BY reconciliation_status"
+    )
+    assert {r.reconciliation_status: r.n for r in got.collect()} == {"RECONCILED": 51, "WARNING": 35, "FAILED": 4}
+    total = spark.sql(
+        "SELECT (SELECT count(*) FROM silver_cdr_clean) + (SELECT count(*) FROM silver_cdr_quarantine) AS n"
+    ).first().n
+    assert total == spark.sql("SELECT count(*) AS n FROM bronze_cdr_raw").first().n == 1012
+
+    sql_file = os.path.join(scratch, "r.sql")
+    with open(sql_file, "w") as fh:
+        fh.write("-- a report\nSELECT reject_reason, count(*) AS c FROM silver_cdr_quarantine GROUP BY reject_reason;\n")
+    main(["sql", "--root", root, "--file", sql_file])
+
+
+def test_build_from_landing(spark, scratch):
+    from meterflow.plans.layers import build_from_landing
+    from meterflow.schemas import LANDING_SCHEMA
+
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    landing = os.path.join(scratch, "landing")
+    (ls.bronze.select(*[f.name for f in LANDING_SCHEMA.fields]).repartition(2, "batch_id")
+     .write.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(landing))
+    root = os.path.join(scratch, "from_landing")
+    build_from_landing(spark, landing, root)
+    disk = LayerSet.from_tables(spark, root)
+    assert disk.bronze.count() == 1012
+    reasons = {r.reject_reason: r.rejected_record_count for r in reports.reject_reasons(disk.quarantine).collect()}
+    expected = {r.reject_reason: r.rejected_record_count for r in reports.reject_reasons(ls.quarantine).collect()}
+    assert reasons == expected
+    status = {r.reconciliation_status for r in disk.recon.collect()}
+    assert status <= {"RECONCILED", "WARNING"}
