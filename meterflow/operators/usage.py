@@ -54,3 +54,27 @@ def subscriber_daily(clean: DataFrame) -> DataFrame:
         )
         .select(*GOLD_SUBSCRIBER_DAILY_COLUMNS)
     )
+
+
+SKETCH_LG_K = 12  # HLL sketch size 2^12 registers: about 1.6% relative error
+
+
+def hourly_subscriber_sketches(clean: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Per hourly key, a mergeable HLL sketch of the subscribers.
+
+    Distinct counts do not add up across hours; sketches do: any rollup (per
+    source, per day, per month) unions them instead of rescanning clean records.
+    """
+    return clean.groupBy(
+        F.col("event_date").alias("usage_date"),
+        F.col("event_hour").alias("usage_hour"),
+        "source_system",
+        "event_type",
+    ).agg(F.hll_sketch_agg("subscriber_msisdn", lg_k).alias("subscriber_sketch"))
+
+
+def unique_subscribers_from_sketches(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Approximate distinct subscribers for any rollup of the hourly sketches."""
+    return sketches.groupBy(*keys).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("subscriber_sketch")).alias("approx_unique_subscribers")
+    )

@@ -43,3 +43,15 @@ def test_missing_batches_and_jumps(spark):
     jumps = monitoring.reject_rate_jumps(ls.recon, ls.metadata)
     first = jumps.where(F.col("previous_avg_reject_rate").isNull()).count()
     assert first == 3
+
+
+def test_subscriber_sketches_roll_up_within_error(spark):
+    import __spark_entry__ as entry_module
+
+    approx = {r.source_system: r.approx_unique_subscribers
+              for r in entry_module.queries()["source_unique_subscribers_approx"](spark, SF["0.1"]).collect()}
+    exact = {r.source_system: r.unique_subscribers
+             for r in entry_module.queries()["source_unique_subscribers"](spark, SF["0.1"]).collect()}
+    assert approx.keys() == exact.keys()
+    for k in exact:
+        assert abs(approx[k] - exact[k]) <= 0.05 * exact[k]

@@ -15,11 +15,11 @@ def con():
     return duck(SF["0.01"])
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+def test_every_exact_query_has_an_oracle():
+    assert set(QUERIES) - entry_module.APPROXIMATE == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - entry_module.APPROXIMATE))
 def test_query_matches_oracle(spark, con, name):
     result = compare(spark, SF["0.01"], name, QUERIES[name], ORACLE[name], con)
     assert result["ok"], result
