@@ -91,3 +91,40 @@ def test_no_window_and_no_python_in_tagging_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_hot_key_is_split_by_aqe_when_not_broadcast(spark):
+    """Broadcasts off (as when the repeated-key table is large): AQE splits the hot key's partition.
+
+    Splitting works along map outputs, so the input is spread over several map
+    tasks first, as any large input is; the flags stay exact.
+    """
+    base = fixture.fixture_bronze(fixture.events(spark, "/root/testdata/sf0.1")).repartition(8)
+    is_hot = F.col("ingest_seq") % 3 == 0
+    hot = base.withColumn("cdr_id", F.when(is_hot, F.lit("MEDIATION_A_HOT")).otherwise(F.col("cdr_id"))).withColumn(
+        "source_system", F.when(is_hot, F.lit("MEDIATION_A")).otherwise(F.col("source_system"))
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        expected = flags(brute_force(hot))
+        got = flag_duplicates(hot)
+        assert sorted((r.ingest_seq, r.is_duplicate) for r in got.collect()) == expected
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert plan.count("skew=true") >= 1
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

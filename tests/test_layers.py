@@ -74,3 +74,23 @@ def test_build_from_landing(spark, scratch):
     assert reasons == expected
     status = {r.reconciliation_status for r in disk.recon.collect()}
     assert status <= {"RECONCILED", "WARNING"}
+
+
+def test_rebalanced_write_splits_a_hot_partition(spark, scratch):
+    from meterflow.sources.tables import write_layer
+
+    ls = LayerSet.from_fixture(spark, SF["0.01"])
+    hot = ls.quarantine.unionByName(ls.quarantine).unionByName(ls.quarantine).withColumn(
+        "batch_id", F.lit("BATCH_HOT")
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
+    try:
+        root = os.path.join(scratch, "hot")
+        write_layer(hot, root, "silver_cdr_quarantine")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    folder = os.path.join(root, "silver_cdr_quarantine", "batch_id=BATCH_HOT")
+    files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert read_layer(spark, root, "silver_cdr_quarantine").count() == 3 * ls.quarantine.count()
