@@ -2,6 +2,7 @@
 
     python -m meterflow build --sf-dir /root/testdata/sf0.01 --root /shared/cdr
     python -m meterflow build --landing /landing/cdr --dated --root /shared/cdr
+    python -m meterflow reconcile --root /shared/cdr
     python -m meterflow sql --root /shared/cdr --file reports.sql
 
 ``sql`` registers the layer tables as views under their table names and runs
@@ -34,11 +35,13 @@ def main(argv=None) -> None:
     src.add_argument("--landing", help="raw CDR files (CSV with header)")
     b.add_argument("--dated", action="store_true", help="landing is laid out as source/yyyy/mm/dd")
     b.add_argument("--replay", action="store_true", help="replace only the batches present in the input")
+    r = sub.add_parser("reconcile", help="re-run batch reconciliation over the written tables")
+    r.add_argument("--root", required=True)
     s = sub.add_parser("sql", help="run a SQL file over the layer tables")
     s.add_argument("--root", required=True)
     s.add_argument("--file", required=True)
     s.add_argument("--rows", type=int, default=50)
-    for p in (b, s):
+    for p in (b, r, s):
         p.add_argument("--master", default="*", help="local[N] cores when no cluster session exists")
     args = ap.parse_args(argv)
     spark = local_session(args.master)
@@ -54,6 +57,10 @@ def main(argv=None) -> None:
             from meterflow.plans.layers import build_from_landing
 
             build_from_landing(spark, args.landing, args.root, dated=args.dated, replay=args.replay)
+    elif args.cmd == "reconcile":
+        from meterflow.plans.layers import reconcile_layers
+
+        reconcile_layers(spark, args.root)
     else:
         from meterflow.sources.tables import register_views
 

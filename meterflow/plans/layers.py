@@ -46,10 +46,17 @@ def build_downstream(spark: SparkSession, root: str, as_of=None, rules=None) ->
     write_layer(usage.usage_hourly(clean), root, "gold_cdr_usage_hourly")
     write_layer(usage.subscriber_daily(clean), root, "gold_subscriber_usage_daily")
 
+    reconcile_layers(spark, root, as_of=as_of)
+
+
+def reconcile_layers(spark: SparkSession, root: str, as_of=None) -> None:
+    """Reconcile every logged batch from the written log, bronze, clean and
+    quarantine tables, and rewrite the reconciliation table. Re-run it after any
+    change to a layer: it checks what is on storage."""
     recon = reconcile.reconcile(
         read_layer(spark, root, "metadata_ingestion_log"),
         read_layer(spark, root, "bronze_cdr_raw"),
-        clean,
+        read_layer(spark, root, "silver_cdr_clean"),
         read_layer(spark, root, "silver_cdr_quarantine"),
         as_of=as_of,
     )

@@ -94,3 +94,27 @@ def test_rebalanced_write_splits_a_hot_partition(spark, scratch):
     files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
     assert len(files) > 1
     assert read_layer(spark, root, "silver_cdr_quarantine").count() == 3 * ls.quarantine.count()
+
+
+def test_reconciliation_from_tables_catches_a_lost_batch(spark, scratch):
+    from meterflow.sources.tables import write_layer
+
+    root = os.path.join(scratch, "loss")
+    mem = LayerSet.from_fixture(spark, SF["0.001"])
+    write_layers(mem.bronze, mem.metadata, root, as_of=fixture.AS_OF)
+    lost = "BATCH_20240105_000000_MEDIATION_B"
+    clean = read_layer(spark, root, "silver_cdr_clean")
+    staged = os.path.join(scratch, "staged")
+    write_layer(clean.where(F.col("batch_id") != lost), staged, "silver_cdr_clean")
+    write_layer(read_layer(spark, staged, "silver_cdr_clean"), root, "silver_cdr_clean")
+
+    from meterflow.operators.reconcile import reconcile
+
+    disk = LayerSet.from_tables(spark, root, as_of=fixture.AS_OF)
+    recon = reconcile(disk.metadata, disk.bronze, disk.clean, disk.quarantine, as_of=fixture.AS_OF)
+    before = {r.batch_id: r.reconciliation_status for r in mem.recon.collect()}
+    after = {r.batch_id: r.reconciliation_status for r in recon.collect()}
+    changed = {b for b in after if after[b] != before[b]}
+    assert changed == {lost} and after[lost] == "FAILED"
+    row = recon.where(F.col("batch_id") == lost).first()
+    assert row.silver_valid_count == 0 and row.bronze_record_count > row.quarantine_count

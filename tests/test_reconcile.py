@@ -57,3 +57,16 @@ def test_split_and_tagged_reconciliation_agree(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     counts = {r.reconciliation_status: r.batch_count for r in reconcile.status_summary(b).collect()}
     assert counts == {"RECONCILED": 30, "WARNING": 56, "FAILED": 4}
+
+
+def test_quality_by_source_full_outer_semantics(spark):
+    from meterflow.plans import reports
+
+    clean = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "source_system string")
+    quarantine = spark.createDataFrame([("B",), ("C",), (None,), (None,)], "source_system string")
+    got = sorted(
+        (r.source_system or "", r.clean_count, r.quarantine_count, r.total_count, r.quarantine_rate)
+        for r in reports.quality_by_source(clean, quarantine).collect()
+    )
+    # NULL sources do not match each other: one row from each side.
+    assert got == [("", 0, 2, 2, 1.0), ("", 1, 0, 1, 0.0), ("A", 2, 0, 2, 0.0), ("B", 1, 1, 2, 0.5), ("C", 0, 1, 1, 1.0)]
