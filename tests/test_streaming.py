@@ -87,3 +87,25 @@ def test_hourly_stream_matches_batch_on_closed_windows(spark, scratch):
     batch = ls.hourly.drop("unique_subscribers")
     assert got.count() > 0
     assert got.exceptAll(batch).count() == 0
+
+
+def test_duplicate_horizon_limits_the_history_checked(spark, scratch):
+    import datetime as dt
+
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    first = ls.bronze.select(*LANDING_COLS)
+    picked = ls.clean.select("cdr_id").orderBy("cdr_id").limit(3)
+    resent = (
+        ls.bronze.where(F.col("ingest_seq") % 2 == 0).join(picked, "cdr_id", "left_semi")
+        .withColumn("batch_id", F.lit("BATCH_20240301_000000_MEDIATION_A")).select(*LANDING_COLS)
+    )
+    for horizon, want in [(None, "DUPLICATE_CDR_ID"), ("7 days", None)]:
+        root = os.path.join(scratch, f"h{horizon is None}")
+        IncrementalQuality(root, as_of=dt.datetime(2024, 2, 1), horizon=horizon)(first, 0)
+        IncrementalQuality(root, as_of=dt.datetime(2024, 3, 1), horizon=horizon)(resent, 1)
+        q = read_layer(spark, root, "silver_cdr_quarantine").where(F.col("batch_id") == "BATCH_20240301_000000_MEDIATION_A")
+        c = read_layer(spark, root, "silver_cdr_clean").where(F.col("batch_id") == "BATCH_20240301_000000_MEDIATION_A")
+        if want:
+            assert [r.reject_reason for r in q.collect()] == [want] * 3 and c.count() == 0
+        else:
+            assert q.count() == 0 and c.count() == 3
