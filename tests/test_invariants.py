@@ -83,3 +83,26 @@ def test_partition_count_independence(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     for n in names:
         assert results["1"][n] == results["64"][n], n
+
+
+def test_every_aggregate_shuffle_is_pre_aggregated(spark):
+    """Executed plans: below each hash exchange the nearest aggregate comes before any scan.
+
+    So no exchange moves raw records: aggregation shuffles carry partial
+    aggregates, join shuffles carry tables already reduced per key.
+    """
+    import re
+
+    import __spark_entry__ as entry_module
+
+    q = entry_module.queries()
+    for name in ["gold_usage_hourly", "gold_subscriber_daily", "reconciliation", "quality_metrics", "top_subscribers"]:
+        df = q[name](spark, SF["0.01"])
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        lines = final.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                below = next(ln for ln in lines[i + 1:] if re.search(r"Aggregate\(|FileScan|Scan parquet|Range \(", ln))
+                assert "Aggregate(" in below, (name, line.strip()[:80], below.strip()[:120])
