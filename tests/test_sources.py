@@ -97,3 +97,22 @@ def test_control_totals(spark):
     out = integrity.control_total_check(control, ls.bronze)
     assert out.where(~F.col("charge_matched")).count() == 0
     assert out.where(~F.col("count_matched")).count() == out.where(F.col("batch_id").endswith("MEDIATION_A")).count() > 0
+
+
+def test_read_landing_parquet_without_batch_columns(spark, scratch):
+    """Parquet landing files without batch columns: lineage fills them from the file name."""
+    import shutil
+
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    one = ls.bronze.where(F.col("batch_id") == "BATCH_20240107_000000_MEDIATION_B")
+    staged = os.path.join(scratch, "staged")
+    one.select(*[c for c in LANDING_COLS if c not in ("batch_id", "source_file")]).coalesce(1).write.parquet(staged)
+    landing = os.path.join(scratch, "landing_pq")
+    os.makedirs(landing)
+    part = next(f for f in os.listdir(staged) if f.endswith(".parquet"))
+    shutil.copy(os.path.join(staged, part), os.path.join(landing, "cdr_mediation_b_20240107_000000.parquet"))
+    got = read_landing(spark, landing, fmt="parquet")
+    assert got.count() == one.count()
+    assert {(r.batch_id, r.source_file) for r in got.select("batch_id", "source_file").distinct().collect()} == {
+        ("BATCH_20240107_000000_MEDIATION_B", "cdr_mediation_b_20240107_000000.parquet")
+    }
