@@ -106,3 +106,22 @@ def test_every_aggregate_shuffle_is_pre_aggregated(spark):
             if "Exchange hashpartitioning" in line:
                 below = next(ln for ln in lines[i + 1:] if re.search(r"Aggregate\(|FileScan|Scan parquet|Range \(", ln))
                 assert "Aggregate(" in below, (name, line.strip()[:80], below.strip()[:120])
+
+
+@pytest.mark.parametrize(
+    "sf, expected",
+    [
+        ("0.001", {None: 901, "MISSING_MSISDN": 19, "INVALID_TIMESTAMP": 25, "INVALID_DURATION": 27,
+                   "NEGATIVE_CHARGE_AMOUNT": 14, "UNKNOWN_EVENT_TYPE": 14, "DUPLICATE_CDR_ID": 12}),
+        ("0.01", {None: 9052, "MISSING_MSISDN": 186, "INVALID_TIMESTAMP": 243, "INVALID_DURATION": 259,
+                  "NEGATIVE_CHARGE_AMOUNT": 134, "UNKNOWN_EVENT_TYPE": 137, "DUPLICATE_CDR_ID": 102}),
+    ],
+)
+def test_fixture_counts_small_scales(spark, sf, expected):
+    small = LayerSet.from_fixture(spark, SF[sf])
+    counts = {r.reject_reason: r["count"] for r in small.tagged.groupBy("reject_reason").count().collect()}
+    assert counts == expected
+    gold = {"0.001": (893, 385, {"RECONCILED": 51, "WARNING": 35, "FAILED": 4}),
+            "0.01": (5722, 3904, {"RECONCILED": 30, "WARNING": 56, "FAILED": 4})}[sf]
+    status = {r.reconciliation_status: r["count"] for r in small.recon.groupBy("reconciliation_status").count().collect()}
+    assert (small.hourly.count(), small.daily.count(), status) == gold
