@@ -4,7 +4,9 @@
 layer) on sf0.001. ``queries()`` registers one callable per operator/report of
 the pipeline; each builds the layers from the driver's ``events`` table of the
 given scale and returns a lazy DataFrame. ``oracle_sql()`` gives the DuckDB
-statement that computes the same rows from the same parquet tables.
+statement that computes the same rows from the same parquet tables, for every
+query except those in ``APPROXIMATE`` (estimates, checked against the exact
+count in the tests).
 """
 
 from __future__ import annotations
