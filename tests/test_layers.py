@@ -55,6 +55,8 @@ def test_sql_over_views_and_cli(spark, scratch):
     with open(sql_file, "w") as fh:
         fh.write("-- a report\nSELECT reject_reason, count(*) AS c FROM silver_cdr_quarantine GROUP BY reject_reason;\n")
     main(["sql", "--root", root, "--file", sql_file])
+    main(["reconcile", "--root", root])
+    assert read_layer(spark, root, "gold_reconciliation_daily").count() == 90
 
 
 def test_build_from_landing(spark, scratch):
