@@ -6,8 +6,8 @@ import __spark_entry__ as entry_module
 from conftest import SF
 from oracle_compare import compare, duck
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = {k: q for k, q in entry_module.queries().items() if k not in entry_module.LLM_QUERIES}
+ORACLE = {k: sql for k, sql in entry_module.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
