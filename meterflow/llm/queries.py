@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from meterflow.llm import urlrules
+from meterflow.llm import urlrules, warc
 
 QUERIES = {
+    "op1_warc_dictionary": warc.query,
     "op4_url_rules": urlrules.query,
 }
 
 ORACLE_SQL = {
+    "op1_warc_dictionary": warc.ORACLE_SQL,
     "op4_url_rules": urlrules.ORACLE_SQL,
 }
