@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from meterflow.llm import urlrules, warc
+from meterflow.llm import secrets, urlrules, warc
 
 QUERIES = {
     "op1_warc_dictionary": warc.query,
     "op4_url_rules": urlrules.query,
+    "op10_secret_spans": secrets.query,
 }
 
 ORACLE_SQL = {
