@@ -26,6 +26,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow.llm import scratch
+
 #: Hex digits of the digest that the join uses (4 bytes).
 PREFIX_HEX = 8
 RULE_SCHEMA = "rule_host string, rule_path string, rule_verdict string"
@@ -110,7 +112,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
         return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     head = F.substring(F.col("path"), F.lit(1), F.lit(max(lengths)))
     keys = pages.select(F.col("host").alias("_host"), head.alias("_head")).distinct()
-    best = _confirmed(keys, rules, labels, lengths)
+    # A table of its own: the planner knows its size, and if it must shuffle, AQE can split a hot host.
+    best = scratch.materialise(_confirmed(keys, rules, labels, lengths), "url-verdicts")
     joined = pages.withColumn("_h", head).join(
         best, (F.col("host") == F.col("_host")) & (F.col("_h") == F.col("_head")), "left"
     )
