@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from meterflow.llm import secrets, urlrules, warc
+from meterflow.llm import bytecnn, secrets, urlrules, warc
 
 QUERIES = {
     "op1_warc_dictionary": warc.query,
+    "op3_byte_cnn": bytecnn.query,
     "op4_url_rules": urlrules.query,
     "op10_secret_spans": secrets.query,
 }
