@@ -33,9 +33,9 @@ from meterflow.llm.hashing import utf8
 UNKNOWN = "und"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
-FILTERS = 8
+FILTERS = 12
 EMBEDDING = 8
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 3000
 SAMPLE_WINDOWS = 4
 #: Characters of a text that training reads; prediction reads all.
 SAMPLE_CHARS = 20_000
