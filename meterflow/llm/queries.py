@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from meterflow.llm import bytecnn, consensus, secrets, urlrules, warc
+from meterflow.llm import bayesjoin, bytecnn, consensus, secrets, urlrules, warc
 
 QUERIES = {
     "op1_warc_dictionary": warc.query,
     "op3_byte_cnn": bytecnn.query,
     "op4_url_rules": urlrules.query,
+    "op6_bayes_jaccard": bayesjoin.query,
     "op9_consensus_text": consensus.query,
     "op10_secret_spans": secrets.query,
 }
