@@ -111,11 +111,13 @@ def signatures(grams: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
 def _sign(n: int):
     @F.arrow_udf(T.StructType().add("n_shingles", T.IntegerType()).add("sig", T.BinaryType()))
     def apply(texts: pa.Array) -> pa.Array:
-        grams, owner = shingles(texts, n)
-        found = signatures(grams, owner, len(texts))
-        counts = np.bincount(owner, minlength=len(texts)).astype(np.int32)
+        counts, sigs = [np.zeros(0, np.int32)], []
+        for low, high in hashing.slices(texts):
+            grams, owner = shingles(texts.slice(low, high - low), n)
+            sigs += [row.tobytes() for row in signatures(grams, owner, high - low)]
+            counts.append(np.bincount(owner, minlength=high - low).astype(np.int32))
         return pa.StructArray.from_arrays(
-            [pa.array(counts), pa.array([row.tobytes() for row in found], pa.binary())], ["n_shingles", "sig"]
+            [pa.array(np.concatenate(counts)), pa.array(sigs, pa.binary())], ["n_shingles", "sig"]
         )
 
     return apply

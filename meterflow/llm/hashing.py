@@ -10,6 +10,8 @@ the result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -19,6 +21,12 @@ _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uin
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE[_SPACE] = 0
+#: The same for folded words: runs of ASCII letters and digits and of bytes beyond ASCII, A-Z as a-z.
+_APART = np.ones(256, bool)
+_APART[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+_FOLDED = _BYTE.copy()
+_FOLDED[0x41:0x5B] = _FOLDED[0x61:0x7B]
+_FOLDED[_APART] = 0
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[int, np.ndarray] = {}
@@ -57,20 +65,34 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, start, end) of every word of every text; start and end are byte offsets in ``utf8(texts)``."""
+def slices(texts: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes of text, at least one row each."""
+    _, at = utf8(texts)
+    low = 0
+    while low < len(texts):
+        high = max(low + 1, int(np.searchsorted(at, at[low] + limit, "right")) - 1)
+        yield low, min(high, len(texts))
+        low = high
+
+
+def words(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, start, end) of every word of every text; start and end are byte offsets in ``utf8(texts)``.
+
+    Folded words leave out ASCII punctuation and the case of ASCII letters.
+    """
+    apart, byte = (_APART, _FOLDED) if fold else (_SPACE, _BYTE)
     raw, at = utf8(texts)
     found = [], [], []
     low = 0
     while low < len(raw):
         high = min(len(raw), low + SLICE)
         # up to the next space or text end, so that no word is cut
-        while high < len(raw) and not _SPACE[raw[high]] and at[np.searchsorted(at, high)] != high:
+        while high < len(raw) and not apart[raw[high]] and at[np.searchsorted(at, high)] != high:
             stop = min(int(at[np.searchsorted(at, high, "right")]), high + 4096)
-            gaps = np.flatnonzero(_SPACE[raw[high:stop]])
+            gaps = np.flatnonzero(apart[raw[high:stop]])
             high = high + int(gaps[0]) if len(gaps) else stop
         part = raw[low:high]
-        inside = ~_SPACE[part]
+        inside = ~apart[part]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         stops = inside.copy()
@@ -81,7 +103,7 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
         edges = edges[edges > 0]
         stops[edges - 1] = inside[edges - 1]
         first, last = np.flatnonzero(begins), np.flatnonzero(stops)
-        sums = np.cumsum(_BYTE[part] * _power(_BASE, len(part))[: len(part)])
+        sums = np.cumsum(byte[part] * _power(_BASE, len(part))[: len(part)])
         before = np.where(first > 0, sums[first - 1], np.uint64(0))
         found[0].append(mix((sums[last] - before) * _power(_INVERSE, len(part))[first]))
         found[1].append(first + low)

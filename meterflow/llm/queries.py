@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from meterflow.llm import bayesjoin, bytecnn, consensus, divergence, secrets, urlrules, warc
+from meterflow.llm import bayesjoin, bytecnn, consensus, decontam, divergence, secrets, urlrules, warc
 
 QUERIES = {
     "op1_warc_dictionary": warc.query,
     "op3_byte_cnn": bytecnn.query,
     "op4_url_rules": urlrules.query,
+    "op5_bm25_decontamination": decontam.query,
     "op6_bayes_jaccard": bayesjoin.query,
     "op8_divergence_rules": divergence.query,
     "op9_consensus_text": consensus.query,
