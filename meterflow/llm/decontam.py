@@ -244,11 +244,24 @@ _ARROW_HIT = pa.list_(
 )
 
 
+def _looker(index):
+    @F.arrow_udf(_HIT)
+    def look(texts: pa.Array) -> pa.Array:
+        names = ("item_id", "score", "question_overlap", "answer_overlap")
+        hits = []
+        for low, high in hashing.slices(texts):
+            hits += search(index.value, texts.slice(low, high - low))
+        return pa.array([[dict(zip(names, h)) for h in row] for row in hits], _ARROW_HIT)
+
+    return look
+
+
 def _shards(benchmark: DataFrame, text: str) -> list[DataFrame]:
     """The items in parts that keep to the bounds of one index."""
     items = benchmark.where(F.col(text).isNotNull()).select("item_id", F.col(text).alias("text")).distinct()
     size = items.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("c")).first()
-    n = max(1, math.ceil(1.2 * max(size.n / SHARD_ITEMS, (size.c or 0) / SHARD_CHARS)) if size.n > SHARD_ITEMS or (size.c or 0) > SHARD_CHARS else 1)
+    most = max(size.n / SHARD_ITEMS, (size.c or 0) / SHARD_CHARS)
+    n = 1 if most <= 1 else math.ceil(1.2 * most)
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
 
 
@@ -259,15 +272,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str =
         rows = shard.orderBy("item_id", "text").collect()
         index = docs.sparkSession.sparkContext.broadcast(Index([Item(r.item_id, r.text) for r in rows]))
 
-        def look(texts: pa.Array, index=index) -> pa.Array:
-            names = ("item_id", "score", "question_overlap", "answer_overlap")
-            hits = []
-            for low, high in hashing.slices(texts):
-                hits += search(index.value, texts.slice(low, high - low))
-            return pa.array([[dict(zip(names, h)) for h in row] for row in hits], _ARROW_HIT)
-
-        look.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-        found.append(F.arrow_udf(look, _HIT)(F.col(text).cast("string")))
+        found.append(_looker(index)(F.col(text).cast("string")))
     return docs.withColumn(to, F.concat(*found))
 
 
