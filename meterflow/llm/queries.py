@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterflow.llm import bayesjoin, bytecnn, consensus, decontam, divergence, secrets, urlrules, warc
+from meterflow.llm import bayesjoin, bytecnn, consensus, decontam, divergence, mixing, secrets, urlrules, warc
 
 QUERIES = {
     "op1_warc_dictionary": warc.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_url_rules": urlrules.query,
     "op5_bm25_decontamination": decontam.query,
     "op6_bayes_jaccard": bayesjoin.query,
+    "op7_token_mixture": mixing.query,
     "op8_divergence_rules": divergence.query,
     "op9_consensus_text": consensus.query,
     "op10_secret_spans": secrets.query,
