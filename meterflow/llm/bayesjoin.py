@@ -47,8 +47,8 @@ VALUES = BANDS * BAND_ROWS
 LOOSE = 0.3
 STEP = 32
 TOLERANCE = 1e-6
-TILE = 2048
-TILE_SHINGLES = 1 << 20
+TILE = 1024
+TILE_SHINGLES = 1 << 19
 _FACTORS = np.random.default_rng(8191).integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -116,6 +116,7 @@ def _sign(n: int):
             grams, owner = shingles(texts.slice(low, high - low), n)
             sigs += [row.tobytes() for row in signatures(grams, owner, high - low)]
             counts.append(np.bincount(owner, minlength=high - low).astype(np.int32))
+        hashing.give_back()
         return pa.StructArray.from_arrays(
             [pa.array(np.concatenate(counts)), pa.array(sigs, pa.binary())], ["n_shingles", "sig"]
         )
@@ -143,7 +144,7 @@ def similar_pairs(keys, sigs: np.ndarray, grams: list[np.ndarray], split: int |
     steps = [(k, least_matches(k + STEP, threshold)) for k in range(0, VALUES, STEP)]
     left, right = [], []
     stop = n if split is None else split
-    block = max(1, (1 << 22) // (STEP * max(n, 1)))
+    block = max(1, (1 << 21) // (STEP * max(n, 1)))
     for low in range(0, stop, block):
         high = min(stop, low + block)
         base = low + 1 if split is None else split
@@ -177,7 +178,7 @@ def _shared(grams: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     _, ids, counts = np.unique(every, return_inverse=True, return_counts=True)
     again = counts > 1
     ids, owner = (np.cumsum(again) - 1)[ids][again[ids]], owner[again[ids]]
-    total, width, shared = int(again.sum()), 1 << 15, np.zeros(len(left), np.int64)
+    total, width, shared = int(again.sum()), 1 << 13, np.zeros(len(left), np.int64)
     l, r = place[left], place[right]
     for low in range(0, total, width):
         here = (ids >= low) & (ids < low + width)
@@ -185,7 +186,7 @@ def _shared(grams: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
         bits[owner[here], ids[here] - low] = 1
         packed = np.packbits(bits, axis=1).view(np.uint64)
         del bits
-        step = max(1, (1 << 21) // packed.shape[1])
+        step = max(1, (1 << 19) // packed.shape[1])
         for at in range(0, len(l), step):
             both = packed[l[at : at + step]] & packed[r[at : at + step]]
             shared[at : at + step] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
@@ -232,6 +233,7 @@ def _unit(threshold: float, n: int):
             out["key"] += [keys[k] for k in linked]
             out["root"] += [keys[root[k]] for k in linked]
             out["links"] += [int(links[k]) for k in linked]
+        hashing.give_back()
         return pa.table(out, schema=pa.schema([("key", pa.binary()), ("root", pa.binary()), ("links", pa.int64())]))
 
     return apply

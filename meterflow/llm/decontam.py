@@ -251,6 +251,7 @@ def _looker(index):
         hits = []
         for low, high in hashing.slices(texts):
             hits += search(index.value, texts.slice(low, high - low))
+        hashing.give_back()
         return pa.array([[dict(zip(names, h)) for h in row] for row in hits], _ARROW_HIT)
 
     return look

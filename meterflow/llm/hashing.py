@@ -10,6 +10,8 @@ the result.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,7 +67,14 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def slices(texts: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def give_back() -> None:
+    """Return freed memory to the system, so that idle Python workers stay small."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes of text, at least one row each."""
     _, at = utf8(texts)
     low = 0
