@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from meterflow.llm import bayesjoin, bytecnn, consensus, decontam, divergence, mixing, secrets, urlrules, warc
+from meterflow.llm import bayesjoin, bytecnn, consensus, decontam, divergence, mixing, secrets, suffixes, urlrules, warc
 
 QUERIES = {
     "op1_warc_dictionary": warc.query,
+    "op2_sparse_suffixes": suffixes.query,
     "op3_byte_cnn": bytecnn.query,
     "op4_url_rules": urlrules.query,
     "op5_bm25_decontamination": decontam.query,
