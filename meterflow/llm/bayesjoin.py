@@ -263,7 +263,7 @@ def _units(groups: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, n: int = WORDS):
-    """(signed rows, nodes with class): the key of every row of ``docs``, and per key its class and links."""
+    """The key of every row of ``docs``, and per key its component, class id and links."""
     key = F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
     signed = docs.select(F.col("doc_id"), key.alias("key"), _sign(n)(F.col(text).cast("string")).alias("s"))
     signed = scratch.materialise(signed.select("doc_id", "key", "s.n_shingles", "s.sig"), "signatures")
@@ -299,14 +299,15 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, n
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
     ids = found.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    return signed, scratch.materialise(found.join(ids, "component").select("key", "class_id", "n_links"), "classes")
+    found = found.join(ids, "component").select("key", "component", "class_id", "n_links")
+    return signed, scratch.materialise(found, "classes")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, n_links) of every row of ``docs``."""
     signed, found = classes(docs, text, threshold)
     rows = signed.select("doc_id", F.when(F.col("n_shingles") > 0, F.col("key")).alias("key"))
-    return rows.join(found, "key", "left").select(
+    return rows.join(found.drop("component"), "key", "left").select(
         "doc_id",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
@@ -314,22 +315,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = THRE
 
 
 def keep_one(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class: that of the smallest doc_id, then of the smallest hash of the row."""
-    key = F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
+    """``docs`` with one row of each class: that of the smallest doc_id, then of the smallest hash of the row.
+
+    Rows that agree in every column are one row. Rows without words all stay. The rows meet the
+    classes in one join, on the key of their text; only rows that stand several times shuffle again.
+    """
     _, found = classes(docs, text, threshold)
-    rank = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", F.xxhash64(*docs.columns).alias("h"))
-    keyed = docs.withColumn("_key", key).withColumn("_rank", rank)
-    first = scratch.materialise(
-        keyed.select("_key", "_rank").join(found.select(F.col("key").alias("_key"), "class_id"), "_key")
-        .groupBy(F.col("class_id").alias("_class")).agg(F.min("_rank").alias("_rank"), F.min("_key").alias("_any")),
-        "kept",
-    )
-    alone = keyed.join(found.select(F.col("key").alias("_key")), "_key", "left_anti")
-    # rows that agree in everything are one row
-    kept = keyed.join(first.select("_rank"), "_rank", "left_semi").join(
-        found.select(F.col("key").alias("_key")), "_key", "left_semi"
+    keyed = docs.withColumns(
+        {
+            "_key": F.unhex(F.md5(F.col(text).cast("string").cast("binary"))),
+            "_rank": F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", F.xxhash64(*docs.columns).alias("h")),
+        }
     )
-    return kept.dropDuplicates(["_rank"]).select(*docs.columns).unionByName(alone.select(*docs.columns))
+    found = found.select(F.col("key").alias("_key"), "component")
+    ranks = keyed.groupBy("_key", "_rank").agg(F.count("*").alias("_n")).join(found, "_key")
+    first = ranks.groupBy("component").agg(F.min(F.struct("_rank", "_n")).alias("_first"))
+    first = scratch.materialise(found.join(first, "component").select("_key", "_first"), "first-of-class")
+    joined = keyed.join(first, "_key", "left")
+    kept = joined.where(F.col("_first").isNull() | (F.col("_rank") == F.col("_first._rank")))
+    several = F.coalesce(F.col("_first._n") > 1, F.lit(False))
+    once = kept.where(~several).select(*docs.columns)
+    return once.unionByName(kept.where(several).dropDuplicates(["_key", "_rank"]).select(*docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
