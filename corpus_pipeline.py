@@ -1,12 +1,53 @@
-"""A corpus pipeline over ``documents``: each stage is one operator of ``meterflow.llm``."""
+"""A corpus pipeline over ``documents``: each stage is one operator of ``meterflow.llm``.
+
+Every stage takes (spark, docs, sf_dir), works on all rows it is given and returns a
+DataFrame; the result is written as Parquet in the shared folder and read again as the next
+stage's input. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterflow.llm import bayesjoin, bytecnn, decontam, mixing, scratch, secrets
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language can be told; the rest (no text, no letters) go."""
+    found = bytecnn.identify(docs, bytecnn.trained_on(docs))
+    return found.where(F.col("lang_pred") != bytecnn.UNKNOWN).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return bayesjoin.keep_one(docs).select(*COLUMNS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of ``benchmark``."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts masked and ``n_chars`` renewed."""
+    return secrets.redact(docs).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture's documents, with domain, tokens and the number of epochs."""
+    return mixing.mix(docs, mixing.domain_of(F.col("source")), mixing.QUERY_WEIGHTS)
 
-from meterflow.llm import scratch
 
-STAGES = []
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("mask_secrets", mask_secrets),
+    ("mix_sources", mix_sources),
+]
 
 #: Language prediction and similarity search have no SQL form.
 ORACLE_SQL = None
