@@ -17,28 +17,29 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language can be told; the rest (no text, no letters) go."""
+    docs = docs.select(*COLUMNS)
     found = bytecnn.identify(docs, bytecnn.trained_on(docs))
     return found.where(F.col("lang_pred") != bytecnn.UNKNOWN).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
-    return bayesjoin.keep_one(docs).select(*COLUMNS)
+    return bayesjoin.keep_one(docs.select(*COLUMNS))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of ``benchmark``."""
-    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+    return decontam.clean(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts masked and ``n_chars`` renewed."""
-    return secrets.redact(docs).select(*COLUMNS)
+    return secrets.redact(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture's documents, with domain, tokens and the number of epochs."""
-    return mixing.mix(docs, mixing.domain_of(F.col("source")), mixing.QUERY_WEIGHTS)
+    return mixing.mix(docs.select(*COLUMNS), mixing.domain_of(F.col("source")), mixing.QUERY_WEIGHTS)
 
 
 STAGES = [

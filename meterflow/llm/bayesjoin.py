@@ -314,6 +314,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = THRE
     )
 
 
+@scratch.shielded
 def keep_one(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest doc_id, then of the smallest hash of the row.
 

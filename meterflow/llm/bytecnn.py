@@ -28,6 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow.llm import scratch
 from meterflow.llm.hashing import utf8
 
 UNKNOWN = "und"
@@ -41,6 +42,8 @@ SAMPLE_WINDOWS = 4
 SAMPLE_CHARS = 20_000
 EPOCHS = 6
 BATCH = 64
+#: Small samples are gone through more often, up to this number of steps.
+LEAST_STEPS = 200
 #: Windows that are worked on at once.
 BLOCK = 48
 _LETTER = regex.compile(r"\p{L}")
@@ -90,7 +93,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 7) -> Network:
     weights += [rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, len(names))), np.zeros(len(names))]
     weights = [w.astype(np.float32) for w in weights]
     n, moment, speed, step = len(WIDTHS), [0 * w for w in weights], [0 * w for w in weights], 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // len(x)))):
         order = rng.permutation(len(x))
         for low in range(0, len(x), BATCH):
             at = order[low : low + BATCH]
@@ -184,6 +187,7 @@ def sample(docs: DataFrame, text: str = "text", label: str = "lang") -> pd.DataF
     return rows.sort_values(["label", "u", "text"]).groupby("label").head(each)[["text", "label"]]
 
 
+@scratch.shielded
 def identify(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` of every whole text."""
     tables = net.tables()

@@ -73,6 +73,7 @@ def winning_paths(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     return ranked.select("host", "best.path", (-F.col("best.votes")).alias("votes"))
 
 
+@scratch.shielded
 def main_text(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` of the article of each page."""
     winners = scratch.materialise(winning_paths(pages, html, url), "winning-paths").select(

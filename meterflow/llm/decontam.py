@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterflow.llm import hashing
+from meterflow.llm import hashing, scratch
 
 K1, B = 1.2, 0.75
 SEGMENT = 64
@@ -266,6 +266,7 @@ def _shards(benchmark: DataFrame, text: str) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
 
 
+@scratch.shielded
 def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "benchmark_items") -> DataFrame:
     """``docs`` with the array of the test items that each text holds."""
     found = []
@@ -283,6 +284,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     return hit.select("doc_id", F.explode("benchmark_items").alias("h")).select("doc_id", "h.*")
 
 
+@scratch.shielded
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a test item."""
     return matches(docs, benchmark, text, "_items").where(F.size("_items") == 0).drop("_items")

@@ -215,6 +215,7 @@ def _divergences(refs: list[dict], lang: Column | None) -> Column:
     return F.array_min(F.transform(chosen, compare))
 
 
+@scratch.shielded
 def judge(docs: DataFrame, refs: list[dict], text: str = "text", lang: str | None = "lang") -> DataFrame:
     """``docs`` with the base figures, both divergences, ``base_failed`` and ``kept``."""
     given = docs.columns

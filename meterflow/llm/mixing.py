@@ -111,6 +111,7 @@ def _order(seed: int, epoch: Column, text: Column, doc_id: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *parts).cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
+@scratch.shielded
 def mix(
     docs: DataFrame,
     domain: Column,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +43,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let an operator use column names that begin with ``_`` whatever its first table has.
+
+    Such columns of the table are renamed while the operator runs and get their names back.
+    """
+
+    @functools.wraps(operator)
+    def run(table: DataFrame, *args, **kwargs) -> DataFrame:
+        taken = set(table.columns)
+        free = (name for name in (f"given{i}" for i in range(len(taken) * 2 + 1)) if name not in taken)
+        own = {c: next(free) for c in table.columns if c.startswith("_")}
+        done = operator(table.withColumnsRenamed(own), *args, **kwargs)
+        return done.withColumnsRenamed({new: old for old, new in own.items()})
+
+    return run

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow.llm import scratch
 from meterflow.llm.guesscost import guess_cost
 
 MIN_COST = 8.0
@@ -79,6 +80,7 @@ def spans_of(text: str | None, min_cost: float = MIN_COST) -> list[tuple[str, in
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+@scratch.shielded
 def find_secrets(docs: DataFrame, text: str = "text", to: str = "secret_spans", min_cost: float = MIN_COST) -> DataFrame:
     """``docs`` with the array of spans of each text."""
 
@@ -115,6 +117,7 @@ def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
     )
 
 
+@scratch.shielded
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the secrets masked in ``text`` and ``n_chars``, if present, renewed."""
     found = find_secrets(docs, text, "_spans")

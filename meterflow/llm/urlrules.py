@@ -30,12 +30,13 @@ from meterflow.llm import scratch
 
 #: Hex digits of the digest that the join uses (4 bytes).
 PREFIX_HEX = 8
-RULE_SCHEMA = "rule_host string, rule_path string, rule_verdict string"
 
 
 def rules_table(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> DataFrame:
     """(verdict, host, path) triples as the rules table of ``judge``."""
-    return spark.createDataFrame([(h, p, v) for v, h, p in rules], RULE_SCHEMA)
+    rows = [F.struct(F.lit(h), F.lit(p), F.lit(v)) for v, h, p in rules]
+    listed = F.array(*rows).cast("array<struct<rule_host:string,rule_path:string,rule_verdict:string>>")
+    return spark.range(1).select(F.inline(listed))
 
 
 def host_of(url: Column) -> Column:
@@ -89,6 +90,7 @@ def _confirmed(keys: DataFrame, rules: DataFrame, labels: list[int], lengths: li
     )
 
 
+@scratch.shielded
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (null if none fits) and ``verdict``.
 
