@@ -95,9 +95,12 @@ def test_unknown_language_takes_the_nearest(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     refs = divergence.references(divergence.word_counts(docs))
     rows = docs.where("lang = 'de'").withColumn("lang", F.lit("xx"))
-    other = {r.doc_id: r.js_words for r in divergence.judge(rows, refs).collect()}
-    own = {r.doc_id: r.js_words for r in divergence.judge(docs.where("lang = 'de'"), refs).collect()}
-    assert np.mean([abs(other[i] - own[i]) < 1e-12 for i in own]) > 0.9
+    def total(frame):
+        return {r.doc_id: r.js_chars + r.js_words for r in divergence.judge(frame, refs).collect()}
+
+    nearest, own = total(rows), total(docs.where("lang = 'de'"))
+    each = [total(docs.where("lang = 'de'").withColumn("lang", F.lit(r["lang"]))) for r in refs]
+    assert all(abs(nearest[i] - min(e[i] for e in each)) < 1e-12 and nearest[i] <= own[i] + 1e-12 for i in own)
 
 
 def test_empty_tables(spark):
