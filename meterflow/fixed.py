@@ -77,4 +77,5 @@ QUARANTINE_SAMPLE_ROWS = 100
 
 # --- fixed values: end ---------------------------------------------------
 
+DUPLICATE_REASON = QUALITY_RULES[-1][1]
 RULE_REASONS = [reason for _, reason in QUALITY_RULES]

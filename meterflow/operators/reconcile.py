@@ -28,7 +28,7 @@ def quarantine_counts(quarantine: DataFrame) -> DataFrame:
     """Rejected rows per batch and, of those, rows whose reason is the duplicate rule."""
     return quarantine.groupBy(*BATCH_KEYS).agg(
         F.count(F.lit(1)).alias("quarantine_count"),
-        count_when(F.col("reject_reason") == "DUPLICATE_CDR_ID").alias("duplicate_count"),
+        count_when(F.col("reject_reason") == fixed.DUPLICATE_REASON).alias("duplicate_count"),
     )
 
 
@@ -67,7 +67,7 @@ def reconcile_tagged(
         F.count(F.lit(1)).alias("bronze_record_count"),
         count_when(F.col("quality_status") == fixed.STATUS_VALID).alias("silver_valid_count"),
         count_when(rejected).alias("quarantine_count"),
-        count_when(rejected & (F.col("reject_reason") == "DUPLICATE_CDR_ID")).alias("duplicate_count"),
+        count_when(rejected & (F.col("reject_reason") == fixed.DUPLICATE_REASON)).alias("duplicate_count"),
     )
     joined = metadata.select(*BATCH_KEYS, "expected_record_count").join(counts, on=BATCH_KEYS, how="left")
     return _finish(joined, as_of, threshold)
@@ -92,9 +92,10 @@ def _finish(joined: DataFrame, as_of, threshold: float) -> DataFrame:
 def with_status(counts: DataFrame, threshold: float = fixed.REJECT_RATE_WARNING_THRESHOLD) -> DataFrame:
     """FAILED on any count mismatch; else WARNING above the threshold; else RECONCILED.
 
-    The threshold is compared with the rounded rate, strictly.
+    A batch whose sender announced no count can't be reconciled and is FAILED too. The
+    threshold is compared with the rounded rate, strictly.
     """
-    mismatch = (F.col("expected_record_count") != F.col("bronze_record_count")) | (
+    mismatch = ~F.col("expected_record_count").eqNullSafe(F.col("bronze_record_count")) | (
         F.col("bronze_record_count") != F.col("silver_valid_count") + F.col("quarantine_count")
     )
     status = (

@@ -1,4 +1,4 @@
-"""Build and write the seven layer tables; replay batches idempotently.
+"""Build and write the layer tables; replay batches idempotently.
 
 Order: ingestion log and bronze are written first, so ``ingest_seq`` is fixed
 before anything ranks on it; the tagging result is written once
@@ -7,45 +7,59 @@ storage: clean and quarantine are then narrow reads of one partition each,
 and a lost executor never sends the job back to the duplicate ranking. Gold
 reads the written clean table; reconciliation reads the four written tables,
 so it checks what actually landed on storage.
+
+The log is merged per batch: a replay touches the rows of its own batches, and an
+announced count, once known, is kept until another announcement replaces it. A
+count is never made up from what landed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from meterflow.operators import quality, reconcile, usage
 from meterflow.schemas import BATCH_KEYS
 from meterflow.sources.landing import ingestion_log, read_landing
-from meterflow.sources.tables import read_layer, write_layer
+from meterflow.sources.tables import merge_layer, read_layer, write_layer
+
+# What a merge keeps of a logged batch when the new row doesn't know it.
+ANNOUNCED = ["arrival_ts", "expected_record_count"]
 
 
 def write_landing(bronze: DataFrame, metadata: DataFrame, root: str, replay: bool = False) -> None:
     """Write bronze (per batch) and the ingestion log.
 
-    ``replay=True`` replaces only the batches present in ``bronze``; the log is
-    always rewritten whole (it is one row per batch).
+    ``replay=True`` replaces only the batches present in ``bronze`` and merges
+    the log rows of ``metadata`` into the stored log.
     """
     write_layer(bronze, root, "bronze_cdr_raw", dynamic=replay, rebalance=False)
-    write_layer(metadata, root, "metadata_ingestion_log")
+    if replay:
+        merge_layer(metadata, root, "metadata_ingestion_log", BATCH_KEYS, ANNOUNCED)
+    else:
+        write_layer(metadata, root, "metadata_ingestion_log")
 
 
 def build_downstream(spark: SparkSession, root: str, as_of=None, rules=None) -> None:
     """Silver, gold and reconciliation from the written bronze and log.
 
-    Duplicate ranking and gold span batches, so these layers are rebuilt whole.
+    Duplicate ranking and gold span batches, so these layers are rebuilt whole. Full records
+    move once, to size the files of the clean table: the tagged table is written as its tasks
+    produce it.
     """
     bronze = read_layer(spark, root, "bronze_cdr_raw")
-    write_layer(quality.tag_quality(bronze, rules=rules, as_of=as_of), root, "silver_cdr_tagged")
+    write_layer(quality.tag_quality(bronze, rules=rules, as_of=as_of), root, "silver_cdr_tagged", rebalance=False)
     tagged = read_layer(spark, root, "silver_cdr_tagged")
     write_layer(quality.clean_records(tagged), root, "silver_cdr_clean")
     write_layer(quality.quarantine_records(tagged, as_of), root, "silver_cdr_quarantine")
+    build_gold(spark, root, as_of=as_of)
+
 
+def build_gold(spark: SparkSession, root: str, as_of=None) -> None:
+    """Gold usage and reconciliation from whatever silver tables are under ``root``."""
     clean = read_layer(spark, root, "silver_cdr_clean")
     write_layer(usage.usage_hourly(clean), root, "gold_cdr_usage_hourly")
     write_layer(usage.subscriber_daily(clean), root, "gold_subscriber_usage_daily")
-
     reconcile_layers(spark, root, as_of=as_of)
 
 
@@ -69,17 +83,34 @@ def write_layers(bronze: DataFrame, metadata: DataFrame, root: str, as_of=None,
     build_downstream(bronze.sparkSession, root, as_of=as_of, rules=rules)
 
 
+def log_landed(
+    bronze: DataFrame, root: str, control: DataFrame | None = None, as_of=None, merge: bool = True
+) -> None:
+    """Log the batches of ``bronze`` and of ``control``; ``merge`` leaves those logged before.
+
+    A landed batch that nobody announced is logged with a NULL expected count, unless
+    the log already has one; its arrival is then its first ingestion.
+    """
+    landed = bronze.groupBy(*BATCH_KEYS).agg(F.min("ingestion_ts").alias("_first"))
+    if control is None:
+        control = landed.select(*BATCH_KEYS).limit(0).withColumns(
+            {"arrival_ts": F.lit(None).cast("timestamp"), "expected_record_count": F.lit(None).cast("int")}
+        )
+    announced = control.alias("c").join(landed.alias("l"), BATCH_KEYS, "full")
+    announced = announced.withColumn("arrival_ts", F.coalesce("arrival_ts", "_first")).drop("_first")
+    log = ingestion_log(announced, bronze, created_ts=as_of)
+    if merge:
+        merge_layer(log, root, "metadata_ingestion_log", BATCH_KEYS, ANNOUNCED)
+    else:
+        write_layer(log, root, "metadata_ingestion_log")
+
+
 def build_from_landing(
     spark: SparkSession, landing: str, root: str, dated: bool = False, replay: bool = False, control: DataFrame | None = None
 ) -> None:
     """Raw files -> every layer. ``control`` is the senders' announcement per batch
-    (batch keys, ``arrival_ts``, ``expected_record_count``); without one, the log
-    announces what landed (arrival = first ingestion time)."""
+    (``sources.landing.read_control``); a batch without one has no expected count and
+    reconciles as FAILED. ``replay`` replaces the batches present in the files."""
     write_layer(read_landing(spark, landing, dated=dated), root, "bronze_cdr_raw", dynamic=replay, rebalance=False)
-    landed = read_layer(spark, root, "bronze_cdr_raw")
-    if control is None:
-        control = landed.groupBy(*BATCH_KEYS).agg(
-            F.min("ingestion_ts").alias("arrival_ts"), F.count(F.lit(1)).cast("int").alias("expected_record_count")
-        )
-    write_layer(ingestion_log(control, landed), root, "metadata_ingestion_log")
+    log_landed(read_layer(spark, root, "bronze_cdr_raw"), root, control, merge=replay)
     build_downstream(spark, root)

@@ -1,8 +1,8 @@
 """Table contracts of the seven layer tables.
 
-Bronze and the ingestion log have fixed schemas (raw values stay strings);
-the silver and gold schemas follow from the expressions that build them, and
-the column lists below fix their order.
+Every table has a fixed schema and is read with it, so that types are never
+inferred from folder names or from whatever rows a load happened to have.
+Raw values stay strings.
 """
 
 from __future__ import annotations
@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 S, TS, I, L = T.StringType(), T.TimestampType(), T.IntegerType(), T.LongType()
+D, X, B = T.DateType(), T.DoubleType(), T.BooleanType()
+
+# --- fixed values: begin (names and order of the columns are the table contract)
 
 BATCH_KEYS = ["batch_id", "source_system", "source_file"]
 
@@ -147,3 +150,45 @@ RECONCILIATION_COLUMNS = [
     "reconciliation_status",
     "reconciliation_ts",
 ]
+
+# --- fixed values: end
+
+# Types of the columns that bronze and the ingestion log don't have.
+_DERIVED = {
+    "event_ts": TS,
+    "event_date": D,
+    "event_hour": I,
+    "duration_sec": I,
+    "charge_amount": X,
+    "roaming_flag_bool": B,
+    "record_hash": S,
+    "processed_ts": TS,
+    "is_duplicate": B,
+    "reject_reason": S,
+    "quality_status": S,
+    "reject_ts": TS,
+    "usage_date": D,
+    "usage_hour": I,
+    "total_charge": X,
+    "reject_rate": X,
+    "reconciliation_status": S,
+    "reconciliation_ts": TS,
+}
+_RAW = {f.name: f.dataType for f in [*BRONZE_SCHEMA.fields, *METADATA_SCHEMA.fields]}
+
+
+def _schema(columns: list[str], **own: T.DataType) -> T.StructType:
+    """The columns with their types; counts and totals that are not listed are bigint."""
+    return T.StructType([T.StructField(c, own.get(c, _RAW.get(c, _DERIVED.get(c, L))), True) for c in columns])
+
+
+TABLE_SCHEMAS = {
+    "metadata_ingestion_log": METADATA_SCHEMA,
+    "bronze_cdr_raw": BRONZE_SCHEMA,
+    "silver_cdr_tagged": _schema(TAGGED_COLUMNS),
+    "silver_cdr_clean": _schema(SILVER_CLEAN_COLUMNS, roaming_flag=B),
+    "silver_cdr_quarantine": _schema(SILVER_QUARANTINE_COLUMNS),
+    "gold_cdr_usage_hourly": _schema(GOLD_HOURLY_COLUMNS),
+    "gold_subscriber_usage_daily": _schema(GOLD_SUBSCRIBER_DAILY_COLUMNS),
+    "gold_reconciliation_daily": _schema(RECONCILIATION_COLUMNS),
+}

@@ -32,8 +32,16 @@ LOCAL_CONF = {
 }
 
 
+def cluster_session(app: str = "meterflow") -> SparkSession:
+    """The platform's session: no master and no tuning, only what results depend on."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    for key, value in REQUIRED_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cpus: int | str = "*", app: str = "meterflow", extra: dict | None = None) -> SparkSession:
-    """A ``local[cpus]`` session with the UI off and a scratch checkpoint folder."""
+    """A ``local[cpus]`` session with the UI off."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for key, value in {**LOCAL_CONF, **REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
@@ -41,7 +49,6 @@ def local_session(cpus: int | str = "*", app: str = "meterflow", extra: dict | N
     spark.sparkContext.setLogLevel("ERROR")
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
-    checkpoint_root(spark)
     return spark
 
 
@@ -49,7 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (what a cluster names); only when that is
-    unset, as in local tests, a fresh scratch folder is made and registered.
+    unset and the master is local, as in tests, a fresh scratch folder is made and
+    registered. On a cluster a machine-local folder would lose files: that is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -57,6 +65,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="meterflow-ckpt-", dir=os.environ.get("METERFLOW_SCRATCH", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()

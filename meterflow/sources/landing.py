@@ -15,6 +15,15 @@ from meterflow.functions import naming
 from meterflow.functions.parsing import wall_clock
 from meterflow.schemas import BATCH_KEYS, BRONZE_COLUMNS, LANDING_SCHEMA, METADATA_COLUMNS
 
+# Raw strings are kept as sent: no trimming (a blank number must stay blank). The header is
+# checked against the column names, so a file with other or reordered columns fails loudly.
+CSV_OPTIONS = {
+    "header": "true",
+    "enforceSchema": "false",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 # A dated landing area: <root>/<source_system>/<yyyy>/<mm>/<dd>/<file>.
 DATED_GLOB = "*/[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9]"
 
@@ -37,21 +46,34 @@ def read_landing(
         paths = [f"{p.rstrip('/')}/{DATED_GLOB}" for p in paths]
     reader = spark.read.schema(LANDING_SCHEMA).format(fmt)
     if fmt == "csv":
-        # Raw strings are kept as sent: no trimming (a blank number must stay blank).
-        reader = reader.options(
-            header="true", mode="PERMISSIVE", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
-        )
+        reader = reader.options(mode="PERMISSIVE", **CSV_OPTIONS)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
-    raw = reader.load(paths)
+    return stamp_ingestion(with_lineage(reader.load(paths), dated), as_of)
+
+
+def with_lineage(raw: DataFrame, dated: bool = False) -> DataFrame:
+    """Fill missing lineage from the file a record came from, in batch reads and streams alike."""
     lineage = {"source_file": F.coalesce(F.col("source_file"), F.col("_metadata.file_name"))}
     if dated:
         folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/\d{4}/\d{2}/\d{2}/[^/]+$", 1)
         lineage["source_system"] = F.coalesce(F.col("source_system"), F.nullif(folder, F.lit("")))
-    with_lineage = raw.withColumns(lineage)
+    named = raw.withColumns(lineage)
     # A record without a batch id belongs to the batch its file names: BATCH_<file stamp>_<source>.
     derived = naming.batch_id(naming.stamp_from_file(F.col("source_file")), F.col("source_system"))
-    return stamp_ingestion(with_lineage.withColumn("batch_id", F.coalesce(F.col("batch_id"), derived)), as_of)
+    return named.withColumn("batch_id", F.coalesce(F.col("batch_id"), derived))
+
+
+def read_control(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """The senders' announcements: batch keys, ``arrival_ts``, ``expected_record_count`` and, if the
+    file has it, ``actual_generated_count``. Columns are taken by name; a missing key column is an error."""
+    reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
+    raw = reader.format(fmt).load(path)
+    optional = {"arrival_ts": "timestamp", "expected_record_count": "int", "actual_generated_count": "int"}
+    return raw.select(
+        *[F.col(k).cast("string").alias(k) for k in BATCH_KEYS],
+        *[(F.col(c).try_cast(t) if c in raw.columns else F.lit(None).cast(t)).alias(c) for c, t in optional.items()],
+    )
 
 
 def stamp_ingestion(raw: DataFrame, as_of=None) -> DataFrame:
@@ -79,15 +101,17 @@ def ingestion_log(control: DataFrame, bronze: DataFrame, created_ts=None, status
     """One row per announced batch: expected count next to what landed.
 
     ``control`` carries the batch keys, ``arrival_ts`` and ``expected_record_count``
-    (what the source announced). Counts of batches that never landed are 0.
+    (what the source announced) and may carry the sender's ``actual_generated_count``;
+    without it that column repeats what landed. Counts of batches that never landed are 0.
     """
+    sent = F.col("actual_generated_count").cast("int") if "actual_generated_count" in control.columns else F.lit(None)
     landed = batch_counts(bronze, "_landed")
     n = F.coalesce(F.col("_landed"), F.lit(0)).cast("int")
     return control.join(landed, on=BATCH_KEYS, how="left").select(
         *BATCH_KEYS,
         F.col("arrival_ts").cast("timestamp").alias("arrival_ts"),
         F.col("expected_record_count").cast("int").alias("expected_record_count"),
-        n.alias("actual_generated_count"),
+        F.coalesce(sent, n).alias("actual_generated_count"),
         n.alias("bronze_count"),
         (status if isinstance(status, Column) else F.lit(status or fixed.BATCH_STATUS_GENERATED)).alias("status"),
         wall_clock(created_ts).alias("created_ts"),

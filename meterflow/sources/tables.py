@@ -8,10 +8,13 @@ in the data (dynamic partition overwrite).
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterflow import schemas
-from meterflow.schemas import BRONZE_SCHEMA, METADATA_SCHEMA
+from meterflow.schemas import TABLE_SCHEMAS
 
 # table -> partition columns. Bronze and quarantine are kept per batch (the
 # replay unit); clean and gold per event day (what reports filter on).
@@ -26,23 +29,12 @@ LAYOUT: dict[str, list[str]] = {
     "gold_reconciliation_daily": [],
 }
 
-# Layout of the incremental (streaming) tier: silver is kept per batch too, so
-# a retried micro-batch replaces exactly what it wrote before.
-STREAM_LAYOUT: dict[str, list[str]] = {**LAYOUT, "silver_cdr_clean": ["batch_id"]}
-
-# Tables read with a fixed schema (their partition column is part of it).
-SCHEMAS = {"bronze_cdr_raw": BRONZE_SCHEMA, "metadata_ingestion_log": METADATA_SCHEMA}
-
-# Column order of each table (partition columns come back last from Parquet).
-COLUMNS = {
-    "metadata_ingestion_log": schemas.METADATA_COLUMNS,
-    "bronze_cdr_raw": schemas.BRONZE_COLUMNS,
-    "silver_cdr_tagged": schemas.TAGGED_COLUMNS,
-    "silver_cdr_clean": schemas.SILVER_CLEAN_COLUMNS,
-    "silver_cdr_quarantine": schemas.SILVER_QUARANTINE_COLUMNS,
-    "gold_cdr_usage_hourly": schemas.GOLD_HOURLY_COLUMNS,
-    "gold_subscriber_usage_daily": schemas.GOLD_SUBSCRIBER_DAILY_COLUMNS,
-    "gold_reconciliation_daily": schemas.RECONCILIATION_COLUMNS,
+# Layout of the incremental (streaming) tier: every table is kept per load (one
+# micro-batch), so a retried micro-batch replaces exactly what it wrote before and
+# a batch that arrives in several loads keeps them all. ``load_id`` is a folder
+# only; it is not part of the tables' contract.
+STREAM_LAYOUT: dict[str, list[str]] = {
+    table: ["load_id"] for table in ["bronze_cdr_raw", "silver_cdr_tagged", "silver_cdr_clean", "silver_cdr_quarantine"]
 }
 
 
@@ -68,10 +60,43 @@ def write_layer(
 
 
 def read_layer(spark: SparkSession, root: str, table: str) -> DataFrame:
-    reader = spark.read
-    if table in SCHEMAS:
-        reader = reader.schema(SCHEMAS[table])
-    return reader.parquet(layer_path(root, table)).select(*COLUMNS[table])
+    """The table under its fixed schema; a table written without rows reads as empty."""
+    schema = TABLE_SCHEMAS[table]
+    return spark.read.schema(schema).parquet(layer_path(root, table)).select(*schema.fieldNames())
+
+
+def exists(spark: SparkSession, root: str, table: str) -> bool:
+    """Whether the table has been written, in whatever file system ``root`` is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(layer_path(root, table))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def merge_layer(fresh: DataFrame, root: str, table: str, keys: list[str], keep: list[str] = ()) -> None:
+    """Replace the rows of ``table`` whose keys ``fresh`` has and leave the others.
+
+    A column of ``keep`` that is NULL in a fresh row keeps its stored value. The result is
+    staged beside the table before it takes its place, since the table is also its input.
+    """
+    spark = fresh.sparkSession
+    schema = TABLE_SCHEMAS[table]
+    if exists(spark, root, table):
+        stored = read_layer(spark, root, table)
+        same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+        is_new = F.col("n._fresh").isNotNull()
+        merged = fresh.withColumn("_fresh", F.lit(1)).alias("n").join(
+            stored.alias("o"), reduce(lambda a, b: a & b, same), "full"
+        )
+        fresh = merged.select(
+            *[
+                F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c)
+                if c in keep
+                else F.when(is_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
+                for c in schema.fieldNames()
+            ]
+        )
+    staged = f"{root.rstrip('/')}/_staging/{table}-{uuid.uuid4().hex}"
+    fresh.select(*schema.fieldNames()).write.parquet(staged)
+    write_layer(spark.read.schema(schema).parquet(staged), root, table)
 
 
 def register_views(spark: SparkSession, root: str | None = None, layers=None) -> list[str]:

@@ -1,12 +1,15 @@
 """Incremental ingestion and quality on Structured Streaming.
 
-* ``landing_stream``: raw files as a stream, under the fixed landing schema.
-* ``IncrementalQuality``: a ``foreachBatch`` step that lands each micro-batch
-  in bronze and splits it into clean and quarantined records, with duplicates
-  judged against every record stored by earlier micro-batches. Writes replace
-  the batch partitions of the micro-batch (dynamic overwrite), so a retried
-  micro-batch leaves the same tables. A batch must arrive whole in one file
-  (the unit of delivery).
+* ``landing_stream``: raw files as a stream, with the batch reader's schema checks
+  and lineage (a missing batch id comes from the file name, a missing source from a
+  dated tree).
+* ``IncrementalQuality``: a ``foreachBatch`` step. Every micro-batch is a load of its
+  own: bronze, tagged, clean and quarantined records are kept per load, so a retried
+  micro-batch replaces exactly what it wrote, and a batch that arrives in several
+  files or is delivered again keeps all its records. Duplicates are judged against a
+  table of the keys that earlier loads brought first: the first arrival of a key is
+  its one candidate for the clean table, whatever batch it names.
+* ``publish``: gold, ingestion log and reconciliation from the stored loads.
 * ``hourly_usage_stream``: hourly usage over a stream of clean records, with a
   watermark; windows are emitted once closed. Distinct subscribers are
   approximate here: exact distinct counts are not supported on streams.
@@ -21,54 +24,88 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.functions.metrics import count_when, money_sum
-from meterflow.functions.parsing import wall_clock
 from meterflow.operators import quality
+from meterflow.operators.dedup import DEFAULT_KEY
+from meterflow.plans import layers
 from meterflow.schemas import LANDING_SCHEMA
-from meterflow.sources.landing import stamp_ingestion
-from meterflow.sources.tables import STREAM_LAYOUT, read_layer, write_layer
+from meterflow.sources.landing import CSV_OPTIONS, DATED_GLOB, stamp_ingestion, with_lineage
+from meterflow.sources.tables import STREAM_LAYOUT, exists, layer_path, read_layer, write_layer
 
+# Keys by the load that brought them first. A micro-batch reads the key columns of the
+# buckets that its own keys fall into, never the stored records.
+SEEN_KEYS = "seen_keys"
+SEEN_SCHEMA = "source_system string, cdr_id string, bucket int, load_id string"
+SEEN_BUCKETS = 64
 
-def landing_stream(spark: SparkSession, path: str, fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
+
+def landing_stream(
+    spark: SparkSession, path: str, fmt: str = "csv", max_files_per_trigger: int | None = None, dated: bool = False
+) -> DataFrame:
     reader = spark.readStream.schema(LANDING_SCHEMA).format(fmt)
     if fmt == "csv":
-        reader = reader.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+        reader = reader.options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.load(path)
-    return raw.withColumn("source_file", F.coalesce(F.col("source_file"), F.col("_metadata.file_name")))
+    return with_lineage(reader.load(f"{path.rstrip('/')}/{DATED_GLOB}" if dated else path), dated)
+
+
+def _bucket():
+    return F.pmod(F.xxhash64(*DEFAULT_KEY), F.lit(SEEN_BUCKETS)).cast("int")
 
 
 class IncrementalQuality:
-    """``foreachBatch`` function: micro-batch -> bronze, clean, quarantine under ``root``.
+    """``foreachBatch`` function: micro-batch -> bronze, tagged, clean, quarantine under ``root``.
 
-    ``horizon`` (e.g. ``"30 days"``, opt-in) limits the duplicate check to
-    records loaded within that interval before the micro-batch: a filter on
-    ``ingestion_ts`` that Parquet row-group statistics can skip on, so the
-    per-micro-batch cost stops growing with the whole history. Without it the
-    check is global, like the batch pipeline.
+    The load id is the stream's query id and the epoch: a new stream over the same root
+    never meets the loads of an older one. ``run`` names the stream of direct calls.
     """
 
-    def __init__(self, root: str, as_of=None, rules=None, horizon: str | None = None):
-        self.root, self.as_of, self.rules, self.horizon = root, as_of, rules, horizon
+    def __init__(self, root: str, as_of=None, rules=None, run: str = "manual"):
+        self.root, self.as_of, self.rules, self.run = root, as_of, rules, run
+
+    def load_id(self, spark: SparkSession, epoch_id: int) -> str:
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        return f"{stream or self.run}-{epoch_id:012d}"
+
+    def _write(self, rows: DataFrame, table: str, load: str) -> None:
+        rows = rows.withColumn("load_id", F.lit(load))
+        write_layer(rows, self.root, table, dynamic=True, rebalance=False, layout=STREAM_LAYOUT)
+
+    def _read(self, spark: SparkSession, table: str, load: str) -> DataFrame:
+        stored = spark.read.schema(read_layer(spark, self.root, table).schema.add("load_id", "string"))
+        return stored.parquet(layer_path(self.root, table)).where(F.col("load_id") == load).drop("load_id")
+
+    def _seen(self, spark: SparkSession, current: DataFrame, load: str) -> DataFrame | None:
+        if not exists(spark, self.root, SEEN_KEYS):
+            return None
+        seen = spark.read.schema(SEEN_SCHEMA).parquet(layer_path(self.root, SEEN_KEYS))
+        touched = current.select(_bucket().alias("bucket")).distinct()
+        return seen.where(F.col("load_id") != load).join(F.broadcast(touched), "bucket", "left_semi").select(*DEFAULT_KEY)
 
     def __call__(self, micro: DataFrame, epoch_id: int) -> None:
         spark = micro.sparkSession
-        batches = micro.select("batch_id").distinct()
-        write_layer(stamp_ingestion(micro, self.as_of), self.root, "bronze_cdr_raw", dynamic=True, rebalance=False,
-                    layout=STREAM_LAYOUT)
-        stored = read_layer(spark, self.root, "bronze_cdr_raw")
+        load = self.load_id(spark, epoch_id)
+        self._write(stamp_ingestion(micro, self.as_of), "bronze_cdr_raw", load)
         # Read back: ingest_seq is fixed once written.
-        current = stored.join(batches, on="batch_id", how="left_semi")
-        earlier = stored.join(batches, on="batch_id", how="left_anti")
-        if self.horizon:
-            since = wall_clock(self.as_of) - F.expr(f"INTERVAL {self.horizon}")
-            earlier = earlier.where(F.col("ingestion_ts") >= since)
-        tagged = quality.tag_quality(current, rules=self.rules, as_of=self.as_of, seen=earlier)
-        for table, rows in [
-            ("silver_cdr_clean", quality.clean_records(tagged)),
-            ("silver_cdr_quarantine", quality.quarantine_records(tagged, self.as_of)),
-        ]:
-            write_layer(rows, self.root, table, dynamic=True, layout=STREAM_LAYOUT)
+        current = self._read(spark, "bronze_cdr_raw", load)
+        seen = self._seen(spark, current, load)
+        self._write(quality.tag_quality(current, rules=self.rules, as_of=self.as_of, seen=seen), "silver_cdr_tagged", load)
+        tagged = self._read(spark, "silver_cdr_tagged", load)
+        self._write(quality.clean_records(tagged), "silver_cdr_clean", load)
+        self._write(quality.quarantine_records(tagged, self.as_of), "silver_cdr_quarantine", load)
+        # The records that are first of their key bring it; the others were seen before.
+        first = tagged.where(~F.col("is_duplicate")).select(*DEFAULT_KEY)
+        first = first.withColumns({"bucket": _bucket(), "load_id": F.lit(load)})
+        (
+            first.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("bucket", "load_id").parquet(layer_path(self.root, SEEN_KEYS))
+        )
+
+
+def publish(spark: SparkSession, root: str, control: DataFrame | None = None, as_of=None) -> None:
+    """Merge the stored loads into the ingestion log, then rebuild gold and reconciliation."""
+    layers.log_landed(read_layer(spark, root, "bronze_cdr_raw"), root, control, as_of=as_of)
+    layers.build_gold(spark, root, as_of=as_of)
 
 
 def run_incremental(
@@ -79,12 +116,12 @@ def run_incremental(
     as_of=None,
     rules=None,
     max_files_per_trigger=None,
-    horizon: str | None = None,
+    dated: bool = False,
 ):
     """Process every landed file available now, then stop (``availableNow``)."""
     query = (
-        landing_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)
-        .writeStream.foreachBatch(IncrementalQuality(root, as_of=as_of, rules=rules, horizon=horizon))
+        landing_stream(spark, landing, max_files_per_trigger=max_files_per_trigger, dated=dated)
+        .writeStream.foreachBatch(IncrementalQuality(root, as_of=as_of, rules=rules))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -74,8 +74,8 @@ def test_build_from_landing(spark, scratch):
     reasons = {r.reject_reason: r.rejected_record_count for r in reports.reject_reasons(disk.quarantine).collect()}
     expected = {r.reject_reason: r.rejected_record_count for r in reports.reject_reasons(ls.quarantine).collect()}
     assert reasons == expected
-    status = {r.reconciliation_status for r in disk.recon.collect()}
-    assert status <= {"RECONCILED", "WARNING"}
+    # nobody announced a count, so nothing can be reconciled
+    assert {(r.reconciliation_status, r.expected_record_count) for r in disk.recon.collect()} == {("FAILED", None)}
 
 
 def test_rebalanced_write_splits_a_hot_partition(spark, scratch):
@@ -120,3 +120,91 @@ def test_reconciliation_from_tables_catches_a_lost_batch(spark, scratch):
     assert changed == {lost} and after[lost] == "FAILED"
     row = recon.where(F.col("batch_id") == lost).first()
     assert row.silver_valid_count == 0 and row.bronze_record_count > row.quarantine_count
+
+
+def landed(spark, folder, *batches):
+    """CSV landing files, one per (batch, keys)."""
+    from helpers import rows
+    from meterflow.schemas import LANDING_SCHEMA
+
+    for batch, keys in batches:
+        frame = rows(spark, *[{"batch_id": batch, "cdr_id": k, "source_file": f"{batch}.csv"} for k in keys])
+        frame.select(*LANDING_SCHEMA.fieldNames()).coalesce(1).write.option("header", "true").csv(os.path.join(folder, batch))
+    return os.path.join(folder, "*")
+
+
+def control_of(spark, folder, *expected):
+    from meterflow.sources.landing import read_control
+
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "control.csv"), "w") as fh:
+        fh.write("source_system,batch_id,source_file,expected_record_count\n")
+        fh.writelines(f"MEDIATION_A,{b},{b}.csv,{n}\n" for b, n in expected)
+    return read_control(spark, folder)
+
+
+def test_replay_keeps_other_batches_and_announced_counts(spark, scratch):
+    from meterflow.plans.layers import build_from_landing
+
+    root = os.path.join(scratch, "root")
+    both = landed(spark, os.path.join(scratch, "both"), ("B1", ["K1", "K2"]), ("B2", ["K3", "K4"]))
+    build_from_landing(spark, both, root, control=control_of(spark, os.path.join(scratch, "c1"), ("B1", 2), ("B2", 5)))
+
+    def status():
+        rows = read_layer(spark, root, "gold_reconciliation_daily").collect()
+        return {r.batch_id: (r.expected_record_count, r.reconciliation_status) for r in rows}
+
+    assert status() == {"B1": (2, "RECONCILED"), "B2": (5, "FAILED")}
+    again = landed(spark, os.path.join(scratch, "again"), ("B1", ["K1", "K2"]))
+    for control in (None, control_of(spark, os.path.join(scratch, "c2"), ("B1", 2))):
+        build_from_landing(spark, again, root, replay=True, control=control)
+        assert status() == {"B1": (2, "RECONCILED"), "B2": (5, "FAILED")}
+
+
+def test_all_valid_all_rejected_and_numeric_looking_batches(spark, scratch):
+    from helpers import rows
+
+    for name, override, table in [
+        ("valid", {}, "silver_cdr_quarantine"),
+        ("rejected", {"duration_raw": "0"}, "silver_cdr_clean"),
+    ]:
+        root = os.path.join(scratch, name)
+        bronze = rows(spark, *[{"batch_id": "0001", **override}] * 3)
+        from meterflow.plans.layers import build_downstream, log_landed
+
+        from meterflow.sources.tables import write_layer
+
+        write_layer(bronze, root, "bronze_cdr_raw", rebalance=False)
+        log_landed(read_layer(spark, root, "bronze_cdr_raw"), root, merge=False)
+        build_downstream(spark, root, as_of=fixture.AS_OF)
+        assert read_layer(spark, root, table).count() == 0
+        got = read_layer(spark, root, "gold_reconciliation_daily").collect()
+        assert [(r.batch_id, r.bronze_record_count) for r in got] == [("0001", 3)]
+        assert {r.batch_id for r in read_layer(spark, root, "bronze_cdr_raw").collect()} == {"0001"}
+
+
+def test_reordered_header_fails_loudly(spark, scratch):
+    import pytest
+
+    from meterflow.schemas import LANDING_SCHEMA
+    from meterflow.sources.landing import read_landing
+
+    names = LANDING_SCHEMA.fieldNames()
+    names[0], names[3] = names[3], names[0]
+    path = os.path.join(scratch, "odd.csv")
+    with open(path, "w") as fh:
+        fh.write(",".join(names) + "\n" + ",".join("x" for _ in names) + "\n")
+    with pytest.raises(Exception, match="header|schema"):
+        read_landing(spark, path).collect()
+
+
+def test_statements_and_session(monkeypatch, spark):
+    from meterflow import __main__ as cli
+    from meterflow import session
+
+    text = "-- one; two\nSELECT ';' AS a, `b;c` /* ; */ FROM t;\n\nSELECT 2"
+    assert [s.split()[0:2] for s in cli._statements(text)] == [["SELECT", "';'"], ["SELECT", "2"]]
+    assert session.cluster_session() is not None
+    import inspect
+
+    assert "master" not in inspect.getsource(session.cluster_session).split('"""')[2]

@@ -89,23 +89,47 @@ def test_hourly_stream_matches_batch_on_closed_windows(spark, scratch):
     assert got.exceptAll(batch).count() == 0
 
 
-def test_duplicate_horizon_limits_the_history_checked(spark, scratch):
-    import datetime as dt
+def micro(spark, *records):
+    """Landing rows (batch, key) as a micro-batch."""
+    from helpers import rows
 
-    ls = LayerSet.from_fixture(spark, SF["0.001"])
-    first = ls.bronze.select(*LANDING_COLS)
-    picked = ls.clean.select("cdr_id").orderBy("cdr_id").limit(3)
-    resent = (
-        ls.bronze.where(F.col("ingest_seq") % 2 == 0).join(picked, "cdr_id", "left_semi")
-        .withColumn("batch_id", F.lit("BATCH_20240301_000000_MEDIATION_A")).select(*LANDING_COLS)
+    return rows(spark, *[{"batch_id": b, "cdr_id": k} for b, k in records]).select(*LANDING_COLS)
+
+
+def balance(spark, root):
+    bronze, clean, quarantine = (
+        sorted((str(r.batch_id), r.cdr_id) for r in read_layer(spark, root, t).collect())
+        for t in ["bronze_cdr_raw", "silver_cdr_clean", "silver_cdr_quarantine"]
     )
-    for horizon, want in [(None, "DUPLICATE_CDR_ID"), ("7 days", None)]:
-        root = os.path.join(scratch, f"h{horizon is None}")
-        IncrementalQuality(root, as_of=dt.datetime(2024, 2, 1), horizon=horizon)(first, 0)
-        IncrementalQuality(root, as_of=dt.datetime(2024, 3, 1), horizon=horizon)(resent, 1)
-        q = read_layer(spark, root, "silver_cdr_quarantine").where(F.col("batch_id") == "BATCH_20240301_000000_MEDIATION_A")
-        c = read_layer(spark, root, "silver_cdr_clean").where(F.col("batch_id") == "BATCH_20240301_000000_MEDIATION_A")
-        if want:
-            assert [r.reject_reason for r in q.collect()] == [want] * 3 and c.count() == 0
-        else:
-            assert q.count() == 0 and c.count() == 3
+    assert sorted(clean + quarantine) == bronze
+    keys = [k for _, k in clean]
+    assert len(keys) == len(set(keys))
+    return clean, quarantine
+
+
+def test_redelivery_split_and_nameless_batches(spark, scratch):
+    root = os.path.join(scratch, "loads")
+    step = IncrementalQuality(root, as_of=fixture.AS_OF)
+    step(micro(spark, ("B1", "K1"), ("B1", "K2")), 0)
+    step(micro(spark, ("B2", "K1"), ("B2", "K3")), 1)
+    step(micro(spark, ("B1", "K1"), ("B1", "K2")), 2)  # delivered again
+    step(micro(spark, ("B2", "K4"), (None, "K5"), (None, "K3")), 3)  # the rest of B2, and records without a batch
+    step(micro(spark, ("B2", "K4"), (None, "K5"), (None, "K3")), 3)  # a retry
+    clean, quarantine = balance(spark, root)
+    assert clean == [("B1", "K1"), ("B1", "K2"), ("B2", "K3"), ("B2", "K4"), ("None", "K5")]
+    assert len(quarantine) == 4
+
+
+def test_publish_reconciles_the_loads(spark, scratch):
+    from meterflow.streaming.incremental import publish
+
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    root = os.path.join(scratch, "published")
+    IncrementalQuality(root, as_of=fixture.AS_OF)(ls.bronze.select(*LANDING_COLS), 0)
+    publish(spark, root, fixture.fixture_control(spark, ls.bronze), as_of=fixture.AS_OF)
+    status = {r.batch_id: r.reconciliation_status for r in read_layer(spark, root, "gold_reconciliation_daily").collect()}
+    expected = {r.batch_id: r.reconciliation_status for r in ls.recon.collect()}
+    unannounced = set(status) - set(expected)
+    assert {b: s for b, s in status.items() if b in expected} == expected
+    assert unannounced and all(status[b] == "FAILED" for b in unannounced)
+    assert read_layer(spark, root, "gold_cdr_usage_hourly").exceptAll(ls.hourly).count() == 0
