@@ -24,7 +24,7 @@ from meterflow.operators import quality, reconcile, usage  # noqa: E402
 from meterflow.plans import monitoring, reports  # noqa: E402
 from meterflow.plans.layerset import LayerSet  # noqa: E402
 from meterflow.plans.oracle import ORACLE_SQL  # noqa: E402
-from meterflow.sources import landing  # noqa: E402
+from meterflow.sources import fixture, landing  # noqa: E402
 from meterflow.session import REQUIRED_CONF  # noqa: E402
 
 try:  # the corpus operators are optional: without their folders all else works
@@ -62,6 +62,11 @@ def _q(build: Callable[[LayerSet], DataFrame]) -> Callable[[SparkSession, str],
     return run
 
 
+def _recon_split(ls: LayerSet) -> DataFrame:
+    """Reconciliation by three joins, over a split that lost and repeated records."""
+    return reconcile.reconcile(ls.metadata, ls.bronze, *fixture.faulty_split(ls.clean, ls.quarantine), as_of=ls.as_of)
+
+
 _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     # sources and landing
     "bronze_raw": lambda ls: ls.bronze,
@@ -99,6 +104,9 @@ _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     "recon_status_summary": lambda ls: reports.recon_status_summary(ls.recon),
     "reject_rate_by_source": lambda ls: reports.reject_rate_by_source(ls.recon),
     "reject_rate_by_source_dups": lambda ls: reports.reject_rate_by_source(ls.recon, with_duplicates=True),
+    "reconciliation_split": lambda ls: _recon_split(ls).orderBy("source_system", "batch_id"),
+    "count_match_check_split": lambda ls: reconcile.count_match_check(_recon_split(ls)),
+    "count_match_labels_split": lambda ls: reconcile.count_match_labels(_recon_split(ls)),
     "unregistered_batches": lambda ls: reconcile.unregistered_batches(ls.metadata, ls.bronze),
     # dashboard
     "layer_counts": reports.layer_counts,
@@ -109,13 +117,15 @@ _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     "source_usage_summary": lambda ls: reports.source_usage_summary(ls.hourly),
     "source_unique_subscribers": lambda ls: reports.source_unique_subscribers(ls.clean),
     "daily_usage_summary": lambda ls: reports.daily_usage_summary(ls.hourly),
-    "quality_by_source": lambda ls: reports.quality_by_source(ls.clean, ls.quarantine),
+    "quality_by_source": lambda ls: reports.quality_by_source_tagged(ls.tagged),
+    "quality_by_source_joined": lambda ls: reports.quality_by_source(ls.clean, ls.quarantine),
     "quarantine_sample": lambda ls: reports.quarantine_sample(ls.quarantine),
     # monitoring (documented needs beyond the core reports)
     "reconciliation_trend": lambda ls: monitoring.reconciliation_trend(ls.recon, ls.metadata),
     "quality_scorecard": lambda ls: monitoring.quality_scorecard(ls.tagged),
     "reject_rate_jumps": lambda ls: monitoring.reject_rate_jumps(ls.recon, ls.metadata),
     "missing_batches": lambda ls: monitoring.missing_batches(ls.metadata),
+    "late_batches": lambda ls: monitoring.late_batches(ls.metadata, ls.as_of, [*fixed.SOURCE_SYSTEMS, "SILENT_SOURCE"]),
     "sequence_overlaps": lambda ls: monitoring.sequence_overlaps(ls.clean),
     # approximate (no exact SQL twin): mergeable subscriber sketches rolled up per source
     "source_unique_subscribers_approx": lambda ls: usage.unique_subscribers_from_sketches(

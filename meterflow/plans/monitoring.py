@@ -102,47 +102,60 @@ def missing_batches(metadata: DataFrame) -> DataFrame:
 SEQUENCE_ORDER = ["event_ts", "source_system", "cdr_id"]  # total within a subscriber (clean keys are unique)
 
 
-def sequence_overlaps(clean: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Events that start before the subscriber's previous event has ended.
-
-    The previous event is ``lag`` over the subscriber's events by time. To keep
-    a subscriber with a third of all records out of a single task, records are
-    range-partitioned on (subscriber, time, key) into ``chunks`` -- a hot
-    subscriber spreads over many chunks -- and ``lag`` runs per (chunk,
-    subscriber). The first record of a subscriber in a chunk then takes the
-    last record of the previous non-empty chunk if it is the same subscriber:
-    that carry table has one row per chunk, a size fixed by ``chunks``, so it is
-    broadcast.
+def sequence_overlaps(clean: DataFrame) -> DataFrame:
+    """Events that start before some earlier event of the subscriber has ended.
+
+    Listed with the earlier event that ends last. Events are grouped by subscriber and
+    hour, a group that their own columns decide, so a subscriber with a third of all
+    records spreads over its hours. Per group the event that ends last is one row; a
+    running maximum over these rows (hours of a subscriber, not events) gives what is
+    still open when an hour begins, and a window within the hour gives the rest.
+    Records are exchanged once.
     """
-    n = chunks or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hour = F.date_trunc("hour", "event_ts")
     events = clean.select(
         "subscriber_msisdn",
         *SEQUENCE_ORDER,
-        F.timestamp_add("SECOND", F.col("duration_sec"), F.col("event_ts")).alias("event_end"),
+        hour.alias("_hour"),
+        F.struct(
+            F.timestamp_add("SECOND", F.col("duration_sec"), F.col("event_ts")).alias("event_end"), *SEQUENCE_ORDER
+        ).alias("_own"),
     )
-    ranged = events.repartitionByRange(n, "subscriber_msisdn", *SEQUENCE_ORDER).withColumn(
-        "_chunk", F.spark_partition_id()
-    )
-    w = Window.partitionBy("_chunk", "subscriber_msisdn").orderBy(*SEQUENCE_ORDER)
-    within = ranged.withColumns(
-        {
-            "_prev_cdr": F.lag("cdr_id").over(w),
-            "_prev_src": F.lag("source_system").over(w),
-            "_prev_end": F.lag("event_end").over(w),
-        }
+    group = ["subscriber_msisdn", "_hour"]
+    earlier = Window.partitionBy("subscriber_msisdn").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    carry = events.groupBy(*group).agg(F.max("_own").alias("_last")).select(*group, F.max("_last").over(earlier).alias("_carry"))
+    before = Window.partitionBy(*group).orderBy(*SEQUENCE_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    within = events.withColumn("_within", F.max("_own").over(before))
+    latest = F.greatest("_within", "_carry")
+    return (
+        within.join(carry.where("_carry IS NOT NULL"), group, "left")
+        .select(
+            "subscriber_msisdn",
+            "source_system",
+            "cdr_id",
+            "event_ts",
+            latest["source_system"].alias("previous_source_system"),
+            latest["cdr_id"].alias("previous_cdr_id"),
+            latest["event_end"].alias("previous_end_ts"),
+        )
+        .where(F.col("event_ts") < F.col("previous_end_ts"))
     )
-    last_row = F.struct("subscriber_msisdn", *SEQUENCE_ORDER, "event_end")
-    per_chunk = ranged.groupBy("_chunk").agg(F.max(last_row).alias("_last"))
-    carry = per_chunk.select("_chunk", F.lag("_last").over(Window.orderBy("_chunk")).alias("_carry"))
-    joined = within.join(F.broadcast(carry), on="_chunk", how="left")
-    use_carry = F.col("_prev_end").isNull() & (F.col("_carry.subscriber_msisdn") == F.col("subscriber_msisdn"))
-    out = joined.select(
-        "subscriber_msisdn",
-        "source_system",
-        "cdr_id",
-        "event_ts",
-        F.when(use_carry, F.col("_carry.source_system")).otherwise(F.col("_prev_src")).alias("previous_source_system"),
-        F.when(use_carry, F.col("_carry.cdr_id")).otherwise(F.col("_prev_cdr")).alias("previous_cdr_id"),
-        F.when(use_carry, F.col("_carry.event_end")).otherwise(F.col("_prev_end")).alias("previous_end_ts"),
+
+
+def late_batches(metadata: DataFrame, as_of, sources: list[str] = fixed.SOURCE_SYSTEMS, deadline_hours: int = 24) -> DataFrame:
+    """Daily batches due by ``as_of`` that were never logged, with the hours they are late.
+
+    Unlike ``missing_batches`` the schedule runs from the first logged day of any source up to the
+    last day whose batch was due (midnight plus ``deadline_hours``), for every source of the list:
+    the batch that is late now and a source that has gone silent are listed too.
+    """
+    logged = metadata.select("source_system", F.to_date("arrival_ts").alias("expected_date"))
+    first = logged.agg(F.min("expected_date").alias("d0"))
+    due = F.to_date(F.timestamp_add("HOUR", F.lit(-deadline_hours), F.lit(as_of).cast("timestamp")))
+    days = first.where(F.col("d0") <= due).select(F.explode(F.sequence("d0", due)).alias("expected_date"))
+    schedule = days.select(F.explode(F.array(*[F.lit(s) for s in sources])).alias("source_system"), "expected_date")
+    missing = schedule.join(logged, ["source_system", "expected_date"], "left_anti")
+    waited = F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp(F.col("expected_date").cast("timestamp"))
+    return missing.withColumn("hours_late", (F.floor(waited / 3600) - deadline_hours).cast("bigint")).orderBy(
+        "source_system", "expected_date"
     )
-    return out.where(F.col("event_ts") < F.col("previous_end_ts"))

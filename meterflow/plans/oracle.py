@@ -12,7 +12,8 @@ from meterflow import fixed
 from meterflow.sources import fixture
 
 AS_OF_SQL = f"TIMESTAMP '{fixture.AS_OF:%Y-%m-%d %H:%M:%S}'"
-_VALID_TYPES = ", ".join(f"'{t}'" for t in fixed.VALID_EVENT_TYPES)
+# Written out, so that a wrong value in the package does not pass on both sides.
+_VALID_TYPES = "'VOICE', 'SMS', 'DATA', 'ROAMING'"
 
 _BRONZE_COLS = (
     "batch_id, source_system, source_file, cdr_id, subscriber_msisdn, other_party_msisdn, event_type, "
@@ -164,7 +165,7 @@ recon AS (
          quarantine_count, duplicate_count, reject_rate,
          CASE WHEN expected_record_count <> bronze_record_count
                 OR bronze_record_count <> silver_valid_count + quarantine_count THEN 'FAILED'
-              WHEN reject_rate > {fixed.REJECT_RATE_WARNING_THRESHOLD} THEN 'WARNING'
+              WHEN reject_rate > 0.10 THEN 'WARNING'
               ELSE 'RECONCILED' END AS reconciliation_status,
          {AS_OF_SQL} AS reconciliation_ts
   FROM recon_rated
@@ -185,26 +186,26 @@ SELECT source_system,
        round(sum(quarantine_count) / NULLIF(sum(bronze_record_count), 0), 4) AS reject_rate
 FROM recon GROUP BY source_system ORDER BY reject_rate DESC, source_system"""
 
+# One filtered aggregate, so that it also checks the joined form independently of its join.
 _QUALITY_BY_SOURCE = """
-, c_counts AS (SELECT source_system, count(*) AS clean_count FROM clean GROUP BY source_system),
-q_counts AS (SELECT source_system, count(*) AS quarantine_count FROM quarantine GROUP BY source_system)
-SELECT coalesce(c.source_system, q.source_system) AS source_system,
-       coalesce(c.clean_count, 0) AS clean_count,
-       coalesce(q.quarantine_count, 0) AS quarantine_count,
-       coalesce(c.clean_count, 0) + coalesce(q.quarantine_count, 0) AS total_count,
-       round(coalesce(q.quarantine_count, 0)
-             / NULLIF(coalesce(c.clean_count, 0) + coalesce(q.quarantine_count, 0), 0), 4) AS quarantine_rate
-FROM c_counts c FULL OUTER JOIN q_counts q ON c.source_system = q.source_system
-ORDER BY quarantine_rate DESC, source_system"""
+SELECT source_system,
+       count(*) FILTER (quality_status = 'VALID') AS clean_count,
+       count(*) FILTER (quality_status = 'REJECTED') AS quarantine_count,
+       count(*) AS total_count,
+       round(avg(CASE quality_status WHEN 'REJECTED' THEN 1.0 ELSE 0.0 END), 4) AS quarantine_rate
+FROM tagged GROUP BY source_system ORDER BY quarantine_rate DESC, source_system"""
 
+_REASONS = "MISSING_MSISDN INVALID_TIMESTAMP INVALID_DURATION NEGATIVE_CHARGE_AMOUNT UNKNOWN_EVENT_TYPE DUPLICATE_CDR_ID".split()
 _REASON_COUNTS = ",\n".join(
-    f"       CAST(sum(CASE WHEN reject_reason = '{r}' THEN 1 ELSE 0 END) AS BIGINT) AS {r.lower()}_count" for r in fixed.RULE_REASONS
+    f"       CAST(sum(CASE WHEN reject_reason = '{r}' THEN 1 ELSE 0 END) AS BIGINT) AS {r.lower()}_count" for r in _REASONS
 )
 
-_SCORECARD_REASONS = ",\n".join(
-    f"       CAST(sum(CASE WHEN reject_reason = '{r}' THEN 1 ELSE 0 END) AS BIGINT) AS {r.lower()}_count"
-    for r in fixed.RULE_REASONS
-)
+
+def _row_counts(label_col: str, value_col: str, labels: list[str], tables: list[str]) -> str:
+    """One row per table: its label and its number of rows."""
+    counts = ", ".join(f"('{label}', (SELECT count(*) FROM {table}))" for label, table in zip(labels, tables))
+    return f"SELECT {label_col}, CAST({value_col} AS BIGINT) AS {value_col} FROM (VALUES {counts}) AS v({label_col}, {value_col})"
+
 
 ORACLE_SQL: dict[str, str] = {
     # sources
@@ -274,10 +275,7 @@ ORACLE_SQL: dict[str, str] = {
         GOLD, "SELECT * FROM daily ORDER BY total_charge DESC, subscriber_msisdn, usage_date LIMIT 20"
     ),
     "gold_layer_counts": with_(
-        GOLD,
-        "SELECT 'Silver Clean Records' AS metric, count(*) AS value FROM clean UNION ALL "
-        "SELECT 'Gold Hourly Rows' AS metric, count(*) AS value FROM hourly UNION ALL "
-        "SELECT 'Gold Subscriber Daily Rows' AS metric, count(*) AS value FROM daily",
+        GOLD, _row_counts("metric", "value", fixed.GOLD_LAYER_COUNT_LABELS, ["clean", "hourly", "daily"])
     ),
     # reconciliation
     "bronze_counts_by_batch": with_(
@@ -339,17 +337,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
     # dashboard
     "layer_counts": with_(
-        GOLD,
-        "SELECT 'Bronze Raw Records' AS metric, count(*) AS value FROM bronze UNION ALL "
-        "SELECT 'Silver Clean Records' AS metric, count(*) AS value FROM clean UNION ALL "
-        "SELECT 'Silver Quarantine Records' AS metric, count(*) AS value FROM quarantine UNION ALL "
-        "SELECT 'Gold Hourly Usage Rows' AS metric, count(*) AS value FROM hourly UNION ALL "
-        "SELECT 'Gold Subscriber Daily Rows' AS metric, count(*) AS value FROM daily",
+        GOLD, _row_counts("metric", "value", fixed.LAYER_COUNT_LABELS, ["bronze", "clean", "quarantine", "hourly", "daily"])
     ),
     "valid_vs_quarantined": with_(
-        SILVER,
-        "SELECT 'VALID' AS record_status, count(*) AS record_count FROM clean UNION ALL "
-        "SELECT 'QUARANTINED' AS record_status, count(*) AS record_count FROM quarantine",
+        SILVER, _row_counts("record_status", "record_count", ["VALID", "QUARANTINED"], ["clean", "quarantine"])
     ),
     "event_type_distribution": with_(
         GOLD,
@@ -390,7 +381,8 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(sum(total_duration_sec) AS BIGINT) AS total_duration_sec, round(sum(total_charge), 2) AS total_charge, "
         "CAST(sum(roaming_events) AS BIGINT) AS roaming_events FROM hourly GROUP BY usage_date ORDER BY usage_date",
     ),
-    "quality_by_source": with_(SILVER, _QUALITY_BY_SOURCE),
+    "quality_by_source": with_(TAGGED, _QUALITY_BY_SOURCE),
+    "quality_by_source_joined": with_(TAGGED, _QUALITY_BY_SOURCE),
     "quarantine_sample": with_(
         SILVER,
         "SELECT * FROM quarantine ORDER BY reject_ts DESC, source_system, cdr_id, reject_reason LIMIT 100",
@@ -415,7 +407,7 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(sum(CASE WHEN quality_status = 'VALID' THEN 1 ELSE 0 END) AS BIGINT) AS valid_records, "
         "CAST(sum(CASE WHEN quality_status = 'REJECTED' THEN 1 ELSE 0 END) AS BIGINT) AS quarantined_records, "
         "round(sum(CASE WHEN quality_status = 'REJECTED' THEN 1 ELSE 0 END) / count(*), 4) AS reject_rate,\n"
-        + _SCORECARD_REASONS
+        + _REASON_COUNTS
         + "\nFROM tagged GROUP BY source_system, CAST(ingestion_ts AS DATE) ORDER BY source_system, load_date",
     ),
     "reject_rate_jumps": with_(
@@ -441,12 +433,43 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE l.source_system = s.source_system AND l.expected_date = s.expected_date) "
         "ORDER BY s.source_system, s.expected_date",
     ),
+    "late_batches": with_(
+        METADATA,
+        f", due AS (SELECT CAST({AS_OF_SQL} - INTERVAL 24 HOUR AS DATE) AS d), "
+        "days AS (SELECT CAST(unnest(generate_series((SELECT min(CAST(arrival_ts AS DATE)) FROM metadata), "
+        "(SELECT d FROM due), INTERVAL 1 DAY)) AS DATE) AS expected_date), "
+        "sources AS (SELECT unnest(['MEDIATION_A', 'MEDIATION_B', 'ROAMING_PARTNER', 'SILENT_SOURCE']) AS source_system) "
+        "SELECT s.source_system, d.expected_date, "
+        f"CAST(floor((epoch({AS_OF_SQL}) - epoch(CAST(d.expected_date AS TIMESTAMP))) / 3600) - 24 AS BIGINT) AS hours_late "
+        "FROM sources s, days d WHERE NOT EXISTS (SELECT 1 FROM metadata m WHERE m.source_system = s.source_system "
+        "AND CAST(m.arrival_ts AS DATE) = d.expected_date) ORDER BY s.source_system, d.expected_date",
+    ),
     "sequence_overlaps": with_(
         SILVER,
-        ", seq AS (SELECT subscriber_msisdn, source_system, cdr_id, event_ts, "
-        "lag(source_system) OVER w AS previous_source_system, lag(cdr_id) OVER w AS previous_cdr_id, "
-        "lag(event_ts + to_seconds(duration_sec)) OVER w AS previous_end_ts FROM clean "
-        "WINDOW w AS (PARTITION BY subscriber_msisdn ORDER BY event_ts, source_system, cdr_id)) "
-        "SELECT * FROM seq WHERE event_ts < previous_end_ts",
+        ", timed AS (SELECT subscriber_msisdn, source_system, cdr_id, event_ts, "
+        "{'e': event_ts + to_seconds(duration_sec), 't': event_ts, 's': source_system, 'c': cdr_id} AS own FROM clean), "
+        "seq AS (SELECT subscriber_msisdn, source_system, cdr_id, event_ts, max(own) OVER (PARTITION BY subscriber_msisdn "
+        "ORDER BY event_ts, source_system, cdr_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM timed) "
+        "SELECT subscriber_msisdn, source_system, cdr_id, event_ts, p.s AS previous_source_system, "
+        "p.c AS previous_cdr_id, p.e AS previous_end_ts FROM seq WHERE event_ts < p.e",
     ),
 }
+
+# The same reconciliation over the fixture's faulty split.
+_FAULTY = f""",
+clean_split AS (
+  SELECT * FROM clean WHERE NOT (substr(batch_id, 7, 8) = '{fixture.LOST_DAY}' AND right(cdr_id, 1) = '{fixture.LOST_DIGIT}')
+),
+quarantine_split AS (
+  SELECT * FROM quarantine UNION ALL SELECT * FROM quarantine WHERE substr(batch_id, 7, 8) = '{fixture.REPEATED_DAY}'
+)"""
+_RECON_SPLIT = (
+    SILVER + _METADATA + _FAULTY + _RECON.replace("FROM clean ", "FROM clean_split ").replace("FROM quarantine ", "FROM quarantine_split ")
+)
+for _name, _whole in [
+    ("reconciliation_split", "reconciliation"),
+    ("count_match_check_split", "count_match_check"),
+    ("count_match_labels_split", "count_match_labels"),
+]:
+    _body = ORACLE_SQL[_whole].removeprefix(with_(RECON, ""))
+    ORACLE_SQL[_name] = with_(_RECON_SPLIT, _body)

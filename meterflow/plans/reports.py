@@ -30,9 +30,26 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 # --- layer and quality summaries -----------------------------------------
 
 
+def _labelled(counts: DataFrame, label_col: str, value_col: str, labels: list[str]) -> DataFrame:
+    """One row per column of a one-row table, under the labels given."""
+    pairs = [F.struct(F.lit(label).alias(label_col), F.col(c).alias(value_col)) for label, c in zip(labels, counts.columns)]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
+def _by_status(tagged: DataFrame) -> DataFrame:
+    """Records, valid and rejected ones, counted in one pass over the tagged records."""
+    return tagged.agg(
+        F.count(F.lit(1)).alias("all"),
+        count_when(F.col("quality_status") == fixed.STATUS_VALID).alias("valid"),
+        count_when(F.col("quality_status") == fixed.STATUS_REJECTED).alias("rejected"),
+    )
+
+
 def layer_counts(ls: LayerSet) -> DataFrame:
-    tables = [ls.bronze, ls.clean, ls.quarantine, ls.hourly, ls.daily]
-    return _union([_count(t, "metric", label, "value") for t, label in zip(tables, fixed.LAYER_COUNT_LABELS)])
+    """Rows of each layer; bronze, clean and quarantine are the tagged records, all and by status."""
+    records, gold = fixed.LAYER_COUNT_LABELS[:3], zip([ls.hourly, ls.daily], fixed.LAYER_COUNT_LABELS[3:])
+    counted = _labelled(_by_status(ls.tagged), "metric", "value", records)
+    return _union([counted, *[_count(t, "metric", label, "value") for t, label in gold]])
 
 
 def gold_layer_counts(ls: LayerSet) -> DataFrame:
@@ -41,11 +58,20 @@ def gold_layer_counts(ls: LayerSet) -> DataFrame:
 
 
 def valid_vs_quarantined(ls: LayerSet) -> DataFrame:
-    return _union(
-        [
-            _count(ls.clean, "record_status", fixed.RECORD_STATUS_VALID, "record_count"),
-            _count(ls.quarantine, "record_status", fixed.RECORD_STATUS_QUARANTINED, "record_count"),
-        ]
+    labels = [fixed.RECORD_STATUS_VALID, fixed.RECORD_STATUS_QUARANTINED]
+    return _labelled(_by_status(ls.tagged).drop("all"), "record_status", "record_count", labels)
+
+
+def quality_by_source_tagged(tagged: DataFrame) -> DataFrame:
+    """``quality_by_source`` while clean and quarantine are still one tagged set: one aggregate, no join."""
+    rejected = F.col("quality_status") == fixed.STATUS_REJECTED
+    counts = tagged.groupBy("source_system").agg(
+        count_when(~rejected).alias("clean_count"),
+        count_when(rejected).alias("quarantine_count"),
+        F.count(F.lit(1)).alias("total_count"),
+    )
+    return counts.withColumn("quarantine_rate", rate("quarantine_count", "total_count")).orderBy(
+        F.desc("quarantine_rate"), "source_system"
     )
 
 

@@ -22,6 +22,8 @@ AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)  # the one wall-clock value of fixture
 SHORT_BATCH_DAY = "20240115"  # batches of this day expect 20 more records than land
 SHORT_BY = 20
 UNREGISTERED_BATCH = "BATCH_20240102_000000_ROAMING_PARTNER"  # landed, never logged
+LOST_DAY, LOST_DIGIT = "20240110", "7"  # the faulty split loses clean records of this day whose key ends so
+REPEATED_DAY = "20240111"  # and writes the quarantined records of this day twice
 EMPTY_BATCH_DAY = "20240131"  # logged for MEDIATION_A, nothing landed
 EMPTY_BATCH_EXPECTED = 100
 COPY_DELAY_SECONDS = 60  # copies land one minute after their original
@@ -143,3 +145,10 @@ def fixture_metadata(spark: SparkSession, bronze: DataFrame) -> DataFrame:
     from meterflow.sources.landing import ingestion_log
 
     return ingestion_log(fixture_control(spark, bronze), bronze, created_ts=AS_OF).select(*METADATA_COLUMNS)
+
+
+def faulty_split(clean: DataFrame, quarantine: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A silver split as a broken load leaves it: some clean records lost, some rejects written twice."""
+    day = F.substring(F.col("batch_id"), 7, 8)
+    lost = (day == LOST_DAY) & F.col("cdr_id").endswith(LOST_DIGIT)
+    return clean.where(~F.coalesce(lost, F.lit(False))), quarantine.unionByName(quarantine.where(day == REPEATED_DAY))

@@ -9,13 +9,16 @@ from meterflow.plans.layerset import LayerSet
 
 
 def brute_force(clean):
-    w = Window.partitionBy("subscriber_msisdn").orderBy(*monitoring.SEQUENCE_ORDER)
-    end = F.timestamp_add("SECOND", F.col("duration_sec"), F.col("event_ts"))
+    w = Window.partitionBy("subscriber_msisdn").orderBy(*monitoring.SEQUENCE_ORDER).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    end = F.timestamp_add("SECOND", F.col("duration_sec"), F.col("event_ts")).alias("event_end")
+    latest = F.max(F.struct(end, *monitoring.SEQUENCE_ORDER)).over(w)
     out = clean.select(
         "subscriber_msisdn", "source_system", "cdr_id", "event_ts",
-        F.lag("source_system").over(w).alias("previous_source_system"),
-        F.lag("cdr_id").over(w).alias("previous_cdr_id"),
-        F.lag(end).over(w).alias("previous_end_ts"),
+        latest["source_system"].alias("previous_source_system"),
+        latest["cdr_id"].alias("previous_cdr_id"),
+        latest["event_end"].alias("previous_end_ts"),
     )
     return out.where(F.col("event_ts") < F.col("previous_end_ts"))
 
@@ -24,7 +27,7 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_hot_subscriber_split_across_chunks(spark):
+def test_hot_subscriber_split_by_hours(spark):
     clean = LayerSet.from_fixture(spark, SF["0.01"]).clean
     hot = clean.withColumn(
         "subscriber_msisdn",
@@ -32,8 +35,41 @@ def test_hot_subscriber_split_across_chunks(spark):
     )
     expected = rows(brute_force(hot))
     assert len(expected) > 0
-    for chunks in [1, 7, 64]:
-        assert rows(monitoring.sequence_overlaps(hot, chunks=chunks)) == expected
+    try:
+        for partitions, reuse in [("1", "true"), ("7", "false"), ("64", "true")]:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            assert rows(monitoring.sequence_overlaps(hot)) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_an_event_open_over_others_is_found(spark):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1, 10, 59, 0)
+    events = [("A", 0, 6000), ("B", 10, 5), ("C", 100, 5), ("D", 3700, 1), ("E", 6000, 1)]
+    clean = spark.createDataFrame(
+        [("m", "S", k, t0 + dt.timedelta(seconds=s), d) for k, s, d in events],
+        "subscriber_msisdn string, source_system string, cdr_id string, event_ts timestamp, duration_sec int",
+    )
+    got = {(r.cdr_id, r.previous_cdr_id) for r in monitoring.sequence_overlaps(clean).collect()}
+    assert got == {("B", "A"), ("C", "A"), ("D", "A")}
+
+
+def test_late_batches_up_to_now(spark):
+    import datetime as dt
+
+    log = spark.createDataFrame(
+        [("MEDIATION_A", dt.datetime(2024, 1, d)) for d in (1, 2)] + [("MEDIATION_B", dt.datetime(2024, 1, 1))],
+        "source_system string, arrival_ts timestamp",
+    )
+    got = monitoring.late_batches(log, dt.datetime(2024, 1, 3, 6), ["MEDIATION_A", "MEDIATION_B", "X"]).collect()
+    assert [(r.source_system, r.expected_date.day, r.hours_late) for r in got] == [
+        ("MEDIATION_B", 2, 6), ("X", 1, 30), ("X", 2, 6)
+    ]
+    assert monitoring.late_batches(log, dt.datetime(2023, 12, 1)).count() == 0
 
 
 def test_missing_batches_and_jumps(spark):
