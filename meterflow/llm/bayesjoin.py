@@ -342,3 +342,28 @@ def keep_one(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD)
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+#: All pairs, for tables of test size; a doc_id stands once there.
+ORACLE_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+                               ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE shared.n >= 0.8 * (x.n + y.n - shared.n)
+), reached AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, least(d.doc_id, coalesce(r.m, d.doc_id)) AS class_id, coalesce(l.n, 0) AS n_links
+FROM docs d LEFT JOIN (SELECT a, min(b) AS m FROM reached GROUP BY a) r ON r.a = d.doc_id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = d.doc_id
+"""

@@ -252,4 +252,96 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document, against references from all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     refs = references(scratch.materialise(word_counts(docs), "word-counts"))
-    return judge(docs, refs).drop("text", "lang")
+    digits = {c: F.round(c, 6) for c in ("js_chars", "js_words")}
+    return judge(docs, refs).drop("text", "lang").withColumns(digits)
+
+
+_CLASS_SQL = ", ".join(
+    f"length({{0}}) - length(regexp_replace({{0}}, '{p.replace(chr(39), chr(39) * 2)}', '', 'g'))" for p in CLASSES.values()
+)
+
+
+def _class_sql(text: str) -> str:
+    return f"[{_CLASS_SQL.format(text)}]"
+
+
+ORACLE_SQL = rf"""
+WITH docs AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), lines AS (
+  SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM docs
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(0, len(w) - 3)) AS i FROM docs WHERE len(w) >= 3)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, sum(least(3, i - before)) AS n
+  FROM (SELECT doc_id, i, lag(i, 1, -3) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM again) GROUP BY doc_id
+), base AS (
+  SELECT d.doc_id, d.lang, d.w, array_to_string(d.w, '') AS joined, len(d.w) AS n_words,
+         length(array_to_string(d.w, '')) AS word_chars,
+         length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l.l) - len(list_distinct(l.l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM docs d JOIN lines l USING (doc_id) LEFT JOIN covered c USING (doc_id)
+), counts AS (
+  SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM docs WHERE lang IS NOT NULL) GROUP BY lang, word
+), totals AS (
+  SELECT lang, sum(n) AS n_words FROM counts GROUP BY lang HAVING sum(n) >= {MIN_REFERENCE_WORDS}
+  ORDER BY n_words DESC, lang LIMIT {MAX_LANGUAGES}
+), common AS (
+  SELECT c.lang, c.word, c.n / t.n_words AS q FROM counts c JOIN totals t USING (lang) WHERE c.n >= {COMMON_SHARE} * t.n_words
+), rests AS (
+  SELECT lang, 1 - sum(q) AS q FROM common GROUP BY lang
+), classes AS (
+  SELECT doc_id, {_class_sql("joined")} AS c, word_chars FROM base
+), doc_classes AS (
+  SELECT doc_id, unnest(list_concat(c, [word_chars - list_sum(c)])) / greatest(word_chars, 1) AS p,
+         unnest(generate_series(1, {len(CLASSES) + 1})) AS k FROM classes
+), lang_classes AS (
+  SELECT lang, k, sum(x) / sum(sum(x)) OVER (PARTITION BY lang) AS q
+  FROM (SELECT b.lang, unnest(list_concat(c.c, [c.word_chars - list_sum(c.c)])) AS x,
+               unnest(generate_series(1, {len(CLASSES) + 1})) AS k
+        FROM classes c JOIN base b USING (doc_id) WHERE b.lang IS NOT NULL)
+  GROUP BY lang, k
+), compared AS (
+  SELECT b.doc_id, t.lang FROM base b JOIN totals t
+    ON t.lang = b.lang OR b.lang IS NULL OR b.lang NOT IN (SELECT lang FROM totals)
+), chars AS (
+  SELECT c.doc_id, c.lang,
+         sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+             + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS js
+  FROM compared c JOIN lang_classes l USING (lang) JOIN doc_classes d ON d.doc_id = c.doc_id AND d.k = l.k
+  GROUP BY c.doc_id, c.lang
+), doc_words AS (
+  SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM docs) GROUP BY doc_id, word
+), shares AS (
+  SELECT c.doc_id, c.lang, m.q, coalesce(w.n, 0) / greatest(b.n_words, 1) AS p, coalesce(w.n, 0) AS n
+  FROM compared c JOIN common m USING (lang) JOIN base b USING (doc_id)
+  LEFT JOIN doc_words w ON w.doc_id = c.doc_id AND w.word = m.word
+), all_shares AS (
+  SELECT doc_id, lang, p, q FROM shares
+  UNION ALL
+  SELECT s.doc_id, s.lang, (b.n_words - s.n) / greatest(b.n_words, 1) AS p, r.q
+  FROM (SELECT doc_id, lang, sum(n) AS n FROM shares GROUP BY doc_id, lang) s JOIN base b USING (doc_id)
+  JOIN rests r ON r.lang = s.lang
+), words AS (
+  SELECT doc_id, lang,
+         sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+             + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS js
+  FROM all_shares GROUP BY doc_id, lang
+), js AS (
+  SELECT doc_id, arg_min(c.js, c.js + w.js) AS js_chars, arg_min(w.js, c.js + w.js) AS js_words
+  FROM chars c JOIN words w USING (doc_id, lang) GROUP BY doc_id
+), judged AS (
+  SELECT b.*, greatest(j.js_chars, 0) AS jc, greatest(j.js_words, 0) AS jw,
+         n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM base b LEFT JOIN js j USING (doc_id)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, round(jc, 6) AS js_chars, round(jw, 6) AS js_words, base_failed,
+       NOT base_failed AND NOT coalesce(jc > {CHARS_LIMIT} + {CHARS_SLACK} / n_words
+                                        OR jw > {WORDS_LIMIT} + {WORDS_SLACK} / n_words, false) AS kept
+FROM judged
+"""

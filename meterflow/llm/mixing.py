@@ -203,3 +203,66 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs, domain_of(F.col("source")), QUERY_WEIGHTS).select(
         "doc_id", "domain", "lang", "source", "n_tokens", "n_epochs"
     )
+
+
+def _level_sql(depth: int) -> str:
+    """Shares of the nodes of one level; weights are above 0 here."""
+    path = ", ".join(LEVELS[:depth])
+    above = ", ".join(LEVELS[: depth - 1])
+    name = " || chr(31) || ".join(LEVELS[:depth])
+    part = f"PARTITION BY {above}" if above else ""
+    link = f"JOIN budgets{depth - 1} USING ({above})" if above else "CROSS JOIN budgets0"
+    return f"""
+, nodes{depth} AS (
+  SELECT n.*, parent_budget, coalesce((SELECT w FROM weights WHERE node = {name}), 1.0) AS w, {LEVELS[depth - 1]} AS child
+  FROM (SELECT {path}, sum(capacity) AS capacity FROM leaves GROUP BY {path}) n {link}
+), open{depth} AS (
+  SELECT *, capacity / w AS full_at,
+         sum(capacity) OVER upto - capacity AS taken, sum(w) OVER ({part}) - sum(w) OVER upto + w AS open_w
+  FROM nodes{depth} WINDOW upto AS ({part} ORDER BY capacity / w, w, child ROWS UNBOUNDED PRECEDING)
+), reach{depth} AS (
+  SELECT *, max(CASE WHEN (parent_budget - taken) / open_w <= full_at THEN (parent_budget - taken) / open_w END)
+              OVER ({part}) AS reach FROM open{depth}
+), budgets{depth} AS (
+  SELECT {path}, CASE WHEN reach IS NULL THEN capacity ELSE greatest(0, least(capacity, reach * w)) END AS parent_budget
+  FROM reach{depth}
+)"""
+
+
+_WEIGHTS_SQL = ", ".join(f"('{"', '".join(k)}', {w})" if len(k) == 1 else f"('{k[0]}' || chr(31) || '{k[1]}', {w})" for k, w in QUERY_WEIGHTS.items())
+
+ORACLE_SQL = (
+    rf"""
+WITH weights(node, w) AS (VALUES {_WEIGHTS_SQL}
+), docs AS (
+  SELECT doc_id, text, lang, source,
+         CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) = '' THEN 'other'
+              WHEN right(source, 1) IN ('0', '2', '4', '6', '8') THEN 'even' ELSE 'odd' END AS domain,
+         coalesce(lang, 'unknown') AS language, coalesce(source, 'unknown') AS source_name,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+  FROM documents
+), leaves AS (
+  SELECT domain, language, source_name, sum(tokens) AS tokens, CAST(sum(tokens) * {MAX_EPOCHS} AS DOUBLE) AS capacity
+  FROM docs GROUP BY ALL
+), budgets0 AS (
+  SELECT least({BUDGET_SHARE} * sum(tokens), sum(capacity)) AS parent_budget FROM leaves
+)"""
+    + "".join(map(_level_sql, (1, 2, 3)))
+    + rf""", passes AS (
+  SELECT domain, language, source_name, tokens, round(parent_budget, 3) AS budget,
+         CASE WHEN tokens > 0 THEN floor(round(parent_budget, 3) / tokens) ELSE 1 END AS epochs
+  FROM leaves JOIN budgets3 USING (domain, language, source_name)
+), placed AS (
+  SELECT d.*, CAST(p.epochs AS INTEGER) AS epochs, round(p.budget - p.epochs * p.tokens, 3) AS rest,
+         substr(md5('{SEED}' || chr(31) || CAST(CAST(p.epochs AS INTEGER) AS VARCHAR) || chr(31)
+                    || coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || md5(coalesce(text, ''))), 1, 15) AS place
+  FROM docs d JOIN passes p USING (domain, language, source_name) WHERE p.budget > 0 OR p.tokens = 0
+), summed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, language, source_name ORDER BY place RANGE UNBOUNDED PRECEDING)
+            - sum(tokens) OVER (PARTITION BY domain, language, source_name, place) AS before FROM placed
+)
+SELECT doc_id, domain, lang, source, CAST(tokens AS BIGINT) AS n_tokens,
+       CAST(epochs + CASE WHEN before < rest THEN 1 ELSE 0 END AS INTEGER) AS n_epochs
+FROM summed WHERE epochs + CASE WHEN before < rest THEN 1 ELSE 0 END > 0
+"""
+)

@@ -19,5 +19,9 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_warc_dictionary": warc.ORACLE_SQL,
+    "op2_sparse_suffixes": suffixes.ORACLE_SQL,
     "op4_url_rules": urlrules.ORACLE_SQL,
+    "op6_bayes_jaccard": bayesjoin.ORACLE_SQL,
+    "op7_token_mixture": mixing.ORACLE_SQL,
+    "op8_divergence_rules": divergence.ORACLE_SQL,
 }

@@ -223,3 +223,22 @@ def repeated_passages(docs: DataFrame, text: str = "text") -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of at least ``MIN_WORDS`` words that another document holds too."""
     return repeated_passages(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+#: All runs of words, for tables of test size; a doc_id stands once there.
+ORACLE_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), runs AS (
+  SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 50], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(generate_series(0, len(w) - 50)) AS i FROM docs WHERE len(w) >= 50)
+), held AS (
+  SELECT h FROM runs GROUP BY h HAVING count(DISTINCT doc_id) > 1
+), hits AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh
+  FROM runs SEMI JOIN held USING (h)
+), spans AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM hits
+)
+SELECT doc_id, CAST(min(i) AS INTEGER) AS start_word, CAST(max(i) + 50 AS INTEGER) AS end_word FROM spans GROUP BY doc_id, span
+"""
