@@ -284,7 +284,9 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, n
     groups = components(loose, "key", "head").withColumnRenamed("node", "key").join(nodes, "key")
     groups = scratch.materialise(groups.drop("least_id"), "groups")
     texts = docs.select(key.alias("key"), F.col(text).cast("string").alias("text"))
-    members = texts.join(groups.select("key").distinct(), "key").groupBy("key").agg(F.any_value("text").alias("text"))
+    # copies are reduced before they meet anything: a text that a third of all rows hold is one row per task
+    members = texts.groupBy("key").agg(F.any_value("text").alias("text"))
+    members = members.join(groups.select("key").distinct(), "key", "left_semi")
     members = scratch.materialise(members, "group-texts")
     units = _units(groups).join(members, "key").select("unit", "component", "second", "key", "sig", "copies", "text")
     verified = scratch.materialise(
