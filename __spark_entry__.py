@@ -35,7 +35,7 @@ try:  # the corpus operators are optional: without their folders all else works
     LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
     if corpus_pipeline.ORACLE_SQL:
         LLM_SQL = {**LLM_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
-except ModuleNotFoundError as missing:
+except ImportError as missing:  # also of an emptied folder; errors inside the operators are raised
     if missing.name not in {"corpus_pipeline", "meterflow.llm", "meterflow.llm.queries"}:
         raise
     LLM_QUERIES, LLM_SQL = {}, {}

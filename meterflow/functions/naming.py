@@ -1,8 +1,8 @@
-"""Batch, file and key naming as column expressions.
+"""Batch naming as column expressions.
 
 A batch is named ``BATCH_<yyyyMMdd_HHmmss>_<source>``; its file
-``<prefix>_<yyyyMMdd_HHmmss>.csv``; a record key ``<source>_<n>``; subscriber
-numbers carry a fixed prefix and seven zero-padded digits.
+``<prefix>_<yyyyMMdd_HHmmss>.csv``. (The test fixture writes these formats, and those of
+record keys and subscriber numbers, as SQL text that Spark and the oracle share.)
 """
 
 from __future__ import annotations
@@ -10,14 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BATCH_TIME_PATTERN = "yyyyMMdd_HHmmss"
-SUBSCRIBER_PREFIX = "9053"
-OTHER_PARTY_PREFIX = "9054"
-
-
-def batch_stamp(batch_time: Column) -> Column:
-    return F.date_format(batch_time, BATCH_TIME_PATTERN)
-
 
 def stamp_from_file(file_name: Column) -> Column:
     """The ``yyyyMMdd_HHmmss`` stamp at the end of a batch file name, or NULL."""
@@ -26,23 +18,3 @@ def stamp_from_file(file_name: Column) -> Column:
 
 def batch_id(stamp: Column, source_system: Column) -> Column:
     return F.concat(F.lit("BATCH_"), stamp, F.lit("_"), source_system)
-
-
-def source_file(stamp: Column, source_system: Column, prefix: Column | None = None) -> Column:
-    """``<prefix>_<stamp>.csv``; the default prefix is ``cdr_<lower(source)>``."""
-    if prefix is None:
-        prefix = F.concat(F.lit("cdr_"), F.lower(source_system))
-    return F.concat(prefix, F.lit("_"), stamp, F.lit(".csv"))
-
-
-def cdr_key(source_system: Column, seq: Column) -> Column:
-    return F.concat(source_system, F.lit("_"), seq.cast("string"))
-
-
-def msisdn(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 7, "0"))
-
-
-def batch_day(batch_id_col: Column) -> Column:
-    """The date encoded in a batch id (``BATCH_yyyyMMdd_...``)."""
-    return F.to_date(F.substring(batch_id_col, 7, 8), "yyyyMMdd")

@@ -110,7 +110,7 @@ def sequence_overlaps(clean: DataFrame) -> DataFrame:
     records spreads over its hours. Per group the event that ends last is one row; a
     running maximum over these rows (hours of a subscriber, not events) gives what is
     still open when an hour begins, and a window within the hour gives the rest.
-    Records are exchanged once.
+    Records are exchanged once, and both uses read that exchange.
     """
     hour = F.date_trunc("hour", "event_ts")
     events = clean.select(
@@ -122,6 +122,7 @@ def sequence_overlaps(clean: DataFrame) -> DataFrame:
         ).alias("_own"),
     )
     group = ["subscriber_msisdn", "_hour"]
+    events = events.repartition(*group)  # the one exchange of records; both uses below read it
     earlier = Window.partitionBy("subscriber_msisdn").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     carry = events.groupBy(*group).agg(F.max("_own").alias("_last")).select(*group, F.max("_last").over(earlier).alias("_carry"))
     before = Window.partitionBy(*group).orderBy(*SEQUENCE_ORDER).rowsBetween(Window.unboundedPreceding, -1)
