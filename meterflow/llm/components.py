@@ -18,8 +18,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Every round hangs the larger neighbours of a node, then the smaller ones, below the
     smallest it sees. Rounds go on until no edge changes; about the logarithm of the
-    longest chain are needed. Each round's edges are a table in the shared folder. A hot
-    node is one side of a plain equi-join, which AQE can split.
+    longest chain are needed. Each round's edges and minima are tables in the shared folder,
+    so that the joins are plain ones: minima that are small are broadcast, and where they are
+    not, AQE can split the edges of a hot node.
     """
     now = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     now = scratch.materialise(now, "edges")
@@ -27,9 +28,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while before[0]:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = scratch.materialise(least, "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = scratch.materialise(large.where("a <> b").distinct(), "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = scratch.materialise(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = scratch.materialise(small.union(least.select("a", "m")).distinct(), "edges")
         after = _fingerprint(now)
