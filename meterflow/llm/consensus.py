@@ -41,7 +41,7 @@ def vote(html: str | None) -> tuple[str | None, float]:
 def extract(html: str | None, path: str | None) -> str:
     """The text of the containers on ``path``, or of the page's own best container."""
     page = markup.parse(html)
-    found = [e for e in page.elements if e.path == path and not e.dropped]
+    found = markup.on_path(page, path)
     text = markup.text_of(page, found) if found else ""
     if text:
         return text

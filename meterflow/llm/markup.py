@@ -31,6 +31,10 @@ FURNITURE = re.compile(
     r"contentinfo)(?=$|[\s_-])",
     re.I,
 )
+#: Classes that only say that furniture is or isn't near, as in ``has-sidebar``.
+ABOUT = re.compile(r"(?:^|(?<=\s))(?:has|with|no|without|show|hide)[_-][^\s]*", re.I)
+#: Furniture words that name the heading when they stand inside an article.
+HEADING = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Start tags that end an open element of these kinds.
 CLOSES = {
@@ -58,12 +62,29 @@ SPACE = re.compile(r"\s+")
 class Element:
     """A block element: its path, text blocks in page order, and what scoring needs."""
 
-    __slots__ = ("name", "path", "parent", "dropped", "first", "last", "score")
+    __slots__ = ("name", "step", "key", "parent", "dropped", "first", "last", "score")
 
-    def __init__(self, name, path, parent, dropped, first):
-        self.name, self.path, self.parent, self.dropped = name, path, parent, dropped
+    def __init__(self, name, step, parent, dropped, first):
+        self.name, self.step, self.parent, self.dropped = name, step, parent, dropped
+        self.key = hash((parent.key if parent else 0, step))
         self.first, self.last, self.score = first, None, 0.0
 
+    @property
+    def path(self) -> str:
+        steps, element = [], self
+        while element is not None:
+            steps.append(element.step)
+            element = element.parent
+        return "/".join(reversed(steps))
+
+
+def on_path(page: Page, path: str | None) -> list[Element]:
+    """The kept elements whose path is ``path``; keys of paths are compared, so deep pages stay cheap."""
+    key = 0
+    for step in (path or "").split("/"):
+        key = hash((key, step))
+    return [e for e in page.elements if e.key == key and not e.dropped]
+
 
 class Page:
     """Elements in page order, and text blocks as (text, dropped, characters in links)."""
@@ -75,7 +96,7 @@ class Page:
 
 def generalised(name: str, attributes: dict[str, str]) -> str:
     """``tag.class`` with classes sorted and digits replaced, so that numbered copies agree."""
-    classes = sorted({re.sub(r"\d+", "#", c.lower()) for c in attributes.get("class", "").split()})
+    classes = sorted({re.sub(r"\d+", "#", c.lower()).replace("/", "_") for c in attributes.get("class", "").split()})
     return ".".join([name, *classes])
 
 
@@ -135,7 +156,10 @@ def parse(html: str | None) -> Page:
         if "=" in raw:
             for a in ATTRIBUTE.finditer(raw):
                 attributes.setdefault(a[1].lower(), entities.unescape(a[2] or a[3] or a[4] or ""))
-        marked = bool(attributes) and any(FURNITURE.search(v) for v in attributes.values())
+        marks = [ABOUT.sub("", v) for v in attributes.values()]
+        marked = any(FURNITURE.search(v) for v in marks)
+        if marked and any(e.name in ("article", "main") for e in stack):
+            marked = any(FURNITURE.search(HEADING.sub("", v)) for v in marks)
         if name not in BLOCKS and name not in DROPPED and not (marked and name in ("span", "ins", "center")):
             continue
         flush()
@@ -156,11 +180,10 @@ def parse(html: str | None) -> Page:
             close(len(stack) - 1)
         parent = stack[-1]
         # body may carry theme classes; a header inside an article holds its heading
-        furniture = (marked and name not in ("body", "article", "main")) or name in DROPPED
+        furniture = (marked and name not in ("body", "main")) or name in DROPPED
         if name == "header" and not furniture:
             furniture = not any(e.name in ("article", "main") for e in stack)
-        path = f"{parent.path}/{generalised(name, attributes)}"
-        element = Element(name, path, parent, parent.dropped or furniture, len(page.blocks))
+        element = Element(name, generalised(name, attributes), parent, parent.dropped or furniture, len(page.blocks))
         if not source.startswith("/", m.end() - 2) or name in ("p", "div"):
             stack.append(element)
             page.elements.append(element)
@@ -175,16 +198,22 @@ CONTAINERS = frozenset("html body main article section div td center".split())
 
 
 def score(page: Page) -> None:
-    """Score the containers: a block's text counts for the nearest container, less for each one above it."""
+    """Score the containers: a block's text counts for the nearest container, less for each one above it.
+
+    An ``article`` or ``main`` gets the text inside it undiminished, so that none of its parts outscores it.
+    """
     for text, dropped, linked, owner in page.blocks:
         plain = len(text) - linked
         if dropped or plain <= 0:
             continue
-        element, share = owner, 1.0
-        while element is not None and share > 0.05:
-            if element.name in CONTAINERS:
+        element, share, inside = owner, 1.0, False
+        while element is not None and share > 1e-6:
+            if element.name in ("article", "main") and not inside:
+                element.score += plain
+                share, inside = 0.25, True
+            elif element.name in CONTAINERS:
                 element.score += share * plain
-                share *= 0.5 if element.name not in ("article", "main") else 0.25
+                share *= 0.5
             element = element.parent
 
 

@@ -34,6 +34,11 @@ def test_article_without_furniture():
         ("<article><header><h1>T</h1></header><p>b</p><footer>f</footer></article>", "T\n\nb"),
         ("<main><p>a</p><div class='share-buttons'>s</div><section id=comments><p>r</p></section></main>", "a"),
         ("<div class='ad'>x</div><div class='adult-education'><p>kept</p></div>", "kept"),
+        ("<div class='has-sidebar page'><p>a</p><div class='sidebar-left'>s</div></div>", "a"),
+        ("<article><div class='post-header'><h1>T</h1></div><p>b</p></article>", "T\n\nb"),
+        ("<div class='site-header'><h1>T</h1></div><div><p>b c</p></div>", "b c"),
+        ("<article><div class='a'><p>long part of it</p></div><div class='b'><p>rest</p></div></article>", "long part of it\n\nrest"),
+        ("<article><p>a text</p><article class='comment'><p>reader</p></article></article>", "a text"),
         ("<table><tr><td>one<td>two</table>", "one\n\ntwo"),
     ],
 )
@@ -73,6 +78,6 @@ def test_columns_and_empty_table(spark):
 
 
 def test_deep_and_long_pages():
-    deep = "<div>" * 3000 + "words " * 50 + "</div>" * 3000
+    deep = "<div>" * 50_000 + "words " * 50 + "</div>" * 50_000
     assert consensus.extract(deep, None) == ("words " * 50).strip()
     assert len(markup.parse("<p>a " * 20_000).blocks) == 20_000
