@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 #: Elements whose start or end ends a text block.
 BLOCKS = frozenset(
@@ -108,6 +109,7 @@ def parse(html: str | None) -> Page:
     stack: list[Element] = [root]
     text: list[str] = []
     state = {"link": 0, "linked": 0}
+    standing: Counter[str] = Counter()  # open elements by name, so that a stray end tag costs no search
 
     def flush():
         if text:
@@ -121,7 +123,9 @@ def parse(html: str | None) -> Page:
     def close(upto: int):
         flush()
         while len(stack) > upto:
-            stack.pop().last = len(page.blocks)
+            element = stack.pop()
+            element.last = len(page.blocks)
+            standing[element.name] -= 1
 
     source, at = html or "", 0
     for m in TOKEN.finditer(source):
@@ -138,12 +142,13 @@ def parse(html: str | None) -> Page:
             if name == "a":
                 state["link"] = 0
             elif name in BLOCKS or name in DROPPED:
+                if not standing[name]:
+                    flush()
+                    continue
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].name == name:
                         close(i)
                         break
-                else:
-                    flush()
             continue
         if name == "a":
             state["link"] = 1
@@ -158,7 +163,7 @@ def parse(html: str | None) -> Page:
                 attributes.setdefault(a[1].lower(), entities.unescape(a[2] or a[3] or a[4] or ""))
         marks = [ABOUT.sub("", v) for v in attributes.values()]
         marked = any(FURNITURE.search(v) for v in marks)
-        if marked and any(e.name in ("article", "main") for e in stack):
+        if marked and (standing["article"] or standing["main"]):
             marked = any(FURNITURE.search(HEADING.sub("", v)) for v in marks)
         if name not in BLOCKS and name not in DROPPED and not (marked and name in ("span", "ins", "center")):
             continue
@@ -166,7 +171,7 @@ def parse(html: str | None) -> Page:
         state["link"] = 0
         if name == "hr":
             continue
-        if name in ("html", "body") and (name == "html" or any(e.name == "body" for e in stack)):
+        if name in ("html", "body") and (name == "html" or standing["body"]):
             continue
         if name in BLOCKS and stack[-1].name == "p":
             close(len(stack) - 1)
@@ -182,10 +187,11 @@ def parse(html: str | None) -> Page:
         # body may carry theme classes; a header inside an article holds its heading
         furniture = (marked and name not in ("body", "main")) or name in DROPPED
         if name == "header" and not furniture:
-            furniture = not any(e.name in ("article", "main") for e in stack)
+            furniture = not (standing["article"] or standing["main"])
         element = Element(name, generalised(name, attributes), parent, parent.dropped or furniture, len(page.blocks))
         if not source.startswith("/", m.end() - 2) or name in ("p", "div"):
             stack.append(element)
+            standing[name] += 1
             page.elements.append(element)
     if at < len(source):
         text.append(source[at:])

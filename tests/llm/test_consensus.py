@@ -80,4 +80,5 @@ def test_columns_and_empty_table(spark):
 def test_deep_and_long_pages():
     deep = "<div>" * 50_000 + "words " * 50 + "</div>" * 50_000
     assert consensus.extract(deep, None) == ("words " * 50).strip()
+    assert consensus.extract("<div>" * 20_000 + "a" + "</section>" * 20_000, None) == "a"
     assert len(markup.parse("<p>a " * 20_000).blocks) == 20_000
