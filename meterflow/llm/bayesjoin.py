@@ -224,8 +224,11 @@ def _unit(threshold: float, n: int):
             sets = np.split(grams, np.searchsorted(owner, np.arange(1, len(keys))))
             sigs = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint32).reshape(-1, VALUES)
             copies = part["copies"].to_numpy()
-            second = int(np.asarray(part["second"]).sum())
-            split = len(keys) - second if second else None
+            split = None
+            if part["crossed"][0].as_py():
+                split = len(keys) - int(np.asarray(part["second"]).sum())
+                if split in (0, len(keys)):  # one of the two tiles is empty
+                    continue
             i, j = similar_pairs(keys, sigs, sets, split, threshold)
             links = np.bincount(i, copies[j], len(keys)) + np.bincount(j, copies[i], len(keys))
             root = _roots(len(keys), i, j)
@@ -240,9 +243,10 @@ def _unit(threshold: float, n: int):
 
 
 def _units(groups: DataFrame) -> DataFrame:
-    """Each node with the units it takes part in: (unit, component, second) rows.
+    """Each node with the units it takes part in: (unit, component, crossed, second) rows.
 
-    ``second`` is 1 for nodes of the second tile of a pair of tiles.
+    ``crossed`` marks a pair of different tiles, of which a hash can leave one without nodes;
+    ``second`` is 1 for nodes of its second tile.
     """
     sizes = groups.groupBy("component").agg(
         F.ceil(F.greatest(F.count("*") / TILE, F.sum("n_shingles") / TILE_SHINGLES)).cast("int").alias("tiles"),
@@ -257,7 +261,8 @@ def _units(groups: DataFrame) -> DataFrame:
     return (
         tiled.withColumn("partner", F.explode(partner))
         .withColumn("unit", F.when(F.col("tiles") == 1, alone).otherwise(paired))
-        .withColumn("second", F.when((F.col("tiles") > 1) & (F.col("partner") < F.col("tile")), 1).otherwise(0))
+        .withColumn("crossed", (F.col("tiles") > 1) & (F.col("partner") != F.col("tile")))
+        .withColumn("second", F.when(F.col("crossed") & (F.col("partner") < F.col("tile")), 1).otherwise(0))
         .drop("tiles", "tile", "partner")
     )
 
@@ -288,7 +293,8 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, n
     members = texts.groupBy("key").agg(F.any_value("text").alias("text"))
     members = members.join(groups.select("key").distinct(), "key", "left_semi")
     members = scratch.materialise(members, "group-texts")
-    units = _units(groups).join(members, "key").select("unit", "component", "second", "key", "sig", "copies", "text")
+    units = _units(groups).join(members, "key")
+    units = units.select("unit", "component", "crossed", "second", "key", "sig", "copies", "text")
     verified = scratch.materialise(
         units.groupBy("unit").applyInArrow(_unit(threshold, n), "key binary, root binary, links long"), "links"
     )

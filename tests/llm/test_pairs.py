@@ -93,6 +93,15 @@ def test_classes_and_links(spark, corpus, monkeypatch, tile):
     assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=str) == brute_classes(rows)
 
 
+def test_few_long_texts_leave_tiles_empty(spark, monkeypatch):
+    """Tiles cut by shingles: two or three nodes over several tiles, some of them without a node."""
+    monkeypatch.setattr(bayesjoin, "TILE_SHINGLES", 256)
+    texts = [t for seed in range(20, 28) for t in family(seed, 1 + seed % 2, 300, 6)]
+    rows = list(enumerate(texts, 1))
+    got = bayesjoin.near_duplicates(tables.docs(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=str) == brute_classes(rows)
+
+
 def test_one_of_each_class_stays(spark, corpus):
     rows = tables.docs(spark, corpus + [(7, corpus[6][1]), (90, None), (90, None)])
     kept = bayesjoin.keep_one(rows)
