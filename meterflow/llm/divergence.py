@@ -11,7 +11,9 @@ has no reference is compared with the nearest one.
 
 Short texts diverge by chance: a limit grows by ``SLACK`` over the number of words, texts
 under ``MIN_WORDS`` words are not judged by divergence, and a language with fewer than
-``MIN_REFERENCE_WORDS`` words gives no reference.
+``MIN_REFERENCE_WORDS`` words gives no reference. The word divergence of a text without any
+common word, ``blank``, follows from the share of common words in its language and can lie
+below the fixed limit; a text must stay below ``BLANK_SHARE`` of it, plus the slack, as well.
 
 All work is in SQL functions on one row at a time; nothing but the word counts shuffles.
 Repeated three-word windows are found by their 64-bit hashes.
@@ -24,6 +26,8 @@ give empty results.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,8 @@ MIN_WORDS = 50
 MIN_REFERENCE_WORDS = 1000
 CHARS_LIMIT, CHARS_SLACK = 0.05, 4.0
 WORDS_LIMIT, WORDS_SLACK = 0.10, 3.0
+#: Share of ``blank`` that is let pass; on sf0.01 it takes no document labelled good, at any length.
+BLANK_SHARE = 0.6
 #: Repeated windows up to which membership is looked up in a list; more are found by sorting.
 LISTED = 64
 
@@ -108,6 +114,13 @@ def _shares(counts: list[float]) -> Column:
     return F.array(*[F.lit(c / total) for c in counts])
 
 
+def blank(ref: dict) -> float:
+    """The word divergence of a text that holds no common word of this reference."""
+    rest = 1 - sum(n for _, n in ref["common"]) / ref["n_words"]
+    unseen = (1 - rest) / 2
+    return unseen + (math.log2(2 / (1 + rest)) + (rest * math.log2(2 * rest / (1 + rest)) if rest > 0 else 0.0)) / 2
+
+
 def _reference_array(refs: list[dict]) -> Column:
     rows = []
     for r in refs:
@@ -119,6 +132,7 @@ def _reference_array(refs: list[dict]) -> Column:
                 F.array(*[F.lit(w) for w in words]).cast("array<string>").alias("common"),
                 _shares([*known, r["n_words"] - sum(known)]).alias("words"),
                 _shares(r["classes"]).alias("classes"),
+                F.lit(blank(r)).alias("blank"),
             )
         )
     return F.array(*rows)
@@ -212,7 +226,7 @@ def _divergences(refs: list[dict], lang: Column | None) -> Column:
         counts = F.concat(counts, F.array(F.size("_w") - known))
         chars = divergence(_shares_of(F.col("_classes")), r["classes"])
         words = divergence(F.transform(counts, lambda c: c / F.greatest(F.size("_w"), F.lit(1))), r["words"])
-        return F.struct((chars + words).alias("both"), chars.alias("chars"), words.alias("words"))
+        return F.struct((chars + words).alias("both"), chars.alias("chars"), words.alias("words"), r["blank"].alias("blank"))
 
     return F.array_min(F.transform(chosen, compare))
 
@@ -237,11 +251,13 @@ def judge(docs: DataFrame, refs: list[dict], text: str = "text", lang: str | Non
     if refs:
         work = work.withColumn("_js", _divergences(refs, F.col("_lang")))
     else:
-        work = work.withColumn("_js", F.lit(None).cast("struct<both:double,chars:double,words:double>"))
+        work = work.withColumn("_js", F.lit(None).cast("struct<both:double,chars:double,words:double,blank:double>"))
     work = repeated_words(work, "_w", "n_repeat_words").withColumns({"js_chars": F.col("_js.chars"), "js_words": F.col("_js.words")})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    words_limit = F.least(F.lit(WORDS_LIMIT), BLANK_SHARE * F.col("_js.blank")) + WORDS_SLACK / F.col("n_words")
     odd = (F.col("js_chars") > CHARS_LIMIT + CHARS_SLACK / F.col("n_words")) | (
-        F.col("js_words") > WORDS_LIMIT + WORDS_SLACK / F.col("n_words")
+        # a language without common words has no blank text to tell from others
+        (F.col("js_words") > words_limit) & (F.col("_js.blank") > 0)
     )
     return work.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False))

@@ -103,6 +103,22 @@ def test_unknown_language_takes_the_nearest(spark):
     assert all(abs(nearest[i] - min(e[i] for e in each)) < 1e-12 and nearest[i] <= own[i] + 1e-12 for i in own)
 
 
+def test_wrong_languages_and_non_words_go(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    refs = divergence.references(divergence.word_counts(docs))
+    good = docs.join(spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").select("doc_id"), "doc_id")
+    english = good.where("lang = 'en'").withColumn("lang", F.lit("de"))
+    # letters moved on by one place make words that no language has
+    moved = F.translate("text", "abcdefghijklmnopqrstuvwxyz", "bcdefghijklmnopqrstuvwxyza")
+    for rows in (english, good.withColumn("text", moved)):
+        judged = divergence.judge(rows, refs).where("NOT base_failed AND n_words >= 100")
+        counts = {r.kept: r["count"] for r in judged.groupBy("kept").count().collect()}
+        assert counts.get(True, 0) <= 0.1 * counts.get(False, 0), counts
+    judged = divergence.judge(good, refs).where("NOT base_failed")
+    assert judged.where("NOT kept").count() == 0
+
+
 def test_empty_tables(spark):
     none = tables.no_rows(spark)
     assert divergence.references(divergence.word_counts(none)) == []
