@@ -16,10 +16,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; the rest (no text, no letters) go."""
+    """Documents in which a language can be told, a null ``lang`` filled by it; the rest (no text, no letters) go.
+
+    The score rejects nothing: junk with letters scores as high as clean texts do (see README).
+    """
     docs = docs.select(*COLUMNS)
-    found = bytecnn.identify(docs, bytecnn.trained_on(docs))
-    return found.where(F.col("lang_pred") != bytecnn.UNKNOWN).select(*COLUMNS)
+    found = bytecnn.identify(docs, bytecnn.trained_on(docs)).where(F.col("lang_pred") != bytecnn.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

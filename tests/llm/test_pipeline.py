@@ -60,3 +60,12 @@ def test_stages_take_awkward_and_empty_tables(spark):
     for rows in (tables.awkward(spark), tables.no_rows(spark)):
         for name, stage in corpus_pipeline.STAGES:
             assert stage(spark, rows, SF).count() <= rows.count(), name
+
+
+def test_a_null_language_is_filled(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    unlabelled = [(10**9 + r.doc_id, r.text, None, r.source, r.n_chars) for r in docs.where("lang = 'de'").limit(5).collect()]
+    rows = docs.unionByName(spark.createDataFrame(unlabelled, docs.schema))
+    out = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, rows, SF).collect()}
+    assert [out[r[0]] for r in unlabelled] == ["de"] * 5
+    assert {r.doc_id: r.lang for r in docs.collect() if bytecnn._LETTER.search(r.text or "")}.items() <= out.items()
