@@ -21,7 +21,7 @@ BLOCKS = frozenset(
 #: Elements that are never part of an article.
 DROPPED = frozenset(
     "nav footer aside form menu button select option textarea input label fieldset dialog iframe object embed applet "
-    "noscript template svg math canvas audio video map head".split()
+    "noscript template svg canvas audio video map head".split()
 )
 #: Words of class, id or role that mark page furniture.
 FURNITURE = re.compile(
@@ -34,6 +34,10 @@ FURNITURE = re.compile(
 )
 #: Classes that only say that furniture is or isn't near, as in ``has-sidebar``.
 ABOUT = re.compile(r"(?:^|(?<=\s))(?:has|with|no|without|show|hide)[_-][^\s]*", re.I)
+#: Ids that mark reader comments and the like inside an article too; others there name its own sections.
+COMMENTS = re.compile(r"(?:comments?|commentlist|comment-?\d+|comments?-(?:section|area|list)|disqus\w*|replies|respond)\Z", re.I)
+#: Elements that an article names by an id of its own.
+WORDING = frozenset("h1 h2 h3 h4 h5 h6 p section".split())
 #: Furniture words that name the heading when they stand inside an article.
 HEADING = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -161,10 +165,12 @@ def parse(html: str | None) -> Page:
         if "=" in raw:
             for a in ATTRIBUTE.finditer(raw):
                 attributes.setdefault(a[1].lower(), entities.unescape(a[2] or a[3] or a[4] or ""))
-        marks = [ABOUT.sub("", v) for v in attributes.values()]
-        marked = any(FURNITURE.search(v) for v in marks)
+        marks = {k: ABOUT.sub("", v) for k, v in attributes.items()}
+        marked = any(FURNITURE.search(v) for v in marks.values())
         if marked and (standing["article"] or standing["main"]):
-            marked = any(FURNITURE.search(HEADING.sub("", v)) for v in marks)
+            if name in WORDING and not (name == "section" and COMMENTS.match(marks.get("id", "").strip())):
+                marks.pop("id", None)
+            marked = any(FURNITURE.search(HEADING.sub("", v)) for v in marks.values())
         if name not in BLOCKS and name not in DROPPED and not (marked and name in ("span", "ins", "center")):
             continue
         flush()

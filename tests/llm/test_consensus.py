@@ -46,6 +46,14 @@ def test_small_pages(source, text):
     assert consensus.extract(source, None) == text
 
 
+@pytest.mark.parametrize("name", ["discussion", "related-work", "search-algorithms", "legal-status", "navigation", "form", "comments-on-x"])
+def test_sections_of_an_article_stay(name):
+    page = f"<article><p>a</p><section id='{name}'><h2 id='{name}'>b</h2><p id='{name}'>c</p></section></article>"
+    assert consensus.extract(page, None) == "a\n\nb\n\nc"
+    assert consensus.extract("<article><p>a</p><div id='share'>s</div><section id='comments'>r</section></article>", None) == "a"
+    assert consensus.extract("<article><p>a <math><mi>x</mi></math> b</p></article>", None) == "a x b"
+
+
 def test_template_of_the_test_data(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r for r in consensus.query(spark, "/root/testdata/sf0.01").collect()}
