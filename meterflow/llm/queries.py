@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterflow.llm import bayesjoin, bytecnn, consensus, decontam, divergence, mixing, secrets, suffixes, urlrules, warc
+from meterflow.llm import bayesjoin, bpe, bytecnn, consensus, decontam, divergence, mixing, secrets, suffixes, urlrules, warc
 
 QUERIES = {
     "op1_warc_dictionary": warc.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_divergence_rules": divergence.query,
     "op9_consensus_text": consensus.query,
     "op10_secret_spans": secrets.query,
+    "op13_bpe_automaton": bpe.query,
 }
 
 ORACLE_SQL = {
