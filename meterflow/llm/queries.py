@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from meterflow.llm import bayesjoin, bpe, bytecnn, consensus, decontam, divergence, mixing, secrets, suffixes, urlrules, warc
+from meterflow.llm import (
+    bayesjoin,
+    bpe,
+    bytecnn,
+    consensus,
+    decontam,
+    divergence,
+    mixing,
+    secrets,
+    structure,
+    suffixes,
+    urlrules,
+    warc,
+    whitening,
+)
 
 QUERIES = {
     "op1_warc_dictionary": warc.query,
@@ -15,6 +29,8 @@ QUERIES = {
     "op8_divergence_rules": divergence.query,
     "op9_consensus_text": consensus.query,
     "op10_secret_spans": secrets.query,
+    "op11_whitened_embeddings": whitening.query,
+    "op12_repaired_conversations": structure.query,
     "op13_bpe_automaton": bpe.query,
 }
 
