@@ -18,9 +18,10 @@ file and broadcasts it.
 
 Encoding reads a word from left to right. Every prefix has one right tokenization, so a
 position holds one state; from it the labels that match the next symbols are found in a
-trie, and the one arc into each later position that the table has is kept. Cost grows
-with the length of the word times that of the longest token. Words met before are taken
-from a bounded memory of ``CACHE`` words. Decoding emits the labels of the arcs.
+trie, the longest that the table allows is taken, and shorter ones if the end cannot be
+reached from there. Every position is left once at most, so cost grows with the length
+of the word times that of the longest token. Words met before are taken from a bounded
+memory of ``CACHE`` words. Decoding emits the labels of the arcs.
 
 ``encode`` gives the ids packed as little-endian unsigned 32-bit integers, as shards of
 tokens are stored. Normalising and splitting follow the tokenizer's file; files with
@@ -39,6 +40,7 @@ from __future__ import annotations
 import functools
 import json
 import re
+import struct
 import unicodedata
 from dataclasses import dataclass, field
 
@@ -50,8 +52,8 @@ from pyspark.sql import functions as F
 
 from meterflow.llm import scratch
 
-#: Words whose tokens a task remembers.
-CACHE = 200_000
+#: Words whose tokens a worker remembers.
+CACHE = 400_000
 #: Characters of normalised text that are split into words at once.
 SLICE = 1 << 18
 #: The file of the registered query, among those of the installed vocabularies.
@@ -114,7 +116,7 @@ def _classes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Tokenizer:
     """A compiled tokenizer file; ``table`` holds a row of bits for each state."""
 
-    labels: dict[int, str]
+    labels: list[str | None]
     token: dict[str, int]
     column: dict[str, int]
     state: dict[str, int]
@@ -148,32 +150,45 @@ class Tokenizer:
             self._longest = max(map(len, self.column))
             self._split, self._space = regex.compile(self.words), regex.compile(r"\s")
             self._special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
+            self._odd = re.compile("[\x1c-\x1f]")
             self._known: dict[str, bytes] = {}
         return self
 
     def word(self, word: str) -> list[int]:
-        """The ids of one word, by the transitions of the automaton."""
-        symbols = word.encode().decode("latin-1").translate(self._letters)
-        n = len(symbols)
-        #: Per position the state's row of bits, and how it was reached: position before, id.
-        rows: list = [None] * (n + 1)
-        before, ids = [0] * (n + 1), [0] * (n + 1)
-        rows[0] = self._start
-        for i in range(n):
-            row, node, j = rows[i], self._trie, i
+        """The ids of one word, by the transitions of the automaton.
+
+        Longest labels are tried first. A position from which the end cannot be reached is
+        dead for good, since all ways to it are in the same state; so no position is left twice.
+        """
+        plain = word.isascii() and word.isprintable()
+        symbols = word if plain else word.encode().decode("latin-1").translate(self._letters)
+        n, dead, ids, held = len(symbols), set(), [], []
+        i, row = 0, self._start
+        while i < n:
+            node, j, arcs = self._trie, i, []
             for letter in symbols[i : i + self._longest]:
                 node = node[0].get(letter)
                 if node is None:
                     break
                 j += 1
                 arc = node[1] if j < n else node[2]
-                if arc is not None and row[arc[0]] & arc[1]:
-                    rows[j], before[j], ids[j] = arc[2], i, arc[3]
-        found, j = [], n
-        while j:
-            found.append(ids[j])
-            j = before[j]
-        return found[::-1]
+                if arc is not None:
+                    arcs.append((j, arc))
+            while True:
+                while arcs:
+                    j, (byte, bit, behind, token) = arcs.pop()
+                    if row[byte] & bit and j not in dead:
+                        held.append((i, row, arcs))
+                        ids.append(token)
+                        i, row = j, behind
+                        break
+                else:
+                    dead.add(i)
+                    i, row, arcs = held.pop()
+                    ids.pop()
+                    continue
+                break
+        return ids
 
     def normalise(self, text: str) -> str:
         """The text as the file's normalizers leave it; white space stays, since no word holds any."""
@@ -184,30 +199,43 @@ class Tokenizer:
                 text = unicodedata.normalize(step, text)
         return text
 
-    def _words(self, text: str):
+    def _chunks(self, text: str):
+        """Normalised text between white space, a slice at a time."""
         low = 0
         while low < len(text):
             high = low + SLICE
             if high < len(text):  # a slice ends at white space, which no word holds
                 space = self._space.search(text, high)
                 high = space.start() if space else len(text)
-            yield self._split.findall(text, low, high)
+            part = text[low:high]
+            # Python also splits at the separators U+001C to U+001F, which are no white space here
+            yield self._space.split(part) if self._odd.search(part) else part.split()
             low = high
 
+    def _chunk(self, chunk: str) -> bytes:
+        """The packed ids of the words between two white spaces; single words are remembered."""
+        if chunk.isalpha():
+            return self._word(chunk)
+        if chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+            return self._word(chunk[:-1]) + self._word(chunk[-1])
+        return b"".join(map(self._word, self._split.findall(chunk)))
+
+    def _word(self, word: str) -> bytes:
+        known = self._known.get(word)
+        if known is None:
+            if len(self._known) >= CACHE:
+                self._known.clear()
+            ids = self.word(word)
+            known = self._known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text, packed."""
         known, packed, low = self._known, [], 0
         text = text or ""
         for hit in [*self._special.finditer(text), None]:
-            for words in self._words(self.normalise(text[low : hit.start() if hit else len(text)])):
-                for word in words:
-                    ids = known.get(word)
-                    if ids is None:
-                        if len(known) >= CACHE:
-                            known.clear()
-                        ids = known[word] = np.array(self.word(word), "<u4").tobytes()
-                    packed.append(ids)
-                packed = [b"".join(packed)]
+            for chunks in self._chunks(self.normalise(text[low : hit.start() if hit else len(text)])):
+                packed.append(b"".join([known.get(chunk) or self._chunk(chunk) for chunk in chunks]))
             if hit:
                 packed.append(np.array([self.special[hit[0]]], "<u4").tobytes())
                 low = hit.end()
@@ -251,8 +279,9 @@ def load(path: str) -> Tokenizer:
     arcs = np.unpackbits(bits[first], axis=1, bitorder="little")[:, : len(states)].T
     state, first = _classes(np.packbits(arcs, axis=1, bitorder="little"))
     table = [row.tobytes() for row in np.packbits(arcs[first], axis=1, bitorder="little")]
+    named = {i: label for label, i in [*token.items(), *special.items()]}
     return Tokenizer(
-        labels={i: label for label, i in token.items()} | {i: content for content, i in special.items()},
+        labels=[named.get(i) for i in range(max(named) + 1)],
         token=token,
         column=dict(zip(labels, column.tolist())),
         state=dict(zip(states, state.tolist())),
@@ -291,9 +320,11 @@ def decode(rows: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     return rows.withColumn("decoded", apply(F.col(ids)))
 
 
-def emit(labels: dict[int, str], packed: bytes | None) -> str:
+def emit(labels: list[str | None], packed: bytes | None) -> str:
     """The labels of packed ids, joined by a space, since the file names no decoder."""
-    return " ".join([labels[i] for i in np.frombuffer(packed or b"", "<u4").tolist() if i in labels])
+    ids = np.frombuffer(packed or b"", "<u4")
+    ids = ids[ids < len(labels)].tolist()
+    return " ".join([label for label in map(labels.__getitem__, ids) if label is not None])
 
 
 def query(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

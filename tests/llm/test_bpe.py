@@ -39,7 +39,7 @@ def check(library, own, text):
         "don't WE'LL it's 'sad 12345 ?!... a-b_c",
         "<|startoftext|>Hello<|endoftext|><|endoftext|> <|STARTOFTEXT|>",
         "é<|endoftext|>́ İI ΣΑΣ straße ǅ",
-        "x\x1cy \x85z w ​q ᠎﻿ \x00",
+        "x\x1cy !\x1c! \x1d\x1e \x85z w ​q ᠎﻿ \x00",
         "\U0001f600\U0001f600 日本語 ال ไทย",
         "a" * 5000 + "ha" * 3000,
     ],
