@@ -11,21 +11,27 @@ count in the tests).
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from meterflow import fixed  # noqa: E402
-from meterflow.operators import quality, reconcile, usage  # noqa: E402
-from meterflow.plans import monitoring, reports  # noqa: E402
+from meterflow.operators import quality, reconcile, reference, usage  # noqa: E402
+from meterflow.plans import layers, monitoring, replay, reports, subscribers  # noqa: E402
 from meterflow.plans.layerset import LayerSet  # noqa: E402
 from meterflow.plans.oracle import ORACLE_SQL  # noqa: E402
-from meterflow.sources import fixture, landing  # noqa: E402
-from meterflow.session import REQUIRED_CONF  # noqa: E402
+from meterflow.schemas import BATCH_KEYS, LANDING_SCHEMA  # noqa: E402
+from meterflow.sources import fixture, integrity, landing  # noqa: E402
+from meterflow.streaming import incremental  # noqa: E402
+from meterflow.sources.tables import read_layer, register_views  # noqa: E402
+from meterflow.session import REQUIRED_CONF, checkpoint_root  # noqa: E402
 
 try:  # the corpus operators are optional: without their folders all else works
     import corpus_pipeline
@@ -43,6 +49,19 @@ except ImportError as missing:  # also of an emptied folder; errors inside the o
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
+SQL_REPORT = """
+SELECT c.source_system, c.usage_day, c.clean_records, q.rejected_records, m.announced_batches
+FROM (SELECT source_system, event_date AS usage_day, count(*) AS clean_records
+      FROM silver_cdr_clean GROUP BY source_system, event_date) c
+JOIN (SELECT source_system, CAST(ingestion_ts AS DATE) AS usage_day, count(*) AS rejected_records
+      FROM silver_cdr_tagged WHERE quality_status = 'REJECTED' GROUP BY source_system, CAST(ingestion_ts AS DATE)) q
+  ON c.source_system = q.source_system AND c.usage_day = q.usage_day
+JOIN (SELECT source_system, CAST(arrival_ts AS DATE) AS usage_day, count(*) AS announced_batches
+      FROM metadata_ingestion_log GROUP BY source_system, CAST(arrival_ts AS DATE)) m
+  ON c.source_system = m.source_system AND c.usage_day = m.usage_day
+"""
+
+
 def _layers(spark: SparkSession, sf_dir: str) -> LayerSet:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
@@ -62,6 +81,100 @@ def _q(build: Callable[[LayerSet], DataFrame]) -> Callable[[SparkSession, str],
     return run
 
 
+def _replayed(table: str) -> Callable[[LayerSet], DataFrame]:
+    """A layer after a day's wrong batches were replayed over written layers."""
+
+    def build(ls: LayerSet) -> DataFrame:
+        root = f"{checkpoint_root(ls.spark)}/replayed-{uuid.uuid4().hex}"
+        layers.write_layers(fixture.first_delivery(ls.bronze), ls.metadata, root, as_of=ls.as_of)
+        replay.replay_batches(fixture.redelivered(ls.bronze), ls.metadata, root, as_of=ls.as_of)
+        return read_layer(ls.spark, root, table)
+
+    return build
+
+
+def _with_check(make: Callable[[LayerSet], object]) -> Callable[[LayerSet], DataFrame]:
+    """Verdict of every record with one more rule, from reference data."""
+
+    def build(ls: LayerSet) -> DataFrame:
+        tagged = quality.tag_quality(ls.bronze, as_of=ls.as_of, reference_checks=[make(ls)])
+        return tagged.select("batch_id", "source_system", "cdr_id", "ingest_seq", "reject_reason")
+
+    return build
+
+
+def _partners(ls: LayerSet) -> DataFrame:
+    """Roaming usage of clean records per partner, by the longest range that holds the other party's number."""
+    ranges = fixture.partner_ranges(ls.spark)
+    roaming = ls.clean.where(F.col("roaming_flag"))
+    found = reference.match_prefix(roaming, "other_party_msisdn", ranges, "prefix", "partner", "partner")
+    return found.groupBy("partner").agg(
+        F.count(F.lit(1)).alias("roaming_events"), F.sum("duration_sec").alias("total_duration_sec")
+    )
+
+
+def _sql_report(ls: LayerSet) -> DataFrame:
+    """A statement over the layers as views, run as it stands."""
+    register_views(ls.spark, layers=ls)
+    return ls.spark.sql(SQL_REPORT)
+
+
+def _malformed(ls: LayerSet) -> DataFrame:
+    """Verdicts of raw lines: those with fields too many or missing are rejected as malformed, with their line kept."""
+    root = f"{checkpoint_root(ls.spark)}/landing-{uuid.uuid4().hex}"
+    fixture.raw_lines(ls.bronze).write.text(f"{root}/raw")
+    landing.read_lines(ls.spark, f"{root}/raw", {"header": "false"}, ls.as_of).write.parquet(f"{root}/lines")
+    records, malformed = landing.split_malformed(ls.spark.read.parquet(f"{root}/lines"))
+    tagged = quality.tag_quality(records, as_of=ls.as_of)
+    tagged = tagged.unionByName(quality.tag_malformed(malformed, ls.as_of).select(*tagged.columns))
+    line = malformed.select("ingestion_ts", "ingest_seq", "raw_line")
+    return tagged.join(line, ["ingestion_ts", "ingest_seq"], "left").groupBy(
+        *BATCH_KEYS, "reject_reason"
+    ).agg(F.count(F.lit(1)).alias("record_count"), F.sum(F.length("raw_line")).alias("raw_characters"))
+
+
+def _block_digests(ls: LayerSet) -> DataFrame:
+    """Digests of the blocks of written day files."""
+    folder = f"{checkpoint_root(ls.spark)}/days-{uuid.uuid4().hex}"
+    fixture.write_day_files(ls.bronze, folder)
+    blocks = integrity.block_digests(ls.spark, folder, fixture.DIGEST_BLOCK)
+    return blocks.select(F.regexp_extract("path", r"day=(\d+)", 1).alias("day"), "block_no", "n_lines", "block_sha256")
+
+
+def _control_totals(ls: LayerSet) -> DataFrame:
+    """Announced against landed counts and charges, exact to the cent."""
+    checked = integrity.control_total_check(fixture.control_totals(ls.bronze), ls.bronze)
+    return checked.withColumns({c: F.col(c).cast("double") for c in ("control_charge_total", "landed_charge_total")})
+
+
+def _history(ls: LayerSet) -> DataFrame:
+    """Status changes between two runs: a build from wrong batches, then their replay an hour later."""
+    root, later = f"{checkpoint_root(ls.spark)}/history-{uuid.uuid4().hex}", ls.as_of + dt.timedelta(hours=1)
+    layers.write_layers(fixture.first_delivery(ls.bronze), ls.metadata, root, as_of=ls.as_of)
+    replay.replay_batches(fixture.redelivered(ls.bronze), ls.metadata, root, as_of=later)
+    return monitoring.status_changes(read_layer(ls.spark, root, "reconciliation_history"))
+
+
+def _rolled_up(*keys: str) -> Callable[[LayerSet], DataFrame]:
+    """Distinct subscribers from the written hourly bitmaps alone."""
+
+    def build(ls: LayerSet) -> DataFrame:
+        root = f"{checkpoint_root(ls.spark)}/subscribers-{uuid.uuid4().hex}"
+        return subscribers.distinct_subscribers(subscribers.write_bitmaps(ls.clean, root), *keys)
+
+    return build
+
+
+def _incremental(ls: LayerSet) -> DataFrame:
+    """Verdicts of the incremental tier, load after load; a load knows what earlier ones brought."""
+    root = f"{checkpoint_root(ls.spark)}/incremental-{uuid.uuid4().hex}"
+    arrivals, step = fixture.loads(ls.bronze), incremental.IncrementalQuality(root, as_of=ls.as_of, fanout=2)
+    for load in range(31 // fixture.LOAD_DAYS + 2):
+        step(arrivals.where(F.col("load_no") == load).select(*LANDING_SCHEMA.fieldNames()), load)
+    tagged = read_layer(ls.spark, root, "silver_cdr_tagged")
+    return tagged.select("batch_id", "source_system", "cdr_id", "is_duplicate", "reject_reason", "quality_status")
+
+
 def _recon_split(ls: LayerSet) -> DataFrame:
     """Reconciliation by three joins, over a split that lost and repeated records."""
     return reconcile.reconcile(ls.metadata, ls.bronze, *fixture.faulty_split(ls.clean, ls.quarantine), as_of=ls.as_of)
@@ -72,6 +185,10 @@ _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     "bronze_raw": lambda ls: ls.bronze,
     "batch_metadata_log": lambda ls: ls.metadata.orderBy("source_system", "batch_id"),
     "bronze_counts_by_file": lambda ls: landing.file_counts(ls.bronze).orderBy("source_system", "source_file"),
+    "sql_over_views": _sql_report,
+    "malformed_lines": _malformed,
+    "control_totals": _control_totals,
+    "block_digests": _block_digests,
     # silver: typing, duplicates, quality rules, split
     "silver_typed": lambda ls: quality.standardise(ls.bronze, ls.as_of),
     "duplicate_flagged": lambda ls: quality.flag_duplicates(quality.standardise(ls.bronze, ls.as_of)).select(
@@ -84,7 +201,7 @@ _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     "quality_status_reason_counts": lambda ls: reports.quality_status_reason_counts(ls.tagged),
     "reject_reasons": lambda ls: reports.reject_reasons(ls.quarantine),
     "source_status_counts": lambda ls: reports.source_status_counts(ls.tagged),
-    "layer_count_check": lambda ls: reconcile.layer_balance(ls.bronze, ls.clean, ls.quarantine),
+    "layer_count_check": lambda ls: reconcile.layer_balance_tagged(ls.bronze, ls.tagged),
     "quality_metrics": lambda ls: reports.quality_metrics(ls.tagged),
     # gold usage
     "gold_usage_hourly": lambda ls: ls.hourly.orderBy("usage_date", "usage_hour", "source_system", "event_type"),
@@ -108,6 +225,19 @@ _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     "count_match_check_split": lambda ls: reconcile.count_match_check(_recon_split(ls)),
     "count_match_labels_split": lambda ls: reconcile.count_match_labels(_recon_split(ls)),
     "unregistered_batches": lambda ls: reconcile.unregistered_batches(ls.metadata, ls.bronze),
+    # optional rules: number format, reference data
+    "invalid_msisdn_formats": lambda ls: quality.tag_quality(
+        ls.bronze, quality.default_rules(extra=[quality.OPTIONAL_RULES["INVALID_MSISDN_FORMAT"]]), ls.as_of
+    ).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("record_count")),
+    "roaming_partner_usage": _partners,
+    "roaming_partner_tagged": _with_check(lambda ls: reference.PartnerCheck(fixture.partner_ranges(ls.spark))),
+    "cell_validity_tagged": _with_check(lambda ls: reference.ValidityCheck(fixture.cell_periods(ls.bronze))),
+    # batches delivered wrong, then replayed over the written layers
+    "replayed_tagged": _replayed("silver_cdr_tagged"),
+    "replayed_gold_hourly": _replayed("gold_cdr_usage_hourly"),
+    "replayed_reconciliation": _replayed("gold_reconciliation_daily"),
+    "reconciliation_history": _history,
+    "incremental_outcomes": _incremental,
     # dashboard
     "layer_counts": reports.layer_counts,
     "valid_vs_quarantined": reports.valid_vs_quarantined,
@@ -116,6 +246,8 @@ _QUERIES: dict[str, Callable[[LayerSet], DataFrame]] = {
     "top_subscribers": lambda ls: reports.top_subscribers(ls.daily),
     "source_usage_summary": lambda ls: reports.source_usage_summary(ls.hourly),
     "source_unique_subscribers": lambda ls: reports.source_unique_subscribers(ls.clean),
+    "source_unique_subscribers_rollup": _rolled_up("source_system"),
+    "daily_unique_subscribers_rollup": _rolled_up("usage_date", "event_type"),
     "daily_usage_summary": lambda ls: reports.daily_usage_summary(ls.hourly),
     "quality_by_source": lambda ls: reports.quality_by_source_tagged(ls.tagged),
     "quality_by_source_joined": lambda ls: reports.quality_by_source(ls.clean, ls.quarantine),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from meterflow import fixed
+
 
 def stamp_from_file(file_name: Column) -> Column:
     """The ``yyyyMMdd_HHmmss`` stamp at the end of a batch file name, or NULL."""
@@ -18,3 +20,11 @@ def stamp_from_file(file_name: Column) -> Column:
 
 def batch_id(stamp: Column, source_system: Column) -> Column:
     return F.concat(F.lit("BATCH_"), stamp, F.lit("_"), source_system)
+
+
+def source_from_file(file_name: Column) -> Column:
+    """The source system whose file prefix the name has, or NULL."""
+    found = F.lit(None).cast("string")
+    for source, prefix in fixed.SOURCE_FILE_PREFIXES.items():
+        found = F.when(file_name.startswith(prefix + "_"), F.lit(source)).otherwise(found)
+    return found

@@ -140,6 +140,21 @@ def tag_quality(
     return out.drop(*[c.flag for c in checks])
 
 
+#: The reason of a line that no record could be read from; it comes before all rules.
+MALFORMED = "MALFORMED_RECORD"
+
+
+def tag_malformed(malformed: DataFrame, as_of=None) -> DataFrame:
+    """Malformed lines as tagged records: rejected, with lineage and nothing else, never duplicates."""
+    return standardise(malformed.select(*schemas.BRONZE_COLUMNS), as_of).withColumns(
+        {
+            "is_duplicate": F.lit(False),
+            "reject_reason": F.lit(MALFORMED),
+            "quality_status": F.lit(fixed.STATUS_REJECTED),
+        }
+    )
+
+
 def clean_records(tagged: DataFrame) -> DataFrame:
     """Silver clean: VALID records in the 20-column contract."""
     return tagged.where(F.col("quality_status") == fixed.STATUS_VALID).select(

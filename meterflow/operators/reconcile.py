@@ -176,3 +176,21 @@ def layer_balance(bronze: DataFrame, clean: DataFrame, quarantine: DataFrame) ->
     return counts.withColumn(
         "is_balanced", F.col("bronze_count") == F.col("silver_clean_count") + F.col("silver_quarantine_count")
     )
+
+
+def layer_balance_tagged(bronze: DataFrame, tagged: DataFrame) -> DataFrame:
+    """``layer_balance`` while clean and quarantine are still the halves of one tagged set: it is tagged once.
+
+    Bronze is counted on its own, so a record lost or multiplied by the tagging shows.
+    """
+    layers = bronze.select(F.lit(None).cast("string").alias("quality_status"), F.lit(True).alias("_bronze")).unionByName(
+        tagged.select("quality_status", F.lit(False).alias("_bronze"))
+    )
+    counts = layers.agg(
+        count_when(F.col("_bronze")).alias("bronze_count"),
+        count_when(F.col("quality_status") == fixed.STATUS_VALID).alias("silver_clean_count"),
+        count_when(F.col("quality_status") == fixed.STATUS_REJECTED).alias("silver_quarantine_count"),
+    )
+    return counts.withColumn(
+        "is_balanced", F.col("bronze_count") == F.col("silver_clean_count") + F.col("silver_quarantine_count")
+    )

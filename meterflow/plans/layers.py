@@ -15,13 +15,25 @@ count is never made up from what landed.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.operators import quality, reconcile, usage
-from meterflow.schemas import BATCH_KEYS
-from meterflow.sources.landing import ingestion_log, read_landing
-from meterflow.sources.tables import merge_layer, read_layer, write_layer
+from meterflow.schemas import BATCH_KEYS, TABLE_SCHEMAS
+from meterflow.sources.landing import ingestion_log, read_lines, split_malformed
+from meterflow.sources.tables import (
+    exists,
+    files_of,
+    landed,
+    merge_layer,
+    read_files,
+    read_layer,
+    read_side,
+    replace_partitions,
+    write_layer,
+)
 
 # What a merge keeps of a logged batch when the new row doesn't know it.
 ANNOUNCED = ["arrival_ts", "expected_record_count"]
@@ -43,12 +55,16 @@ def write_landing(bronze: DataFrame, metadata: DataFrame, root: str, replay: boo
 def build_downstream(spark: SparkSession, root: str, as_of=None, rules=None) -> None:
     """Silver, gold and reconciliation from the written bronze and log.
 
-    Duplicate ranking and gold span batches, so these layers are rebuilt whole. Full records
-    move once, to size the files of the clean table: the tagged table is written as its tasks
-    produce it.
+    Duplicate ranking and gold span batches, so these layers are rebuilt whole (a replay that
+    touches only what its batches change is ``plans.replay``). Full records move twice, to
+    bring a batch together in the tagged table and a day in the clean table.
     """
     bronze = read_layer(spark, root, "bronze_cdr_raw")
-    write_layer(quality.tag_quality(bronze, rules=rules, as_of=as_of), root, "silver_cdr_tagged", rebalance=False)
+    tagged = quality.tag_quality(bronze, rules=rules, as_of=as_of)
+    if exists(spark, root, "bronze_cdr_malformed"):
+        malformed = quality.tag_malformed(read_side(spark, root, "bronze_cdr_malformed"), as_of)
+        tagged = tagged.unionByName(malformed.select(*tagged.columns))
+    write_layer(tagged, root, "silver_cdr_tagged")
     tagged = read_layer(spark, root, "silver_cdr_tagged")
     write_layer(quality.clean_records(tagged), root, "silver_cdr_clean")
     write_layer(quality.quarantine_records(tagged, as_of), root, "silver_cdr_quarantine")
@@ -66,15 +82,23 @@ def build_gold(spark: SparkSession, root: str, as_of=None) -> None:
 def reconcile_layers(spark: SparkSession, root: str, as_of=None) -> None:
     """Reconcile every logged batch from the written log, bronze, clean and
     quarantine tables, and rewrite the reconciliation table. Re-run it after any
-    change to a layer: it checks what is on storage."""
+    change to a layer: it checks what is on storage. The run joins the history."""
     recon = reconcile.reconcile(
         read_layer(spark, root, "metadata_ingestion_log"),
-        read_layer(spark, root, "bronze_cdr_raw"),
+        landed(spark, root),
         read_layer(spark, root, "silver_cdr_clean"),
         read_layer(spark, root, "silver_cdr_quarantine"),
         as_of=as_of,
     )
     write_layer(recon, root, "gold_reconciliation_daily")
+    add_run(read_layer(spark, root, "gold_reconciliation_daily"), root)
+
+
+def add_run(recon: DataFrame, root: str, run_id: str | None = None) -> str:
+    """Add reconciled batches to the history as a run of their own; a run that is repeated by its id replaces itself."""
+    run_id = run_id or uuid.uuid4().hex
+    write_layer(recon.withColumn("run_id", F.lit(run_id)), root, "reconciliation_history", dynamic=True, rebalance=False)
+    return run_id
 
 
 def write_layers(bronze: DataFrame, metadata: DataFrame, root: str, as_of=None, rules=None, replay=False) -> None:
@@ -111,6 +135,18 @@ def build_from_landing(
     """Raw files -> every layer. ``control`` is the senders' announcement per batch
     (``sources.landing.read_control``); a batch without one has no expected count and
     reconciles as FAILED. ``replay`` replaces the batches present in the files."""
-    write_layer(read_landing(spark, landing, dated=dated), root, "bronze_cdr_raw", dynamic=replay, rebalance=False)
-    log_landed(read_layer(spark, root, "bronze_cdr_raw"), root, control, merge=replay)
+    staged = f"{root.rstrip('/')}/_staging/lines-{uuid.uuid4().hex}"
+    read_lines(spark, landing, dated=dated).write.parquet(staged)
+    records, malformed = split_malformed(spark.read.parquet(staged))
+    malformed = malformed.select(*TABLE_SCHEMAS["bronze_cdr_malformed"].fieldNames())
+    stale = []
+    if replay and exists(spark, root, "bronze_cdr_malformed"):  # a batch that has no malformed line now
+        again = [r.batch_id for r in records.select("batch_id").distinct().collect()]
+        stale = files_of(read_files(spark, root, "bronze_cdr_malformed").where(F.col("batch_id").isin(again)))
+    write_layer(records, root, "bronze_cdr_raw", dynamic=replay, rebalance=False)
+    if replay:
+        replace_partitions(malformed, root, "bronze_cdr_malformed", stale, rebalance=False)
+    else:
+        write_layer(malformed, root, "bronze_cdr_malformed", rebalance=False)
+    log_landed(landed(spark, root), root, control, merge=replay)
     build_downstream(spark, root)

@@ -57,6 +57,11 @@ class LayerSet:
             _recon=read_layer(spark, root, "gold_reconciliation_daily"),
         )
 
+    @property
+    def derived(self) -> bool:
+        """Whether every layer is still a plan over bronze, so that one pass over it can answer for several."""
+        return all(t is None for t in (self._tagged, self._clean, self._quarantine, self._hourly, self._daily))
+
     @cached_property
     def metadata(self) -> DataFrame:
         src = self.metadata_source

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterflow import fixed
 from meterflow.functions.metrics import count_when, rate
-from meterflow.schemas import BATCH_KEYS
+from meterflow.schemas import BATCH_KEYS, RECONCILIATION_COLUMNS
 
 RATE_JUMP_LOOKBACK = 7  # batches of the same source before the current one
 RATE_JUMP_MIN_INCREASE = 0.02  # absolute increase over the look-back mean that counts as a jump
@@ -160,3 +160,26 @@ def late_batches(metadata: DataFrame, as_of, sources: list[str] = fixed.SOURCE_S
     return missing.withColumn("hours_late", (F.floor(waited / 3600) - deadline_hours).cast("bigint")).orderBy(
         "source_system", "expected_date"
     )
+
+
+def latest_reconciliation(history: DataFrame, as_of=None) -> DataFrame:
+    """Per batch the last run up to ``as_of`` (a timestamp; all runs if None): one aggregate, no window."""
+    runs = history if as_of is None else history.where(F.col("reconciliation_ts") <= F.lit(as_of).cast("timestamp"))
+    rest = [c for c in RECONCILIATION_COLUMNS if c not in BATCH_KEYS]
+    last = F.max_by(F.struct(*rest), F.struct("reconciliation_ts", "run_id")).alias("_last")
+    return runs.groupBy(*BATCH_KEYS).agg(last).select(*BATCH_KEYS, "_last.*").select(*RECONCILIATION_COLUMNS)
+
+
+def status_changes(history: DataFrame) -> DataFrame:
+    """Batches whose status differs from that of their run before, with both statuses and reject rates.
+
+    The window is over the runs of one batch: as many rows as it was reconciled.
+    """
+    runs = Window.partitionBy(*BATCH_KEYS).orderBy("reconciliation_ts", "run_id")
+    status, rate_now = F.col("reconciliation_status"), F.col("reject_rate")
+    seen = history.withColumns(
+        {"previous_status": F.lag(status).over(runs), "previous_reject_rate": F.lag(rate_now).over(runs)}
+    )
+    return seen.where(F.col("previous_status") != status).select(
+        *BATCH_KEYS, "reconciliation_ts", "previous_status", "reconciliation_status", "previous_reject_rate", "reject_rate"
+    )

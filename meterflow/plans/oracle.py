@@ -8,6 +8,8 @@ Spark's (``hour`` and integer sums are wider in DuckDB).
 
 from __future__ import annotations
 
+import re
+
 from meterflow import fixed
 from meterflow.sources import fixture
 
@@ -473,3 +475,162 @@ for _name, _whole in [
 ]:
     _body = ORACLE_SQL[_whole].removeprefix(with_(RECON, ""))
     ORACLE_SQL[_name] = with_(_RECON_SPLIT, _body)
+
+# A replay of the batches that came wrong leaves what a build from the right ones gives.
+for _name, _whole in [
+    ("replayed_tagged", "quality_tagged"),
+    ("replayed_gold_hourly", "gold_usage_hourly"),
+    ("replayed_reconciliation", "reconciliation"),
+]:
+    ORACLE_SQL[_name] = ORACLE_SQL[_whole]
+
+# Arrivals in loads: the first load that brings a key has its first record.
+_ARRIVALS = f""",
+numbered AS (
+  SELECT *, CAST(floor((day(ingestion_ts) - 1) / {fixture.LOAD_DAYS}) AS INTEGER) AS load_no FROM bronze
+),
+arrivals AS (
+  SELECT * FROM numbered
+  UNION ALL
+  SELECT * REPLACE (load_no + 1 AS load_no) FROM numbered
+  WHERE (ingest_seq // 2) % {fixture.RESENT_EVERY} = {fixture.RESENT_REMAINDER}
+)"""
+_OF_ARRIVALS = (
+    TAGGED.removeprefix(BRONZE)
+    .replace("FROM bronze)", "FROM arrivals)")
+    .replace("ORDER BY ingestion_ts, batch_id, source_file, ingest_seq", "ORDER BY load_no, ingest_seq")
+)
+ORACLE_SQL["incremental_outcomes"] = with_(
+    BRONZE + _ARRIVALS + _OF_ARRIVALS,
+    "SELECT batch_id, source_system, cdr_id, is_duplicate, reject_reason, quality_status FROM tagged",
+)
+
+# Rules beyond the six, before the duplicate rule.
+_RANGES = ", ".join(f"('{prefix}', '{partner}')" for prefix, partner in fixture.PARTNER_RANGES)
+_CELL = "CAST(substr(cell_id, 6, 9) AS INTEGER)"
+_MORE = f""",
+ranges(prefix, partner) AS (VALUES {_RANGES}),
+partners AS (
+  SELECT number, arg_max(partner, length(prefix)) AS partner
+  FROM (SELECT DISTINCT other_party_msisdn AS number FROM bronze) JOIN ranges ON starts_with(number, prefix)
+  GROUP BY number
+),
+cells AS (
+  SELECT cell_id, TIMESTAMP '{fixture.CELLS_OPEN}' AS valid_from,
+         CASE WHEN {_CELL} % {fixture.CELL_CLOSES[0]} = {fixture.CELL_CLOSES[1]}
+              THEN TIMESTAMP '{fixture.CELL_CLOSES[2]}' END AS valid_to
+  FROM (SELECT DISTINCT cell_id FROM bronze) WHERE {_CELL} % {fixture.CELL_UNKNOWN[0]} <> {fixture.CELL_UNKNOWN[1]}
+  UNION ALL
+  SELECT cell_id, TIMESTAMP '{fixture.CELL_REOPENS[2]}', NULL FROM (SELECT DISTINCT cell_id FROM bronze)
+  WHERE {_CELL} % {fixture.CELL_UNKNOWN[0]} <> {fixture.CELL_UNKNOWN[1]}
+    AND {_CELL} % {fixture.CELL_REOPENS[0]} = {fixture.CELL_REOPENS[1]}
+)"""
+
+
+def _tagged_with(reason: str, fails: str) -> str:
+    """Tagged records with one more rule ahead of the duplicate rule."""
+    return TAGGED.removeprefix(BRONZE).replace(
+        "      WHEN is_duplicate THEN", f"      WHEN {fails} THEN '{reason}'\n      WHEN is_duplicate THEN"
+    )
+
+
+_VERDICT = "SELECT batch_id, source_system, cdr_id, ingest_seq, reject_reason FROM tagged"
+ORACLE_SQL["invalid_msisdn_formats"] = with_(
+    BRONZE + _tagged_with("INVALID_MSISDN_FORMAT", "NOT regexp_full_match(subscriber_msisdn, '9053[0-9]{7}')"),
+    "SELECT reject_reason, count(*) AS record_count FROM tagged GROUP BY reject_reason",
+)
+ORACLE_SQL["roaming_partner_tagged"] = with_(
+    BRONZE + _MORE + _tagged_with(
+        "UNKNOWN_ROAMING_PARTNER",
+        "roaming_flag_bool AND NOT EXISTS (SELECT 1 FROM partners p WHERE p.number = other_party_msisdn)",
+    ),
+    _VERDICT,
+)
+ORACLE_SQL["cell_validity_tagged"] = with_(
+    BRONZE + _MORE + _tagged_with(
+        "CELL_NOT_IN_SERVICE",
+        "NOT EXISTS (SELECT 1 FROM cells c WHERE c.cell_id = typed.cell_id AND event_ts >= c.valid_from "
+        "AND (c.valid_to IS NULL OR event_ts < c.valid_to))",
+    ),
+    _VERDICT,
+)
+ORACLE_SQL["roaming_partner_usage"] = with_(
+    SILVER + _MORE,
+    "SELECT p.partner, count(*) AS roaming_events, CAST(sum(duration_sec) AS BIGINT) AS total_duration_sec "
+    "FROM clean LEFT JOIN partners p ON p.number = other_party_msisdn WHERE roaming_flag GROUP BY p.partner",
+)
+
+ORACLE_SQL["source_unique_subscribers_rollup"] = ORACLE_SQL["source_unique_subscribers"]
+ORACLE_SQL["daily_unique_subscribers_rollup"] = with_(
+    SILVER,
+    "SELECT event_date AS usage_date, event_type, count(DISTINCT subscriber_msisdn) AS unique_subscribers FROM clean "
+    "GROUP BY event_date, event_type",
+)
+
+ORACLE_SQL["control_totals"] = with_(
+    BRONZE,
+    ", totals AS (SELECT batch_id, source_system, source_file, count(*) AS n, "
+    "sum(CAST(charge_amount_raw AS DECIMAL(18,2))) AS charge FROM bronze GROUP BY batch_id, source_system, source_file), "
+    f"checked AS (SELECT *, n - CAST(batch_id = '{fixture.ONE_LESS}' AS INTEGER) AS said_n, "
+    f"charge + CASE WHEN batch_id = '{fixture.CENT_OFF}' THEN 0.01 ELSE 0.00 END AS said_charge FROM totals) "
+    "SELECT batch_id, source_system, source_file, said_n AS control_record_count, "
+    "CAST(said_charge AS DOUBLE) AS control_charge_total, n AS landed_record_count, "
+    "CAST(charge AS DOUBLE) AS landed_charge_total, said_n = n AS count_matched, said_charge = charge AS charge_matched FROM checked",
+)
+
+# Lines with a field too many or missing are no records: they are rejected before all rules and rank nowhere.
+_EXTRA = f"(ingest_seq // 2) % {fixture.EXTRA_FIELD[0]} = {fixture.EXTRA_FIELD[1]}"
+_SHORT = f"(ingest_seq // 2) % {fixture.CUT_SHORT[0]} = {fixture.CUT_SHORT[1]}"
+_FIELDS = [f"coalesce({c.strip()}, '')" for c in _BRONZE_COLS.split(",")]
+_LINES = TAGGED.removeprefix(BRONZE).replace("FROM bronze)", f"FROM bronze WHERE NOT ({_EXTRA} OR {_SHORT}))")
+ORACLE_SQL["malformed_lines"] = with_(
+    BRONZE + _LINES,
+    "SELECT batch_id, source_system, source_file, reject_reason, count(*) AS record_count, "
+    "CAST(NULL AS BIGINT) AS raw_characters FROM tagged GROUP BY batch_id, source_system, source_file, reject_reason "
+    "UNION ALL SELECT batch_id, source_system, source_file, 'MALFORMED_RECORD', count(*), "
+    f"CAST(sum(length(CASE WHEN {_SHORT} THEN concat_ws(',', {', '.join(_FIELDS[:5])}) "
+    f"ELSE concat_ws(',', {', '.join(_FIELDS)}) || ',extra' END)) AS BIGINT) "
+    f"FROM bronze WHERE {_EXTRA} OR {_SHORT} GROUP BY batch_id, source_system, source_file",
+)
+
+# Reconciliation before and after the replay: the chain of CTEs twice, once over the first delivery.
+_FIRST = f""",
+wrong AS (
+  SELECT *, substr(batch_id, 7, 8) = '{fixture.REDELIVERED_DAY}' AS bad, ingest_seq // 2 AS event FROM bronze
+),
+bronze_1 AS (
+  SELECT * EXCLUDE (bad, event) REPLACE (
+    CASE WHEN bad AND event % 7 = 1 THEN source_system || '_' || CAST(event + {fixture.KEY_SHIFT} AS STRING) ELSE cdr_id END AS cdr_id,
+    CASE WHEN bad AND event % 11 = 3 THEN 'MMS' ELSE event_type END AS event_type)
+  FROM wrong WHERE NOT (bad AND event % 5 = 2)
+),
+bcounts_1 AS (
+  SELECT batch_id, source_system, source_file, count(*) AS n FROM bronze_1 GROUP BY batch_id, source_system, source_file
+)"""
+_CHAIN = "bronze bcounts typed reasoned tagged clean quarantine scounts qcounts recon_counts recon_rated recon".split()
+_AGAIN = re.sub(rf"\b({"|".join(_CHAIN)})\b", r"\1_1", SILVER.removeprefix(BRONZE) + _RECON)
+ORACLE_SQL["reconciliation_history"] = with_(
+    SILVER + _METADATA + _RECON + _FIRST + _AGAIN,
+    f"SELECT r.batch_id, r.source_system, r.source_file, {AS_OF_SQL} + INTERVAL 1 HOUR AS reconciliation_ts, "
+    "f.reconciliation_status AS previous_status, r.reconciliation_status, f.reject_rate AS previous_reject_rate, r.reject_rate "
+    "FROM recon r JOIN recon_1 f USING (batch_id, source_system, source_file) WHERE f.reconciliation_status <> r.reconciliation_status",
+)
+
+ORACLE_SQL["block_digests"] = with_(
+    BRONZE,
+    f", lines AS (SELECT strftime(ingestion_ts, '%Y%m%d') AS day, ingest_seq, concat_ws(',', {', '.join(_FIELDS)}) AS line FROM bronze), "
+    "placed AS (SELECT day, line, sum(strlen(line) + 1) OVER (PARTITION BY day ORDER BY ingest_seq) - strlen(line) - 1 AS place FROM lines) "
+    f"SELECT day, CAST(place // {fixture.DIGEST_BLOCK} AS BIGINT) AS block_no, count(*) AS n_lines, "
+    "sha256(string_agg(sha256(line), '' ORDER BY place)) AS block_sha256 "
+    f"FROM placed GROUP BY day, place // {fixture.DIGEST_BLOCK}",
+)
+
+# The statement of the views, with the days of each layer as the views have them.
+ORACLE_SQL["sql_over_views"] = with_(
+    SILVER + _METADATA,
+    ", c AS (SELECT source_system, event_date AS usage_day, count(*) AS clean_records FROM clean GROUP BY ALL), "
+    "q AS (SELECT source_system, CAST(ingestion_ts AS DATE) AS usage_day, count(*) AS rejected_records FROM tagged "
+    "WHERE reject_reason IS NOT NULL GROUP BY ALL), "
+    "m AS (SELECT source_system, CAST(arrival_ts AS DATE) AS usage_day, count(*) AS announced_batches FROM metadata GROUP BY ALL) "
+    "SELECT * FROM c JOIN q USING (source_system, usage_day) JOIN m USING (source_system, usage_day)",
+)

@@ -45,16 +45,38 @@ def _by_status(tagged: DataFrame) -> DataFrame:
     )
 
 
+def _by_layer(tagged: DataFrame) -> DataFrame:
+    """Rows of bronze, clean, quarantine, hourly and daily usage, counted in one pass over the tagged records.
+
+    Usage has a row for each group of the clean records, so its rows are distinct groups.
+    """
+    valid = F.col("quality_status") == fixed.STATUS_VALID
+    hour = F.struct("event_date", "event_hour", "source_system", "event_type")
+    day = F.struct("event_date", "subscriber_msisdn")
+    return tagged.agg(
+        F.count(F.lit(1)).alias("bronze"),
+        count_when(valid).alias("clean"),
+        count_when(F.col("quality_status") == fixed.STATUS_REJECTED).alias("quarantine"),
+        F.count_distinct(F.when(valid, hour)).alias("hourly"),
+        F.count_distinct(F.when(valid, day)).alias("daily"),
+    )
+
+
 def layer_counts(ls: LayerSet) -> DataFrame:
-    """Rows of each layer; bronze, clean and quarantine are the tagged records, all and by status."""
+    """Rows of each layer: of the written tables, or in one pass while all are still to be derived."""
+    if ls.derived:
+        return _labelled(_by_layer(ls.tagged), "metric", "value", fixed.LAYER_COUNT_LABELS)
     records, gold = fixed.LAYER_COUNT_LABELS[:3], zip([ls.hourly, ls.daily], fixed.LAYER_COUNT_LABELS[3:])
     counted = _labelled(_by_status(ls.tagged), "metric", "value", records)
     return _union([counted, *[_count(t, "metric", label, "value") for t, label in gold]])
 
 
 def gold_layer_counts(ls: LayerSet) -> DataFrame:
+    labels = fixed.GOLD_LAYER_COUNT_LABELS
+    if ls.derived:
+        return _labelled(_by_layer(ls.tagged).select("clean", "hourly", "daily"), "metric", "value", labels)
     tables = [ls.clean, ls.hourly, ls.daily]
-    return _union([_count(t, "metric", label, "value") for t, label in zip(tables, fixed.GOLD_LAYER_COUNT_LABELS)])
+    return _union([_count(t, "metric", label, "value") for t, label in zip(tables, labels)])
 
 
 def valid_vs_quarantined(ls: LayerSet) -> DataFrame:

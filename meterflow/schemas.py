@@ -191,4 +191,11 @@ TABLE_SCHEMAS = {
     "gold_cdr_usage_hourly": _schema(GOLD_HOURLY_COLUMNS),
     "gold_subscriber_usage_daily": _schema(GOLD_SUBSCRIBER_DAILY_COLUMNS),
     "gold_reconciliation_daily": _schema(RECONCILIATION_COLUMNS),
+    # Beside the layers: malformed lines (all but lineage is in the raw line), and all reconciliation runs.
+    "bronze_cdr_malformed": T.StructType([*BRONZE_SCHEMA.fields, T.StructField("raw_line", S)]),
+    "reconciliation_history": _schema([*RECONCILIATION_COLUMNS, "run_id"], run_id=S),
+    # Bloom filters of each landed batch's record keys (operators.keyfilter).
+    "bronze_key_filters": T.StructType(
+        [T.StructField("batch_id", S), T.StructField("level", I), T.StructField("block", L), T.StructField("bitmap", T.BinaryType())]
+    ),
 }

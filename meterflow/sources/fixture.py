@@ -27,6 +27,10 @@ REPEATED_DAY = "20240111"  # and writes the quarantined records of this day twic
 EMPTY_BATCH_DAY = "20240131"  # logged for MEDIATION_A, nothing landed
 EMPTY_BATCH_EXPECTED = 100
 COPY_DELAY_SECONDS = 60  # copies land one minute after their original
+REDELIVERED_DAY = "20240108"  # batches of this day came wrong at first: see first_delivery
+LOAD_DAYS = 8  # days of a load when the fixture is played as loads
+RESENT_EVERY, RESENT_REMAINDER = 53, 7  # events that come again with the next load
+KEY_SHIFT = 333  # a multiple of the number of sources, so that a shifted key keeps its source
 
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -152,3 +156,116 @@ def faulty_split(clean: DataFrame, quarantine: DataFrame) -> tuple[DataFrame, Da
     day = F.substring(F.col("batch_id"), 7, 8)
     lost = (day == LOST_DAY) & F.col("cdr_id").endswith(LOST_DIGIT)
     return clean.where(~F.coalesce(lost, F.lit(False))), quarantine.unionByName(quarantine.where(day == REPEATED_DAY))
+
+
+def redelivered(bronze: DataFrame) -> DataFrame:
+    """The records of the batches that ``first_delivery`` has wrong."""
+    return bronze.where(F.substring("batch_id", 7, 8) == REDELIVERED_DAY)
+
+
+def first_delivery(bronze: DataFrame) -> DataFrame:
+    """Bronze before the redelivery of one day's batches.
+
+    Some records of that day are missing, some have another type, and some carry the key of a
+    later event, whose own record in a later batch is then the duplicate.
+    """
+    event, wrong = F.floor(F.col("ingest_seq") / 2), F.substring("batch_id", 7, 8) == REDELIVERED_DAY
+    key = F.concat("source_system", F.lit("_"), (event + KEY_SHIFT).cast("string"))
+    early = bronze.where(~(wrong & (event % 5 == 2)))
+    return early.withColumns(
+        {
+            "cdr_id": F.when(wrong & (event % 7 == 1), key).otherwise(F.col("cdr_id")),
+            "event_type": F.when(wrong & (event % 11 == 3), "MMS").otherwise(F.col("event_type")),
+        }
+    )
+
+
+def loads(bronze: DataFrame) -> DataFrame:
+    """Bronze as it would come in loads: ``load_no`` by the day it landed; some records come again a load later."""
+    load = F.floor((F.dayofmonth("ingestion_ts") - 1) / LOAD_DAYS).cast("int")
+    again = F.floor(F.col("ingest_seq") / 2) % RESENT_EVERY == RESENT_REMAINDER
+    return bronze.withColumn("load_no", F.explode(F.when(again, F.array(load, load + 1)).otherwise(F.array(load))))
+
+
+# A numbering plan over the other parties' numbers (90 54 and seven digits): ranges nest.
+PARTNER_RANGES = [
+    ("90540", "PARTNER_A"),
+    ("90541", "PARTNER_A"),
+    ("9054155", "PARTNER_B"),
+    ("90542", "PARTNER_B"),
+    ("905427", "PARTNER_C"),
+    ("9054270", "PARTNER_A"),
+    ("90543", "PARTNER_C"),
+    ("90544", "PARTNER_D"),
+    ("90545", "PARTNER_D"),
+    ("90546", "PARTNER_E"),
+    ("90547", "PARTNER_E"),
+    ("905489", "PARTNER_F"),
+]
+# Cells of the records with their periods of service, by the cell's number.
+CELLS_OPEN = "2023-06-01 00:00:00"
+CELL_CLOSES = (7, 3, "2024-01-16 12:00:00")  # cells with number % 7 = 3 close then
+CELL_REOPENS = (14, 3, "2024-01-20 06:30:00")  # half of them open again
+CELL_UNKNOWN = (11, 5)  # not listed at all
+
+
+def partner_ranges(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(PARTNER_RANGES, "prefix string, partner string")
+
+
+def cell_periods(bronze: DataFrame) -> DataFrame:
+    """The cells named by the records, with periods of service that overlap, end and begin again."""
+    number = F.substring("cell_id", 6, 9).cast("int")
+    cells = bronze.select("cell_id").distinct().where(number % CELL_UNKNOWN[0] != CELL_UNKNOWN[1])
+    at = lambda text: F.lit(text).cast("timestamp")
+    closes = number % CELL_CLOSES[0] == CELL_CLOSES[1]
+    first = F.struct(
+        at(CELLS_OPEN).alias("valid_from"), F.when(closes, at(CELL_CLOSES[2])).alias("valid_to")
+    )
+    again = F.struct(at(CELL_REOPENS[2]).alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
+    return cells.select(
+        "cell_id",
+        F.explode(F.when(number % CELL_REOPENS[0] == CELL_REOPENS[1], F.array(first, again)).otherwise(F.array(first))).alias("p"),
+    ).select("cell_id", "p.*")
+
+
+CENT_OFF = "BATCH_20240105_000000_MEDIATION_A"  # its sender's total is one cent more than its records'
+ONE_LESS = "BATCH_20240106_000000_MEDIATION_B"  # its sender counted one record less
+
+
+def control_totals(bronze: DataFrame) -> DataFrame:
+    """Record counts and charge totals as the senders announce them, wrong for two batches."""
+    batch = F.col("batch_id")
+    totals = bronze.groupBy(*BATCH_KEYS).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col("charge_amount_raw").cast("decimal(18,2)")).alias("_charge")
+    )
+    return totals.select(
+        *BATCH_KEYS,
+        (F.col("_n") - (batch == ONE_LESS).cast("int")).alias("control_record_count"),
+        (F.col("_charge") + F.when(batch == CENT_OFF, F.lit("0.01").cast("decimal(18,2)")).otherwise(0)).alias(
+            "control_charge_total"
+        ),
+    )
+
+
+EXTRA_FIELD, CUT_SHORT = (211, 9), (307, 11)  # events whose lines come with a field too many, or five fields only
+
+
+def raw_lines(bronze: DataFrame) -> DataFrame:
+    """The records as CSV lines without header, some of them malformed."""
+    event, names = F.floor(F.col("ingest_seq") / 2), BRONZE_COLUMNS[:14]
+    fields = F.array(*[F.coalesce(F.col(c), F.lit("")) for c in names])
+    fields = F.when(event % EXTRA_FIELD[0] == EXTRA_FIELD[1], F.array_append(fields, F.lit("extra"))).otherwise(fields)
+    fields = F.when(event % CUT_SHORT[0] == CUT_SHORT[1], F.slice(fields, 1, 5)).otherwise(fields)
+    return bronze.select(F.array_join(fields, ",").alias("value"))
+
+
+DIGEST_BLOCK = 4096  # bytes of a block of the day files below
+
+
+def write_day_files(bronze: DataFrame, folder: str) -> None:
+    """The records as text, one file for each landing day, in landing order."""
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in BRONZE_COLUMNS[:14]]).alias("value")
+    day = F.date_format("ingestion_ts", "yyyyMMdd").alias("day")
+    rows = bronze.select(line, day, "ingest_seq").repartition("day").sortWithinPartitions("day", "ingest_seq")
+    rows.drop("ingest_seq").write.partitionBy("day").text(folder)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from meterflow import fixed
 from meterflow.functions import naming
@@ -24,6 +25,10 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# The line of a malformed record, as it came.
+RAW_LINE = "raw_line"
+LINE_SCHEMA = StructType([*LANDING_SCHEMA.fields, StructField(RAW_LINE, StringType())])
+
 # A dated landing area: <root>/<source_system>/<yyyy>/<mm>/<dd>/<file>.
 DATED_GLOB = "*/[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9]"
 
@@ -52,6 +57,38 @@ def read_landing(
     return stamp_ingestion(with_lineage(reader.load(paths), dated), as_of)
 
 
+def read_lines(
+    spark: SparkSession, paths: str | list[str], options: dict | None = None, as_of=None, dated: bool = False
+) -> DataFrame:
+    """Raw CSV files as bronze with one more column, ``raw_line``: the line as it came if it is malformed.
+
+    Malformed is a line with more or fewer fields than the schema, or with a quote that never
+    closes. Nothing but its lineage is taken from it: the file's name where that names a batch,
+    else its first fields. Spark judges a line by the columns that are asked for, so store the
+    result whole before anything is selected from it.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    paths = [f"{p.rstrip('/')}/{DATED_GLOB}" for p in paths] if dated else paths
+    reader = spark.read.schema(LINE_SCHEMA).options(mode="PERMISSIVE", **CSV_OPTIONS)
+    raw = reader.option("columnNameOfCorruptRecord", RAW_LINE).options(**(options or {})).csv(paths)
+    bad, file = F.col(RAW_LINE).isNotNull(), F.col("_metadata.file_name")
+    named = naming.batch_id(naming.stamp_from_file(file), naming.source_from_file(file))
+    rows = with_lineage(raw.withColumns({"_named": named, "_file": file}), dated)
+    lineage = {
+        "source_system": F.coalesce(F.when(bad & F.col("_named").isNotNull(), naming.source_from_file(F.col("_file"))), "source_system"),
+        "source_file": F.when(bad & F.col("_named").isNotNull(), F.col("_file")).otherwise(F.col("source_file")),
+        "batch_id": F.coalesce(F.when(bad, F.col("_named")), "batch_id"),
+    }
+    content = {c: F.when(~bad, F.col(c)) for c in LANDING_SCHEMA.fieldNames() if c not in BATCH_KEYS}
+    return stamp_ingestion(rows.withColumns(lineage).withColumns(content), as_of, [RAW_LINE])
+
+
+def split_malformed(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored lines of ``read_lines`` as bronze records and malformed ones (with ``raw_line``)."""
+    bad = F.col(RAW_LINE).isNotNull()
+    return lines.where(~bad).select(*BRONZE_COLUMNS), lines.where(bad).select(*BRONZE_COLUMNS, RAW_LINE)
+
+
 def with_lineage(raw: DataFrame, dated: bool = False) -> DataFrame:
     """Fill missing lineage from the file a record came from, in batch reads and streams alike."""
     lineage = {"source_file": F.coalesce(F.col("source_file"), F.col("_metadata.file_name"))}
@@ -76,15 +113,15 @@ def read_control(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     )
 
 
-def stamp_ingestion(raw: DataFrame, as_of=None) -> DataFrame:
-    """Add ``ingestion_ts`` (one value per load) and a unique ``ingest_seq``.
+def stamp_ingestion(raw: DataFrame, as_of=None, more: list[str] = ()) -> DataFrame:
+    """Add ``ingestion_ts`` (one value per load) and a unique ``ingest_seq``; ``more`` columns are kept.
 
     ``ingest_seq`` comes from ``monotonically_increasing_id`` and is only stable
     once written: write bronze before anything ranks on it (``plans.layers``).
     """
     return raw.withColumns(
         {"ingestion_ts": wall_clock(as_of), "ingest_seq": F.monotonically_increasing_id()}
-    ).select(*BRONZE_COLUMNS)
+    ).select(*BRONZE_COLUMNS, *more)
 
 
 def batch_counts(bronze: DataFrame, name: str = "bronze_record_count") -> DataFrame:

@@ -16,18 +16,25 @@ from pyspark.sql import functions as F
 
 from meterflow.schemas import TABLE_SCHEMAS
 
-# table -> partition columns. Bronze and quarantine are kept per batch (the
-# replay unit); clean and gold per event day (what reports filter on).
+# table -> partition columns. Bronze, tagged and quarantined records are kept per batch
+# (the replay unit); clean and gold per event day (what reports filter on).
 LAYOUT: dict[str, list[str]] = {
     "metadata_ingestion_log": [],
     "bronze_cdr_raw": ["batch_id"],
-    "silver_cdr_tagged": ["quality_status"],
+    "silver_cdr_tagged": ["batch_id", "quality_status"],
     "silver_cdr_clean": ["event_date"],
     "silver_cdr_quarantine": ["batch_id"],
     "gold_cdr_usage_hourly": ["usage_date"],
     "gold_subscriber_usage_daily": ["usage_date"],
     "gold_reconciliation_daily": [],
 }
+# Beside the layers: lines that no record could be read from, filters of each batch's record
+# keys for replays, and every run of the reconciliation.
+SIDE_LAYOUT = {
+    "bronze_cdr_malformed": ["batch_id"],
+    "bronze_key_filters": ["batch_id"],
+    "reconciliation_history": ["run_id"],
+}
 
 # Layout of the incremental (streaming) tier: every table is kept per load (one
 # micro-batch), so a retried micro-batch replaces exactly what it wrote before and
@@ -51,7 +58,7 @@ def write_layer(
     partitions are split and small ones merged, so file sizes follow the
     advisory size whatever the upstream partitioning was.
     """
-    parts = (layout or LAYOUT)[table]
+    parts = (layout or LAYOUT | SIDE_LAYOUT)[table]
     out = df.hint("rebalance", *parts) if (rebalance and parts) else df
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if parts:
@@ -71,6 +78,48 @@ def exists(spark: SparkSession, root: str, table: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
+def read_side(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table beside the layers; one that was never written is empty."""
+    if exists(spark, root, table):
+        return read_layer(spark, root, table)
+    return spark.createDataFrame([], TABLE_SCHEMAS[table])
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    """Every landed line in the bronze columns: the records, and the malformed ones with their lineage only."""
+    bronze = read_layer(spark, root, "bronze_cdr_raw")
+    return bronze.unionByName(read_side(spark, root, "bronze_cdr_malformed").select(*bronze.columns))
+
+
+def read_files(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The table with its file metadata (for ``files_of``)."""
+    return spark.read.schema(TABLE_SCHEMAS[table]).parquet(layer_path(root, table))
+
+
+def files_of(rows: DataFrame) -> list[str]:
+    """The files that these rows of a stored table lie in (their paths only pass the driver)."""
+    return [r.path for r in rows.select(F.col("_metadata.file_path").alias("path")).distinct().collect()]
+
+
+def replace_partitions(rows: DataFrame, root: str, table: str, before: list[str], rebalance: bool = True) -> None:
+    """Overwrite the partitions that ``rows`` holds, and take away what is left of ``before``.
+
+    ``before`` are the files of all partitions that the rows replace (``files_of``). A partition
+    that has rows now lost its old files to the overwrite; one that has none left loses them here.
+    """
+    write_layer(rows, root, table, dynamic=True, rebalance=rebalance)
+    sc = rows.sparkSession.sparkContext
+    for name in before:
+        path = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(name))
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, False)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a partition's folder, in whatever file system it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def merge_layer(fresh: DataFrame, root: str, table: str, keys: list[str], keep: list[str] = ()) -> None:
     """Replace the rows of ``table`` whose keys ``fresh`` has and leave the others.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF
 from meterflow.plans import monitoring
 from meterflow.plans.layerset import LayerSet
+from meterflow.sources import fixture
 
 
 def brute_force(clean):
@@ -91,3 +92,28 @@ def test_subscriber_sketches_roll_up_within_error(spark):
     assert approx.keys() == exact.keys()
     for k in exact:
         assert abs(approx[k] - exact[k]) <= 0.05 * exact[k]
+
+
+def test_history_keeps_every_run_and_selects_the_latest(spark, scratch):
+    import datetime as dt
+
+    from meterflow.plans.layers import write_layers
+    from meterflow.plans.replay import replay_batches
+    from meterflow.sources.tables import read_layer
+
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    later = fixture.AS_OF + dt.timedelta(hours=1)
+    write_layers(fixture.first_delivery(ls.bronze), ls.metadata, scratch, as_of=fixture.AS_OF)
+    replay_batches(fixture.redelivered(ls.bronze), ls.metadata, scratch, as_of=later)
+    history = read_layer(spark, scratch, "reconciliation_history")
+    assert history.select("run_id").distinct().count() == 2
+    first = monitoring.latest_reconciliation(history, fixture.AS_OF)
+    now = monitoring.latest_reconciliation(history)
+    stored = read_layer(spark, scratch, "gold_reconciliation_daily")
+    assert now.exceptAll(stored).count() == 0 and stored.exceptAll(now).count() == 0
+    changed = {r.batch_id: (r.previous_status, r.reconciliation_status) for r in monitoring.status_changes(history).collect()}
+    assert {b for b in changed if "20240108" in b} and all(a != b for a, b in changed.values())
+    was = {r.batch_id: r.reconciliation_status for r in first.collect()}
+    is_ = {r.batch_id: r.reconciliation_status for r in now.collect()}
+    assert changed == {b: (was[b], is_[b]) for b in is_ if was[b] != is_[b]}
+    assert any(v == ("FAILED", "RECONCILED") or v == ("FAILED", "WARNING") for v in changed.values())

@@ -133,3 +133,78 @@ def test_publish_reconciles_the_loads(spark, scratch):
     assert {b: s for b, s in status.items() if b in expected} == expected
     assert unannounced and all(status[b] == "FAILED" for b in unannounced)
     assert read_layer(spark, root, "gold_cdr_usage_hourly").exceptAll(ls.hourly).count() == 0
+
+
+def spoil_keys(root):
+    """Make every file of seen keys unreadable; the filters stay."""
+    import glob
+
+    files = glob.glob(os.path.join(root, "seen_keys", "*", "*", "*.parquet"))
+    for name in files:
+        os.remove(os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc"))
+        with open(name, "wb") as out:
+            out.write(b"spoilt")
+    return files
+
+
+def test_a_load_of_new_keys_reads_no_key_file(spark, scratch):
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    step = IncrementalQuality(scratch, as_of=fixture.AS_OF)
+    arrivals = fixture.loads(ls.bronze)
+    step(arrivals.where("load_no = 0").select(*LANDING_COLS), 0)
+    assert spoil_keys(scratch)
+    fresh = arrivals.where("load_no = 1 AND ingest_seq DIV 2 % 53 <> 7").select(*LANDING_COLS)
+    step(fresh, 1)
+    assert read_layer(spark, scratch, "bronze_cdr_raw").count() > fresh.count()
+
+
+def test_compaction_keeps_every_key(spark, scratch):
+    import pytest
+
+    from meterflow.streaming.incremental import FILTER_SCHEMA, compact
+
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    step = IncrementalQuality(scratch, as_of=fixture.AS_OF, fanout=2)
+    days = [ls.bronze.where(F.dayofmonth("ingestion_ts") == d).select(*LANDING_COLS) for d in range(1, 5)]
+    for epoch, day in enumerate(days):
+        step(day, epoch)
+    known = spark.read.schema(FILTER_SCHEMA).parquet(os.path.join(scratch, "seen_filters"))
+    assert known.select("load_id").distinct().count() <= 2
+    before = read_layer(spark, scratch, "silver_cdr_clean").count()
+    step(days[0].unionByName(days[3]), 100)
+    assert read_layer(spark, scratch, "silver_cdr_clean").count() == before
+    again = read_layer(spark, scratch, "silver_cdr_tagged").groupBy("cdr_id").agg(F.count_if(~F.col("is_duplicate")).alias("n"))
+    assert again.where("n <> 1").count() == 0
+    assert compact(spark, os.path.join(scratch, "nothing")) == []
+    # a key file that is needed and cannot be read is an error, not a lost duplicate
+    spoil_keys(scratch)
+    with pytest.raises(Exception, match="Parquet|parquet"):
+        step(days[0], 300)
+
+
+def test_exact_hourly_stream_equals_gold_also_after_a_restart(spark, scratch):
+    from meterflow.schemas import GOLD_HOURLY_COLUMNS
+    from meterflow.streaming.incremental import hourly_usage_stream_exact
+
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    source, out, ckpt = (os.path.join(scratch, d) for d in ["clean", "hourly", "ckpt"])
+    schema, days = ls.clean.schema, [F.dayofmonth("event_ts").between(a, a + 9) for a in (1, 11, 21)]
+    last = ls.clean.limit(1).withColumn("event_ts", F.lit("2024-03-01 00:00:00").cast("timestamp"))
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "3").parquet(source)
+        query = (
+            hourly_usage_stream_exact(stream).writeStream.outputMode("append").format("parquet")
+            .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out)
+        )
+        query.awaitTermination()
+
+    for part in days:  # a new query each time, from the checkpoint of the one before
+        ls.clean.where(part).coalesce(1).write.mode("append").parquet(source)
+        run()
+    last.coalesce(1).write.mode("append").parquet(source)  # closes every hour of the fixture
+    run()
+    got = spark.read.parquet(out).select(*GOLD_HOURLY_COLUMNS)
+    want = ls.hourly
+    assert got.count() == want.count() > 500
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
