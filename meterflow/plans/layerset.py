@@ -27,6 +27,7 @@ class LayerSet:
     metadata_source: DataFrame | Callable[[], DataFrame]
     as_of: object = None
     rules: list | None = None
+    source: str | None = None
     _tagged: DataFrame | None = field(default=None, repr=False)
     _clean: DataFrame | None = field(default=None, repr=False)
     _quarantine: DataFrame | None = field(default=None, repr=False)
@@ -37,7 +38,7 @@ class LayerSet:
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, as_of=fixture.AS_OF, rules=None) -> "LayerSet":
         bronze = fixture.fixture_bronze(fixture.events(spark, sf_dir))
-        return cls(spark, bronze, lambda: fixture.fixture_metadata(spark, bronze), as_of=as_of, rules=rules)
+        return cls(spark, bronze, lambda: fixture.fixture_metadata(spark, bronze), as_of=as_of, rules=rules, source=sf_dir)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, as_of=None) -> "LayerSet":

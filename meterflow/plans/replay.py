@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.functions.parsing import parse_event_ts
+from meterflow.functions.parsing import parse_event_ts, wall_clock
 from meterflow.operators import keyfilter, quality, reconcile, usage
 from meterflow.operators.dedup import DEFAULT_KEY
 from meterflow.plans.layers import ANNOUNCED, add_run
@@ -82,12 +82,13 @@ class _Stage:
 
 
 def replay_batches(
-    fresh: DataFrame, log: DataFrame, root: str, as_of=None, rules: list | None = None
+    fresh: DataFrame, log: DataFrame, root: str, as_of=None, rules: list | None = None, run_ts=None
 ) -> dict[str, list]:
     """Put the batches of ``fresh`` (bronze rows) in the place of what ``root`` has of them.
 
     Of ``log``, the rows of these batches and of batches not logged so far (announced, with or
-    without records) are merged into the ingestion log. Returns the affected batches and days.
+    without records) are merged into the ingestion log. ``run_ts`` is the time of this run in the
+    history of reconciliations, ``as_of`` by default. Returns the affected batches and days.
     """
     spark = fresh.sparkSession
     stage = _Stage(spark, root)
@@ -113,7 +114,7 @@ def replay_batches(
     _replace_usage(spark, root, stage, tagged, keys, days)
     logged = read_layer(spark, root, "metadata_ingestion_log")
     news = _values(log.join(logged, BATCH_KEYS, "left_anti"), "batch_id")
-    _replace_log(spark, root, fresh, log.where(_among("batch_id", [*own, *news])), own, [*batches, *news], as_of)
+    _replace_log(spark, root, fresh, log.where(_among("batch_id", [*own, *news])), own, [*batches, *news], as_of, run_ts)
     write_key_filters(read_layer(spark, root, "bronze_cdr_raw").where(_among("batch_id", own)), root, dynamic=True)
     return {"batches": sorted(batches, key=str), "days": sorted(d for d in days if d is not None)}
 
@@ -145,7 +146,7 @@ def _replace_usage(spark, root: str, stage: _Stage, tagged: DataFrame, keys: Dat
         replace_partitions(rows, root, table, before)
 
 
-def _replace_log(spark, root: str, fresh: DataFrame, log: DataFrame, own, batches, as_of) -> None:
+def _replace_log(spark, root: str, fresh: DataFrame, log: DataFrame, own, batches, as_of, run_ts) -> None:
     """Log and bronze of the replayed batches, reconciliation of the affected ones."""
     merge_layer(log, root, "metadata_ingestion_log", BATCH_KEYS, ANNOUNCED)
     before = files_of(read_files(spark, root, "bronze_cdr_raw").where(_among("batch_id", own)))
@@ -156,5 +157,6 @@ def _replace_log(spark, root: str, fresh: DataFrame, log: DataFrame, own, batche
     arrived = landed(spark, root).where(_among("batch_id", batches))
     recon = reconcile.reconcile(of("metadata_ingestion_log"), arrived, clean, of("silver_cdr_quarantine"), as_of)
     merge_layer(recon, root, "gold_reconciliation_daily", BATCH_KEYS)
-    add_run(of("gold_reconciliation_daily"), root)
+    run = of("gold_reconciliation_daily")
+    add_run(run if run_ts is None else run.withColumn("reconciliation_ts", wall_clock(run_ts)), root)
 
