@@ -294,17 +294,25 @@ def load(path: str) -> Tokenizer:
 
 
 @scratch.shielded
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``token_ids`` (packed) and ``n_tokens`` of every whole text."""
+def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` with ``token_ids`` (packed) and ``n_tokens`` of every whole text.
+
+    ``decoded`` adds the text that the ids decode to, from the same pass over the rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(load(path))
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("struct<ids:binary,back:string>" if decoded else "struct<ids:binary>")
     def apply(texts: pa.Array) -> pa.Array:
         reader = shared.value.ready()
-        return pa.array([reader.encode(t.as_py()) for t in texts], pa.binary())
+        ids = [reader.encode(t.as_py()) for t in texts]
+        columns = {"ids": pa.array(ids, pa.binary())}
+        if decoded:
+            columns["back"] = pa.array([emit(reader.labels, packed) for packed in ids], pa.string())
+        return pa.StructArray.from_arrays(list(columns.values()), list(columns))
 
-    found = docs.withColumn("token_ids", apply(F.col(text).cast("string")))
-    return found.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
+    found = docs.withColumn("_read", apply(F.col(text).cast("string"))).withColumn("token_ids", F.col("_read.ids"))
+    found = found.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
+    return (found.withColumn("decoded", F.col("_read.back")) if decoded else found).drop("_read")
 
 
 @scratch.shielded
@@ -334,7 +342,7 @@ def query(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFram
 
         path = public_tokenizers.path(VOCABULARY)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = decode(encode(docs, path), path)
+    found = encode(docs, path, decoded=True)
     return found.select(
         "doc_id",
         "n_tokens",

@@ -11,6 +11,9 @@ averaged by the letters they hold.
 Embedding and filters are linear, so for prediction they are folded into one table
 per filter offset: a window is then a few table look-ups, additions and a maximum.
 
+``trained_on(docs, junk=True)`` learns one more class, ``JUNK``: texts made from the sample by
+mixing up the letters of their words, or drawing them at random, which are no language.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so
 is every text if there is nothing to learn from. Texts with a null label are not
 learned from. Ties go to the language that sorts first. Equal rows get equal
@@ -19,6 +22,7 @@ results; other columns are kept, and columns named like those added are replaced
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +36,8 @@ from meterflow.llm import scratch
 from meterflow.llm.hashing import utf8
 
 UNKNOWN = "und"
+#: The class of texts that are no language; no language has this label.
+JUNK = "~junk"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -40,6 +46,8 @@ SAMPLE_DOCS = 3000
 SAMPLE_WINDOWS = 4
 #: Characters of a text that training reads; prediction reads all.
 SAMPLE_CHARS = 20_000
+#: Characters of a text that may be told as junk; a few words may be anything.
+JUNK_CHARS = 100
 EPOCHS = 6
 BATCH = 64
 #: Small samples are gone through more often, up to this number of steps.
@@ -206,10 +214,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def trained_on(docs: DataFrame) -> Network:
-    """The network learned from the documents that are not held out."""
+def junk_of(text: str, rng: random.Random, kind: int) -> str:
+    """A text that is no language, as long as ``text`` and with its white space."""
+    if kind == 0:  # its own letters in any order
+        letters = [c for c in text if not c.isspace()]
+        rng.shuffle(letters)
+        given = iter(letters)
+        return "".join(c if c.isspace() else next(given) for c in text)
+    pool = ["abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(33, 127)))][kind - 1]
+    return "".join(c if c.isspace() else rng.choice(pool) for c in text)
+
+
+def trained_on(docs: DataFrame, junk: bool = False) -> Network:
+    """The network learned from the documents that are not held out; ``junk`` adds a class as large as a language's."""
     learn = sample(docs.where(~held_out(F.col("doc_id"))))
-    return fit(list(learn["text"]), list(learn["label"])) if len(learn) else Network([], *[np.zeros((0, 0))] * 5)
+    if not len(learn):
+        return Network([], *[np.zeros((0, 0))] * 5)
+    texts, labels = list(learn["text"]), list(learn["label"])
+    if junk:
+        rng = random.Random(11)
+        made = [junk_of(t, rng, i % 3) for i, t in enumerate(texts[:: len(set(labels))]) if len(t) >= JUNK_CHARS]
+        texts, labels = texts + made, labels + [JUNK] * len(made)
+    return fit(texts, labels)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,8 +14,11 @@ lengths, one length apart, so that a segment never falls between two) is a query
    to ``OVERLAP``, or the whole item must.
 
 Words are compared without case and punctuation of ASCII. The index is broadcast; it holds
-at most ``SHARD_ITEMS`` items and ``SHARD_CHARS`` characters, and a larger benchmark is
-worked off shard by shard, each over all texts (impacts then count the shard's items).
+at most ``SHARD_ITEMS`` items and ``SHARD_CHARS`` characters. A larger benchmark is worked
+off shard by shard, each over all texts: its hits are written before the next index is
+made, so one index is in memory at a time. What impacts and windows depend on beyond a
+segment itself (how many segments hold a term, mean and largest length) is counted over
+all items in Spark first, so scores do not depend on the shards.
 
 Defined results: a null or wordless text or item matches nothing. Parts of fewer than five
 words are compared by one shingle of all their words; an item of one sentence is its own
@@ -29,6 +32,8 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -75,27 +80,47 @@ class Item:
         self.parts = [_grams(p) for p in [*parts, self.words]]
 
 
+def segments_of(words: np.ndarray) -> list[np.ndarray]:
+    """An item's words in parts of about equal length."""
+    return np.array_split(words, -(-len(words) // SEGMENT)) if len(words) else []
+
+
+@dataclass
+class Statistics:
+    """What all segments of a benchmark have in common: number, mean and largest length, holders of each term."""
+
+    n: int
+    mean: float
+    largest: int
+    terms: np.ndarray  # sorted
+    holders: np.ndarray
+
+
 class Index:
-    """Segments in blocks, postings by term, with list and block maxima."""
+    """Segments in blocks, postings by term, with list and block maxima.
 
-    def __init__(self, items: list[Item]):
+    ``whole`` has the statistics of the benchmark that ``items`` are a part of; by default they are all of it.
+    """
+
+    def __init__(self, items: list[Item], whole: Statistics | None = None):
         self.items = [i for i in items if len(i.words)]
-        segments = []
-        for k, item in enumerate(self.items):
-            pieces = -(-len(item.words) // SEGMENT)
-            segments += [(k, part) for part in np.array_split(item.words, pieces)]
+        segments = [(k, part) for k, item in enumerate(self.items) for part in segments_of(item.words)]
         self.owner = np.array([k for k, _ in segments], np.int64)
-        self.step = max((len(p) for _, p in segments), default=1)
+        self.step = whole.largest if whole else max((len(p) for _, p in segments), default=1)
         terms = [np.unique(p, return_counts=True) for _, p in segments]
         every = np.concatenate([t for t, _ in terms]) if terms else np.zeros(0, np.uint64)
         segment = np.repeat(np.arange(len(terms)), [len(t) for t, _ in terms])
         times = np.concatenate([c for _, c in terms]) if terms else np.zeros(0, np.int64)
         self.vocabulary, term = np.unique(every, return_inverse=True)
         lengths = np.array([len(p) for _, p in segments], float)
-        holders = np.bincount(term, minlength=len(self.vocabulary))
-        idf = np.log(1 + (len(segments) - holders + 0.5) / (holders + 0.5))
+        if whole:
+            n, mean, holders = whole.n, whole.mean, whole.holders[np.searchsorted(whole.terms, self.vocabulary)]
+        else:
+            n, mean = len(segments), lengths.mean() if len(lengths) else 1.0
+            holders = np.bincount(term, minlength=len(self.vocabulary))
+        idf = np.log(1 + (n - holders + 0.5) / (holders + 0.5))
         weight = idf[term] * times * (K1 + 1)
-        weight /= times + K1 * (1 - B + B * lengths[segment] / max(lengths.mean() if len(lengths) else 1.0, 1.0))
+        weight /= times + K1 * (1 - B + B * lengths[segment] / max(mean, 1.0))
         weight /= np.bincount(segment, weight, len(segments))[segment] if len(segments) else 1.0
         order = np.lexsort((segment, term))
         self.segment, self.impact, term = segment[order], weight[order], term[order]
@@ -244,13 +269,13 @@ _ARROW_HIT = pa.list_(
 )
 
 
-def _looker(index):
+def _looker(index, least: float, overlap: float):
     @F.arrow_udf(_HIT)
     def look(texts: pa.Array) -> pa.Array:
         names = ("item_id", "score", "question_overlap", "answer_overlap")
         hits = []
         for low, high in hashing.slices(texts):
-            hits += search(index.value, texts.slice(low, high - low))
+            hits += search(index.value, texts.slice(low, high - low), least, overlap)
         hashing.give_back()
         return pa.array([[dict(zip(names, h)) for h in row] for row in hits], _ARROW_HIT)
 
@@ -266,21 +291,75 @@ def _shards(benchmark: DataFrame, text: str) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
 
 
+def _term_rows(items: DataFrame) -> DataFrame:
+    """(term, size): a row for each term of each segment, and one with a null term for the segment itself."""
+
+    def task(batches):
+        for batch in batches:
+            terms, sizes = [], []
+            for text in batch.column(0).to_pylist():
+                for part in segments_of(_hashes(text)):
+                    found = np.unique(part).astype(np.int64).tolist()
+                    terms += [None, *found]
+                    sizes += [len(part)] * (len(found) + 1)
+            yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.int64()), "size": pa.array(sizes, pa.int64())})
+
+    return items.select("text").mapInArrow(task, "term long, size long")
+
+
+def _statistics(shard: DataFrame, holders: DataFrame, totals) -> Statistics:
+    """Statistics of the whole benchmark for the terms of a shard; only these reach the driver."""
+    own = _term_rows(shard).select("term").where("term IS NOT NULL").distinct().join(holders, "term").toPandas()
+    terms = own["term"].to_numpy(np.int64).astype(np.uint64)
+    order = np.argsort(terms)
+    return Statistics(totals.n, totals.length / totals.n, totals.largest, terms[order], own["n"].to_numpy(np.int64)[order])
+
+
+def _index(shard: DataFrame, whole: Statistics | None = None) -> Index:
+    return Index([Item(r.item_id, r.text) for r in shard.orderBy("item_id", "text").collect()], whole)
+
+
+def _in_turn(docs: DataFrame, shards: list[DataFrame], text: str, to: str, bounds: tuple[float, float]) -> DataFrame:
+    """``matches`` with several indexes: rows get a number, each index's hits are a table of their own."""
+    sc = docs.sparkSession.sparkContext
+    rows = _term_rows(reduce(DataFrame.unionByName, shards))
+    totals = rows.where("term IS NULL").agg(F.count("*").alias("n"), F.sum("size").alias("length"), F.max("size").alias("largest")).first()
+    holders = scratch.materialise(rows.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("n")), "benchmark-terms")
+    numbered = scratch.materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    hits = []
+    for shard in shards:
+        shared = sc.broadcast(_index(shard, _statistics(shard, holders, totals) if totals.n else None))
+        found = numbered.select("_row", _looker(shared, *bounds)(F.col(text).cast("string")).alias("_hits")).where(F.size("_hits") > 0)
+        hits.append(scratch.materialise(found, "benchmark-hits"))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, hits).groupBy("_row").agg(F.flatten(F.collect_list("_hits")).alias("_hits"))
+    # the order of one index: by item
+    every = every.withColumn("_hits", F.array_sort("_hits"))
+    return numbered.join(every, "_row", "left").withColumn(to, F.coalesce("_hits", F.array().cast(_HIT))).drop("_row", "_hits")
+
+
 @scratch.shielded
-def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "benchmark_items") -> DataFrame:
+def matches(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    to: str = "benchmark_items",
+    least: float = SCORE,
+    overlap: float = OVERLAP,
+) -> DataFrame:
     """``docs`` with the array of the test items that each text holds."""
-    found = []
-    for shard in _shards(benchmark, "text"):
-        rows = shard.orderBy("item_id", "text").collect()
-        index = docs.sparkSession.sparkContext.broadcast(Index([Item(r.item_id, r.text) for r in rows]))
-
-        found.append(_looker(index)(F.col(text).cast("string")))
-    return docs.withColumn(to, F.concat(*found))
+    shards = _shards(benchmark, "text")
+    if len(shards) > 1:
+        return _in_turn(docs, shards, text, to, (least, overlap))
+    index = docs.sparkSession.sparkContext.broadcast(_index(shards[0]))
+    return docs.withColumn(to, _looker(index, least, overlap)(F.col(text).cast("string")))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", least: float = SCORE, overlap: float = OVERLAP
+) -> DataFrame:
     """One row per row of ``docs`` and test item that it holds: doc_id, item_id and scores."""
-    hit = matches(docs.select("doc_id", F.col(text).alias("text")), benchmark)
+    hit = matches(docs.select("doc_id", F.col(text).alias("text")), benchmark, least=least, overlap=overlap)
     return hit.select("doc_id", F.explode("benchmark_items").alias("h")).select("doc_id", "h.*")
 
 

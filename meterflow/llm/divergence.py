@@ -6,8 +6,9 @@ words of the language and the rest. The references come from the whole corpus: e
 of every labelled text is counted per language with partial aggregation. A word is common
 if it makes at least ``COMMON_SHARE`` of a language's words, so a language has at most
 ``1 / COMMON_SHARE`` of them whatever the corpus; only these and the class totals reach
-the driver, for the ``MAX_LANGUAGES`` languages with the most words. A text whose language
-has no reference is compared with the nearest one.
+the driver, for the ``MAX_LANGUAGES`` languages with the most words. A text without a label
+is compared with the nearest reference; one whose language has no reference (too few words,
+or beyond that number) with none, since the nearest foreign one would reject it.
 
 Short texts diverge by chance: a limit grows by ``SLACK`` over the number of words, texts
 under ``MIN_WORDS`` words are not judged by divergence, and a language with fewer than
@@ -214,10 +215,10 @@ def base_columns(text: Column, words: Column) -> dict[str, Column]:
 
 
 def _divergences(refs: list[dict], lang: Column | None) -> Column:
-    """The divergences from the language's reference, or from the nearest if it has none."""
+    """The divergences from the language's reference, or from the nearest for a text without a label."""
     every = _reference_array(refs)
     own = F.filter(every, lambda r: r["lang"] == lang) if lang is not None else every
-    chosen = F.when(F.size(own) == 1, own).otherwise(every)
+    chosen = F.when(lang.isNull(), every).otherwise(own) if lang is not None else every
     n_common = F.size("_common")
 
     def compare(r: Column) -> Column:
@@ -308,7 +309,8 @@ WITH docs AS (
 ), common AS (
   SELECT c.lang, c.word, c.n / t.n_words AS q FROM counts c JOIN totals t USING (lang) WHERE c.n >= {COMMON_SHARE} * t.n_words
 ), rests AS (
-  SELECT lang, 1 - sum(q) AS q FROM common GROUP BY lang
+  SELECT lang, q, (1 - q) / 2 + (log2(2 / (1 + q)) + CASE WHEN q > 0 THEN q * log2(2 * q / (1 + q)) ELSE 0 END) / 2 AS blank
+  FROM (SELECT lang, 1 - sum(q) AS q FROM common GROUP BY lang)
 ), classes AS (
   SELECT doc_id, {_class_sql("joined")} AS c, word_chars FROM base
 ), doc_classes AS (
@@ -322,7 +324,7 @@ WITH docs AS (
   GROUP BY lang, k
 ), compared AS (
   SELECT b.doc_id, t.lang FROM base b JOIN totals t
-    ON t.lang = b.lang OR b.lang IS NULL OR b.lang NOT IN (SELECT lang FROM totals)
+    ON t.lang = b.lang OR b.lang IS NULL
 ), chars AS (
   SELECT c.doc_id, c.lang,
          sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
@@ -347,10 +349,12 @@ WITH docs AS (
              + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS js
   FROM all_shares GROUP BY doc_id, lang
 ), js AS (
-  SELECT doc_id, arg_min(c.js, c.js + w.js) AS js_chars, arg_min(w.js, c.js + w.js) AS js_words
-  FROM chars c JOIN words w USING (doc_id, lang) GROUP BY doc_id
+  SELECT doc_id, arg_min(c.js, c.js + w.js) AS js_chars, arg_min(w.js, c.js + w.js) AS js_words,
+         arg_min(r.blank, c.js + w.js) AS blank
+  FROM chars c JOIN words w USING (doc_id, lang) JOIN rests r USING (lang) GROUP BY doc_id
 ), judged AS (
-  SELECT b.*, greatest(j.js_chars, 0) AS jc, greatest(j.js_words, 0) AS jw,
+  SELECT b.*, CASE WHEN j.doc_id IS NOT NULL THEN greatest(j.js_chars, 0) END AS jc,
+         CASE WHEN j.doc_id IS NOT NULL THEN greatest(j.js_words, 0) END AS jw, j.blank,
          n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed
   FROM base b LEFT JOIN js j USING (doc_id)
 )
@@ -358,6 +362,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, round(jc, 6) AS js_chars, round(jw, 6) AS js_words, base_failed,
        NOT base_failed AND NOT coalesce(jc > {CHARS_LIMIT} + {CHARS_SLACK} / n_words
-                                        OR jw > {WORDS_LIMIT} + {WORDS_SLACK} / n_words, false) AS kept
+                                        OR (jw > least({WORDS_LIMIT}, {BLANK_SHARE} * blank) + {WORDS_SLACK} / n_words
+                                            AND blank > 0), false) AS kept
 FROM judged
 """

@@ -1,8 +1,8 @@
 """Guess cost of a password by dynamic programming over its segments.
 
 ``guess_cost(value)`` is the log10 of the guesses that the cheapest segmentation
-of ``value`` needs. A segment is a listed word (its rank, with capitals and digit
-look-alikes as variants), a date or year, a repeated block, a walk over neighbour
+of ``value`` needs. A segment is a word (its rank in a ``Ranks`` table, with capitals and
+digit look-alikes as variants), a date or year, a repeated block, a walk over neighbour
 keys or along the alphabet, or a brute-force character. Every added segment costs
 ``JOIN`` more, so that cutting a value into many cheap parts is not free. The time
 is linear in the length of the value for a fixed longest word; nothing is cut off.
@@ -22,8 +22,21 @@ WORDS = (
     "money happy lucky tiger eagle lion horse cookie orange banana cherry apple coffee pepper ginger silver golden "
     "purple yellow black white green blue red one two three four five six seven eight nine ten"
 ).split()
-RANK = {word: rank for rank, word in enumerate(WORDS, 1)}
-LONGEST = max(map(len, WORDS))
+LONGEST_WORD = 24
+
+
+class Ranks:
+    """Ranks of words: the listed passwords first, then more words in order of frequency."""
+
+    def __init__(self, words: list[str] = ()):
+        self.rank: dict[str, int] = {}
+        for word in [*WORDS, *words]:
+            if 3 <= len(word) <= LONGEST_WORD:
+                self.rank.setdefault(word.lower(), len(self.rank) + 1)
+        self.longest = max(map(len, self.rank))
+
+
+LISTED = Ranks()
 LOOKALIKE = str.maketrans("013457@$!", "oleastasi")
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 NEXT = {pair for row in ROWS for a, b in zip(row, row[1:]) for pair in ((a, b), (b, a))}
@@ -31,7 +44,7 @@ DATE = re.compile(
     r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?"
     r"|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d"
 )
-REPEAT = re.compile(r"(.{1,8}?)\1+", re.S)
+LONGEST_BLOCK = 8
 JOIN = math.log10(2)
 
 
@@ -44,10 +57,10 @@ def char_cost(c: str) -> float:
     return math.log10(33) if c < "\x80" else 2.0
 
 
-def _word_cost(part: str) -> float | None:
+def _word_cost(part: str, ranks: Ranks) -> float | None:
     low = part.lower()
     plain = low.translate(LOOKALIKE)
-    rank = RANK.get(low) or RANK.get(plain)
+    rank = ranks.rank.get(low) or ranks.rank.get(plain)
     if rank is None:
         return None
     capitals = sum(c.isupper() for c in part)
@@ -55,12 +68,12 @@ def _word_cost(part: str) -> float | None:
     if capitals:
         simple = capitals == len(part) or capitals == 1 and part[0].isupper()
         cost += JOIN if simple else math.log10(math.comb(len(part), capitals) + 1)
-    if low not in RANK:
+    if low not in ranks.rank:
         cost += JOIN * sum(a != b for a, b in zip(low, plain))
     return cost
 
 
-def segments(value: str) -> dict[int, list[tuple[int, float, str]]]:
+def segments(value: str, ranks: Ranks = LISTED) -> dict[int, list[tuple[int, float, str]]]:
     """Per end position the (start, cost, kind) of every segment other than brute force."""
     found: dict[int, list[tuple[int, float, str]]] = {}
 
@@ -68,8 +81,8 @@ def segments(value: str) -> dict[int, list[tuple[int, float, str]]]:
         found.setdefault(end, []).append((start, cost, kind))
 
     for i in range(len(value)):
-        for j in range(i + 3, min(len(value), i + LONGEST) + 1):
-            cost = _word_cost(value[i:j])
+        for j in range(i + 3, min(len(value), i + ranks.longest) + 1):
+            cost = _word_cost(value[i:j], ranks)
             if cost is not None:
                 add(i, j, cost, "word")
         if value[i].isdigit() and (m := DATE.match(value, i)):
@@ -82,17 +95,22 @@ def segments(value: str) -> dict[int, list[tuple[int, float, str]]]:
             if i - start >= 3:
                 add(start, i, math.log10(47) + math.log10(i - start) + JOIN, "walk")
             start = i
-    for m in REPEAT.finditer(value):
-        if m.end() - m.start() >= 3:
-            block = m[1]
-            base = min(sum(map(char_cost, block)), _word_cost(block) or math.inf)
-            add(m.start(), m.end(), base + math.log10((m.end() - m.start()) // len(block)), "repeat")
+    for size in range(1, LONGEST_BLOCK + 1):
+        same = 0  # characters from here on that equal those a block further
+        for i in range(len(value) - size - 1, -1, -1):
+            same = same + 1 if value[i] == value[i + size] else 0
+            times, block = same // size + 1, value[i : i + size]
+            if times > 1 and size * times >= 3:
+                base = min(sum(map(char_cost, block)), _word_cost(block, ranks) or math.inf)
+                for n in {times, max(2, times - 1)}:
+                    if size * n >= 3:
+                        add(i, i + size * n, base + math.log10(n), "repeat")
     return found
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranks: Ranks = LISTED) -> float:
     """Log10 guesses of the cheapest segmentation; 0 for an empty value."""
-    found = segments(value)
+    found = segments(value, ranks)
     best = [0.0]
     brute = [0.0]  # cheapest with a brute-force character at the end: a run of them is one segment
     for end in range(1, len(value) + 1):

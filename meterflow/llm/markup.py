@@ -36,6 +36,10 @@ FURNITURE = re.compile(
 ABOUT = re.compile(r"(?:^|(?<=\s))(?:has|with|no|without|show|hide)[_-][^\s]*", re.I)
 #: Ids that mark reader comments and the like inside an article too; others there name its own sections.
 COMMENTS = re.compile(r"(?:comments?|commentlist|comment-?\d+|comments?-(?:section|area|list)|disqus\w*|replies|respond)\Z", re.I)
+#: Words of class or id that mark an advert among the words of a line.
+INLINE_ADS = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*)(?=$|[\s_-])", re.I)
+#: What a head holds; any other element ends it.
+OF_HEAD = frozenset("head title meta link style script base noscript template".split())
 #: Elements that an article names by an id of its own.
 WORDING = frozenset("h1 h2 h3 h4 h5 h6 p section".split())
 #: Furniture words that name the heading when they stand inside an article.
@@ -56,7 +60,8 @@ FENCES = frozenset("ul ol dl table tr body article section div main td th".split
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
     r"|<(script|style|textarea|title|xmp|iframe|noembed|noframes|plaintext)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    # quotes count only behind an equals sign; nothing is taken back, so broken tags cost no search
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -112,7 +117,7 @@ def parse(html: str | None) -> Page:
     page.elements.append(root)
     stack: list[Element] = [root]
     text: list[str] = []
-    state = {"link": 0, "linked": 0}
+    state = {"link": 0, "linked": 0, "hide": 0}  # hide: open inline elements of an advert
     standing: Counter[str] = Counter()  # open elements by name, so that a stray end tag costs no search
 
     def flush():
@@ -122,7 +127,7 @@ def parse(html: str | None) -> Page:
                 top = stack[-1]
                 page.blocks.append((joined, top.dropped, min(len(joined), state["linked"]), top))
             text.clear()
-        state["linked"] = 0
+        state["linked"] = state["hide"] = 0
 
     def close(upto: int):
         flush()
@@ -133,7 +138,7 @@ def parse(html: str | None) -> Page:
 
     source, at = html or "", 0
     for m in TOKEN.finditer(source):
-        if m.start() > at:
+        if m.start() > at and not state["hide"]:
             part = source[at : m.start()]
             text.append(part)
             if state["link"]:
@@ -145,7 +150,9 @@ def parse(html: str | None) -> Page:
         if m[2]:  # an end tag
             if name == "a":
                 state["link"] = 0
-            elif name in BLOCKS or name in DROPPED:
+            elif name in ("span", "ins"):
+                state["hide"] = max(0, state["hide"] - 1)
+            elif name in BLOCKS or name in DROPPED or standing[name]:
                 if not standing[name]:
                     flush()
                     continue
@@ -154,6 +161,8 @@ def parse(html: str | None) -> Page:
                         close(i)
                         break
             continue
+        if standing["head"] and name not in OF_HEAD:
+            close(next(i for i, e in enumerate(stack) if e.name == "head"))
         if name == "a":
             state["link"] = 1
             continue
@@ -165,13 +174,17 @@ def parse(html: str | None) -> Page:
         if "=" in raw:
             for a in ATTRIBUTE.finditer(raw):
                 attributes.setdefault(a[1].lower(), entities.unescape(a[2] or a[3] or a[4] or ""))
+        if name in ("span", "ins"):
+            ad = not state["hide"] and any(INLINE_ADS.search(v) for k, v in attributes.items() if k != "role")
+            state["hide"] += state["hide"] > 0 or ad
+            continue
         marks = {k: ABOUT.sub("", v) for k, v in attributes.items()}
         marked = any(FURNITURE.search(v) for v in marks.values())
         if marked and (standing["article"] or standing["main"]):
             if name in WORDING and not (name == "section" and COMMENTS.match(marks.get("id", "").strip())):
                 marks.pop("id", None)
             marked = any(FURNITURE.search(HEADING.sub("", v)) for v in marks.values())
-        if name not in BLOCKS and name not in DROPPED and not (marked and name in ("span", "ins", "center")):
+        if name not in BLOCKS and name not in DROPPED and not (marked and name == "center"):
             continue
         flush()
         state["link"] = 0
@@ -187,8 +200,6 @@ def parse(html: str | None) -> Page:
                 break
             if stack[i].name in FENCES:
                 break
-        if name == "body" and stack[-1].name == "head":
-            close(len(stack) - 1)
         parent = stack[-1]
         # body may carry theme classes; a header inside an article holds its heading
         furniture = (marked and name not in ("body", "main")) or name in DROPPED
@@ -199,7 +210,7 @@ def parse(html: str | None) -> Page:
             stack.append(element)
             standing[name] += 1
             page.elements.append(element)
-    if at < len(source):
+    if at < len(source) and not state["hide"]:
         text.append(source[at:])
     close(0)
     return page

@@ -2,9 +2,14 @@
 
 Base patterns give the spans ``assign``, ``access`` and ``hex``. The method adds
 ``guess`` spans: a value that follows a credential word (password, pwd, passphrase,
-bearer, client secret ...) and an assignment sign or "is", mixes at least two kinds
-of characters, and needs at least ``MIN_COST`` log10 guesses by the segmentation of
-``guesscost``. A guess span that lies inside a base span is not repeated.
+bearer, client secret ...) and an assignment sign, or "is", and needs at least
+``MIN_COST`` log10 guesses by the segmentation of ``guesscost``. Words are ranked by how
+many documents of the corpus hold them (``ranked_words``, the ``RANKED`` most frequent
+ones behind the listed passwords), so that "password: required" costs little; words are
+counted over all documents, equal texts once. After "is" or "bearer", where prose may go
+on, a value of letters alone is none. A value ends at white space or, if a quote opens it, at that quote;
+closing brackets and marks that belong to the sentence around are not part of it. A guess
+span that lies inside a base span is not repeated.
 
 Each text is scanned whole, in one pass over its row; offsets are code points, the
 end is exclusive. Memory is one Arrow batch.
@@ -23,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.llm import scratch
-from meterflow.llm.guesscost import guess_cost
+from meterflow.llm.guesscost import LISTED, LONGEST_WORD, Ranks, guess_cost
 
 MIN_COST = 8.0
 MASK = "[SECRET]"
@@ -36,13 +41,20 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_VALUE_CHARS = 6
 KINDS = ("assign", "access", "hex", "guess")
 
+#: Words of the corpus that are ranked.
+RANKED = 20_000
+#: Different texts that a ranked word is in, at least, told by the 64 values of six bits of
+#: their hashes: a secret is not common for being repeated in a text or in its copies.
+LEAST_TEXTS = 8
 #: Words that make what follows a credential, and how the value is attached.
 CONTEXT = re.compile(
     r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)|pwd|(?:client|app)?[_-]?secret|token|api[_-]?key"""
     r"""|(?:access|private|auth)[_-]?key|credentials?|bearer|login)["']?"""
-    r"""[\x20\t]*(?::=|=>|[:=]|(?<=[\x20\t])is(?=[\x20\t])|(?<=bearer)(?=[\x20\t]))[\x20\t]*["'`]?([^\s"'`<>\[\]{}]{6,})""",
+    r"""[\x20\t]*(:=|=>|[:=]|(?<=[\x20\t])is(?=[\x20\t])|(?<=bearer)(?=[\x20\t]))[\x20\t]*"""
+    r"""(?:(["'`])([^\s"'`]{6,}?)\2|["'`]?([^\s"'`]{6,}))""",
     re.I | re.A,
 )
+BRACKETS = {")": "(", "]": "[", "}": "{", ">": "<"}
 HINTS = ("passw", "passp", "passc", "pwd", "secret", "token", "key", "credential", "bearer", "login")
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,log10_guesses:double>>"
 _ARROW_TYPE = pa.list_(
@@ -50,16 +62,18 @@ _ARROW_TYPE = pa.list_(
 )
 
 
-def _classes(value: str) -> int:
-    return (
-        any(c.islower() for c in value)
-        + any(c.isupper() for c in value)
-        + any(c.isdigit() for c in value)
-        + any(not c.isalnum() for c in value)
-    )
+def trimmed(value: str) -> str:
+    """A value without the closing brackets that nothing in it opened, and the marks that end a sentence."""
+    value = value.split("</", 1)[0]  # markup begins where an end tag does
+    end, surplus = len(value), {shut: value.count(shut) - value.count(opened) for shut, opened in BRACKETS.items()}
+    while end and (value[end - 1] in ".,;:!?" or surplus.get(value[end - 1], 0) > 0):
+        end -= 1
+        if value[end] in surplus:
+            surplus[value[end]] -= 1
+    return value[:end]
 
 
-def spans_of(text: str | None, min_cost: float = MIN_COST) -> list[tuple[str, int, int, float | None]]:
+def spans_of(text: str | None, min_cost: float = MIN_COST, ranks: Ranks = LISTED) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, log10 guesses of a guess span) by start, then kind as listed."""
     if not text:
         return []
@@ -71,24 +85,45 @@ def spans_of(text: str | None, min_cost: float = MIN_COST) -> list[tuple[str, in
         found += [("assign", *m.span(), None) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_VALUE_CHARS]
         base = [(s, e) for _, s, e, _ in found]
         for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".,;:!?)")
-            start, end = m.start(1), m.start(1) + len(value)
-            if len(value) >= 6 and _classes(value) >= 2 and not any(s <= start and end <= e for s, e in base):
-                cost = guess_cost(value)
+            start = m.start(3) if m[2] else m.start(4)
+            value = m[3] if m[2] else trimmed(m[4])
+            if not m[2] and len(value) > 2 and BRACKETS.get(value[-1]) == value[0]:  # brackets around the value
+                start, value = start + 1, value[1:-1]
+            end = start + len(value)
+            prose = m[1].lower() in ("is", "") and value.isalpha()
+            if len(value) >= 6 and not prose and not any(s <= start and end <= e for s, e in base):
+                cost = guess_cost(value, ranks)
                 if cost >= min_cost:
                     found.append(("guess", start, end, cost))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def ranked_words(docs: DataFrame, text: str = "text", most: int = RANKED) -> list[str]:
+    """The words (three ASCII letters or more, lower case) that most documents hold, the most frequent first.
+
+    Counted over all documents with partial aggregation; ``most`` words reach the driver.
+    """
+    whole = F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(text), F.lit(64)).cast("int"))
+    words = docs.select(F.explode(F.array_distinct(F.split(whole, "[^a-z]+"))).alias("word"), bit.alias("bit"))
+    words = words.where(F.length("word").between(3, LONGEST_WORD))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.bit_or("bit").alias("bits"))
+    counts = counts.where(F.bit_count("bits") >= LEAST_TEXTS)
+    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
 @scratch.shielded
-def find_secrets(docs: DataFrame, text: str = "text", to: str = "secret_spans", min_cost: float = MIN_COST) -> DataFrame:
-    """``docs`` with the array of spans of each text."""
+def find_secrets(
+    docs: DataFrame, text: str = "text", to: str = "secret_spans", min_cost: float = MIN_COST, ranks: Ranks | None = None
+) -> DataFrame:
+    """``docs`` with the array of spans of each text; words are ranked by these documents unless ``ranks`` is given."""
+    ranks = ranks or Ranks(ranked_words(docs, text))
 
     @F.arrow_udf(SPAN_TYPE)
     def scan(texts: pa.Array) -> pa.Array:
         names = ("kind", "start", "end", "log10_guesses")
         return pa.array(
-            [[dict(zip(names, span)) for span in spans_of(t.as_py(), min_cost)] for t in texts], _ARROW_TYPE
+            [[dict(zip(names, span)) for span in spans_of(t.as_py(), min_cost, ranks)] for t in texts], _ARROW_TYPE
         )
 
     return docs.withColumn(to, scan(F.col(text).cast("string")))

@@ -108,6 +108,9 @@ def test_awkward_table(spark, library):
         assert np.frombuffer(bytes(row.token_ids), "<u4").tolist() == want
         assert row.n_tokens == len(want) and row.decoded == library.decode(want, skip_special_tokens=False)
         assert row._key == "k"
+    once = bpe.encode(docs, PATH, decoded=True)
+    assert set(once.columns) == {*docs.columns, "n_tokens", "decoded"}
+    assert sorted(r.decoded for r in once.collect()) == sorted(r.decoded for r in got)
     assert bpe.encode(tables.no_rows(spark), PATH).count() == 0
 
 

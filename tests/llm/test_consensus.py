@@ -1,7 +1,9 @@
 """op9: article text against hand-made pages and the test data's template."""
 
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -40,6 +42,21 @@ def test_article_without_furniture():
         ("<article><div class='a'><p>long part of it</p></div><div class='b'><p>rest</p></div></article>", "long part of it\n\nrest"),
         ("<article><p>a text</p><article class='comment'><p>reader</p></article></article>", "a text"),
         ("<table><tr><td>one<td>two</table>", "one\n\ntwo"),
+        # inline elements: an advert goes, the rest of its line stays
+        ("<p>one <span class='ad'>buy</span> two three</p>", "one two three"),
+        ("<p>one <span class='ad'>buy <span>now</span></span> two</p><p>three</p>", "one two\n\nthree"),
+        ("<p>one <span class='ads'>never closed</p><p>two</p>", "one\n\ntwo"),
+        ("<article>Search <span class='search-term'>spark</span> is quick</article>", "Search spark is quick"),
+        ("<p>a <ins id='related'>b</ins> c</span></p>", "a b c"),
+        # broken attributes
+        ("<article><p title=don't>hello</p></article>", "hello"),
+        ("<article><p title=don't>hello</p><p>it's <b title='x'>there</b></p></article>", "hello\n\nit's there"),
+        ("<article><p>don't <a title='x>y' href=z>go</a> on</p></article>", "don't go on"),
+        ("<p a=>x</p><p =y>z</p>", "x\n\nz"),
+        # a head that nothing ends
+        ("<html><head><meta charset=utf-8><p>text", "text"),
+        ("<head><title>t</title><div><b>a</b> b</div>", "a b"),
+        ("<head><script>x</script><body><p>text</p>", "text"),
     ],
 )
 def test_small_pages(source, text):
@@ -90,3 +107,33 @@ def test_deep_and_long_pages():
     assert consensus.extract(deep, None) == ("words " * 50).strip()
     assert consensus.extract("<div>" * 20_000 + "a" + "</section>" * 20_000, None) == "a"
     assert len(markup.parse("<p>a " * 20_000).blocks) == 20_000
+
+
+def test_broken_tags_cost_no_search():
+    began = time.process_time()
+    for piece in ["<p>don't <a title='x>", '<p class="', "<a href='x' b=\"", "<!--", "<script ", "<span class=ad>x"]:
+        markup.parse(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - began < 30
+
+
+def plain_vote(pages):
+    """The vote by its definition: per host the path of most pages, then of most score, then the smallest."""
+    tally = {}
+    for host, source in pages:
+        path, score = consensus.vote(source)
+        if path is not None:
+            votes, total = tally.setdefault(host, {}).get(path, (0, 0.0))
+            tally[host][path] = (votes + 1, total + score)
+    return {host: min(found, key=lambda p: (-found[p][0], -found[p][1], p)) for host, found in tally.items()}
+
+
+def test_votes_against_a_plain_count(spark):
+    rng = random.Random(9)
+    shapes = ["<div class='post-%d'><p>%s</p></div>", "<main><p>%d %s</p></main>", "<section class=b><p>%d %s</p></section><nav>x</nav>"]
+    rows = []
+    for i in range(120):
+        host = rng.choice(["a.org", "b.org", "c.org"])
+        shape = rng.choice(shapes[: 1 + "abc".index(host[0])])
+        rows.append((i, f"http://{host}/{i}", rng.choice([shape % (i, "word " * rng.randint(1, 40)), "", None])))
+    got = {r.host: r.path for r in consensus.winning_paths(tables.pages(spark, rows)).collect()}
+    assert got == plain_vote([(u.split("/")[2], h) for _, u, h in rows])

@@ -75,3 +75,30 @@ def test_shards_and_empty_tables(spark, monkeypatch):
     assert decontam.contaminated(rows, bench.limit(0)).count() == 0
     assert decontam.contaminated(tables.no_rows(spark), bench).count() == 0
     assert decontam.clean(tables.awkward(spark), bench.where("item_id > 3")).count() == 10
+
+
+def noisy(text, rng, share):
+    """The text with some of its words replaced."""
+    return " ".join("zz%d" % rng.integers(10**6) if rng.random() < share else w for w in text.split())
+
+
+def test_scores_do_not_depend_on_the_shards(spark, monkeypatch):
+    """Passages near the threshold of the score, and near that of the overlap: the same rows at 1, 3 and 12 shards."""
+    rng = np.random.default_rng(6)
+    items = [(i, tables.prose(i, int(rng.integers(30, 62)))) for i in range(36)]
+    bench = spark.createDataFrame(items, ITEMS)
+    texts = [(1000 * k + i, f"x {noisy(t, rng, share)} y") for i, t in items for k, share in enumerate([0, 0.05, 0.15, 0.25, 0.35])]
+    texts += [(10**6, None), (10**6, items[0][1])]
+    rows = tables.docs(spark, texts)
+
+    def found():
+        got = decontam.contaminated(rows, bench, overlap=0.1).collect()
+        return sorted((r.doc_id, r.item_id, round(r.score, 9), round(r.question_overlap, 9), round(r.answer_overlap, 9)) for r in got)
+
+    whole = found()
+    assert 36 < len(whole) < 200 and any(r[2] < 0.8 for r in whole)
+    for most in (18, 9):
+        monkeypatch.setattr(decontam, "SHARD_ITEMS", most)
+        assert len(decontam._shards(bench, "text")) >= 36 // most
+        assert found() == whole
+    assert decontam.clean(rows, bench).columns == rows.columns

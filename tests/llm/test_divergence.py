@@ -1,5 +1,6 @@
 """op8: base figures against plain loops, divergences against numpy."""
 
+import random
 import re
 from collections import Counter
 
@@ -78,7 +79,8 @@ def test_query_on_whole_documents(spark):
             words, letters = js(p, q), js(c / c.sum(), chars[d.lang] / chars[d.lang].sum())
             assert abs(r.js_words - words) < 1e-6 and abs(r.js_chars - letters) < 1e-6  # six digits
             odd = letters > divergence.CHARS_LIMIT + divergence.CHARS_SLACK / n
-            odd |= words > divergence.WORDS_LIMIT + divergence.WORDS_SLACK / n
+            blank = js(np.append(0 * q[:-1], 1), q)
+            odd |= words > min(divergence.WORDS_LIMIT, divergence.BLANK_SHARE * blank) + divergence.WORDS_SLACK / n
             assert r.kept == (not r.base_failed and not odd)
 
 
@@ -91,10 +93,10 @@ def test_clean_documents_stay_and_junk_goes(spark):
     assert counts.get((0, True), 0) <= 0.05 * counts[0, False]
 
 
-def test_unknown_language_takes_the_nearest(spark):
+def test_a_text_without_label_takes_the_nearest(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     refs = divergence.references(divergence.word_counts(docs))
-    rows = docs.where("lang = 'de'").withColumn("lang", F.lit("xx"))
+    rows = docs.where("lang = 'de'").withColumn("lang", F.lit(None).cast("string"))
     def total(frame):
         return {r.doc_id: r.js_chars + r.js_words for r in divergence.judge(frame, refs).collect()}
 
@@ -123,3 +125,50 @@ def test_empty_tables(spark):
     none = tables.no_rows(spark)
     assert divergence.references(divergence.word_counts(none)) == []
     assert divergence.judge(none, []).count() == 0
+
+
+def test_the_sql_judges_mislabelled_texts_and_non_words_alike(spark, tmp_path):
+    import duckdb
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    good = docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").select("doc_id"), "doc_id")
+    wrong = good.where("lang = 'en'").orderBy("doc_id").limit(30).withColumn("lang", F.lit("de"))
+    moved = F.translate("text", "abcdefghijklmnopqrstuvwxyz", "bcdefghijklmnopqrstuvwxyza")
+    junk = good.where("lang = 'fr'").orderBy("doc_id").limit(30).withColumn("text", moved)
+    rows = docs.unionByName(wrong.withColumn("doc_id", F.col("doc_id") + 10**6)).unionByName(
+        junk.withColumn("doc_id", F.col("doc_id") + 2 * 10**6)
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.kept, r.base_failed) for r in divergence.query(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    result = con.execute(f"SELECT doc_id, kept, base_failed FROM ({divergence.ORACLE_SQL})").fetchall()
+    assert got == {i: (kept, failed) for i, kept, failed in result}
+    assert sum(not got[i][0] and not got[i][1] for i in got if i >= 10**6) > 30
+
+
+def test_seventy_languages_and_small_ones_lose_no_text_to_a_foreign_reference(spark, tmp_path):
+    """Each language has letters and words of its own; those without a reference are judged by the base rules alone."""
+    import duckdb
+
+    rows = []
+    for n in range(70):
+        letters = "".join(chr(0x400 + 3 * n + k) for k in range(12))
+        rng = random.Random(n)
+        known = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(150)]
+        for k in range(3 if n else 1):  # language 0 has too few words for a reference
+            words = [rng.choice(known) for _ in range(400 + 5 * n)]
+            rows.append((100 * n + k, " ".join(words), f"l{n:02d}"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    refs = divergence.references(divergence.word_counts(frame))
+    assert len(refs) == 64 and "l00" not in {r["lang"] for r in refs}
+    got = {r.doc_id: r for r in divergence.query(spark, str(tmp_path)).collect()}
+    assert all(r.kept == (not r.base_failed) for r in got.values())
+    without = {lang for _, _, lang in rows} - {r["lang"] for r in refs}
+    assert {i for i, r in got.items() if r.js_chars is None} == {i for i, _, lang in rows if lang in without}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    result = con.execute(f"SELECT doc_id, kept, js_words FROM ({divergence.ORACLE_SQL})").fetchall()
+    assert {(i, kept) for i, kept, _ in result} == {(i, r.kept) for i, r in got.items()}
+    assert all((js is None) == (got[i].js_words is None) for i, _, js in result)

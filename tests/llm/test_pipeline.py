@@ -1,9 +1,12 @@
 """The stages of the pipeline: order, columns, and that their decisions take effect."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
 from meterflow.llm import bytecnn, decontam, mixing, secrets
+from meterflow.llm.guesscost import Ranks
 from tests.llm import tables
 from tests.llm.test_mixing import brute as mixture
 from tests.llm.test_mixing import by_number
@@ -32,9 +35,10 @@ def test_order_and_columns(staged):
 
 def test_decisions(staged, spark):
     before, after, _ = staged["language_id"]
-    assert {r["doc_id"] for r in before} - {r["doc_id"] for r in after} == {
-        r["doc_id"] for r in before if not bytecnn._LETTER.search(r["text"] or "")
-    }
+    gone = {r["doc_id"] for r in before} - {r["doc_id"] for r in after}
+    assert {r["doc_id"] for r in before if not bytecnn._LETTER.search(r["text"] or "")} <= gone
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert all(labels.get(i) != 1 for i in gone)
     before, after, _ = staged["near_duplicates"]
     assert {r["doc_id"] for r in after} == {c for _, c, _ in brute_classes([(r["doc_id"], r["text"]) for r in before])}
     before, after, _ = staged["decontaminate"]
@@ -46,10 +50,11 @@ def test_decisions(staged, spark):
     assert left == {r["doc_id"] for r, h in zip(before, held) if not h}
     before, after, _ = staged["mask_secrets"]
     old = {r["doc_id"]: r["text"] for r in before}
+    ranks = Ranks(secrets.ranked_words(tables.docs(spark, [(r["doc_id"], r["text"]) for r in before])))
     assert {r["doc_id"] for r in after} == set(old)
     for r in after:
-        assert (r["text"] == old[r["doc_id"]]) == (not secrets.spans_of(old[r["doc_id"]]))
-        assert not secrets.spans_of(r["text"]) and r["n_chars"] == len(r["text"])
+        assert (r["text"] == old[r["doc_id"]]) == (not secrets.spans_of(old[r["doc_id"]], ranks=ranks))
+        assert not secrets.spans_of(r["text"], ranks=ranks) and r["n_chars"] == len(r["text"])
     before, after, _ = staged["mix_sources"]
     rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in before]
     want = mixture(rows, by_number, mixing.QUERY_WEIGHTS, mixing.BUDGET_SHARE, mixing.MAX_EPOCHS, mixing.SEED)
@@ -68,4 +73,24 @@ def test_a_null_language_is_filled(spark):
     rows = docs.unionByName(spark.createDataFrame(unlabelled, docs.schema))
     out = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, rows, SF).collect()}
     assert [out[r[0]] for r in unlabelled] == ["de"] * 5
-    assert {r.doc_id: r.lang for r in docs.collect() if bytecnn._LETTER.search(r.text or "")}.items() <= out.items()
+    given = {r.doc_id: r.lang for r in docs.collect()}
+    assert all(given[i] == lang for i, lang in out.items() if i in given)
+
+
+def test_the_network_rejects_junk_and_no_good_document(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    long = docs.where("length(text) BETWEEN 300 AND 3000").orderBy("doc_id").limit(90).collect()
+    rng = random.Random(99)
+    planted = [(10**9 + i, bytecnn.junk_of(r.text, rng, i % 3), r.lang, r.source, r.n_chars) for i, r in enumerate(long)]
+    coded = "".join(map(chr, range(0x61, 0x7B)))  # code: a kind of junk that training has not seen
+    planted += [
+        (2 * 10**9 + i, " ".join("".join(rng.choice(coded + "0123456789_") for _ in range(9)) + "();" for _ in range(60)), "en", "x", 1)
+        for i in range(30)
+    ]
+    out = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(planted, docs.schema)), sf).collect()}
+    for low, high, share in [(10**9, 2 * 10**9, 0.95), (2 * 10**9, 3 * 10**9, 0.9)]:
+        gone = [r[0] not in out for r in planted if low <= r[0] < high]
+        assert sum(gone) >= share * len(gone), (sum(gone), len(gone))
+    good = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").select("doc_id").collect()
+    assert all(r.doc_id in out for r in good)

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from meterflow.llm import secrets
-from meterflow.llm.guesscost import char_cost, guess_cost
+from meterflow.llm.guesscost import JOIN, Ranks, char_cost, guess_cost, segments
 from tests.llm import tables
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -42,6 +42,73 @@ def test_guess_spans_add_to_the_base():
     for text in CASES:
         found = secrets.spans_of(text)
         assert [s[:3] for s in found if s[0] != "guess"] == base(text)
+
+
+VALUES = [
+    ("pwd: {}", "kqzvxwjhtrplmnbd"), ("passphrase: {}", "correcthorsebatterystaplezz"), ("auth_key={}", "GFHDKSUEYRTBVMNXQPWO"),
+    ("Bearer {} x", "839201746550238817"), ("login={}, then", "Xk9{mQ2!vLp"), ("pwd=({}).", "Xk9mQw2{mQ2!vLp99"), ("<b>pwd: {}</b>", "kqzvxwjhtrplmnbd"),
+    ('pwd="{}" no', "a<b>c[d]9!xZq"), ("credentials: [{}]", "u7$Kq(2)zWp"),
+]
+
+
+def test_values_of_one_kind_and_with_brackets():
+    for pattern, value in VALUES:
+        text = pattern.format(value)
+        at = text.index(value)
+        assert ("guess", at, at + len(value)) in [s[:3] for s in secrets.spans_of(text)], text
+    common = Ranks(["required", "instruments", "internationalisation"])
+    for plain in ("pwd: required", "bearer instruments", "password is extraordinary", "login: internationalisation", "the passphrase is whereabouts"):
+        assert secrets.spans_of(plain, ranks=common) == [], plain
+    assert secrets.trimmed("]" * 500_000 + "a" + ")." * 500_000) == "]" * 500_000 + "a"
+
+
+def cheapest(value, ranks):
+    """Every segmentation of a short value, costed one by one."""
+    found = {}
+    for end, parts in segments(value, ranks).items():
+        for start, cost, _ in parts:
+            found[start, end] = min(cost, found.get((start, end), cost))
+
+    def costs(at, brute):
+        if at == len(value):
+            yield 0.0
+        for end in range(at + 1, len(value) + 1):
+            join = JOIN if at else 0.0
+            if (at, end) in found:
+                yield from (join + found[at, end] + rest for rest in costs(end, False))
+            if not brute:  # a run of brute-force characters is one segment
+                yield from (join + sum(map(char_cost, value[at:end])) + rest for rest in costs(end, True))
+
+    return min(costs(0, False))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abcpqwe1290$5sdr", min_size=1, max_size=8))
+def test_cost_against_every_segmentation(value):
+    ranks = Ranks(["abc", "sad", "red", "seed", "read"])
+    assert abs(guess_cost(value, ranks) - cheapest(value, ranks)) < 1e-9
+
+
+def test_ranked_words_count_texts_once(spark):
+    rows = [(i, f"common words here number{i}") for i in range(60)] + [(100 + i, "kqzvxwj " * 5) for i in range(200)] + [(400, None)]
+    ranked = secrets.ranked_words(tables.docs(spark, rows))
+    assert ranked[:3] == ["common", "here", "number"] and "words" in ranked and "kqzvxwj" not in ranked
+
+
+def test_plain_prose_has_no_guesses(spark):
+    """Prose of the test data after credential words: no span, but for the secrets planted there."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = secrets.ranked_words(docs)
+    ranks, hits, tried = Ranks(words), 0, 0
+    for row in docs.where("text IS NOT NULL").orderBy("doc_id").limit(400).collect():
+        for word in [w.strip(".,") for w in row.text.split()[:40]]:
+            if word.isalpha() and len(word) >= 6:
+                tried += 1
+                hits += bool(secrets.spans_of(f"passphrase: {word}", ranks=ranks))
+    assert tried > 3000 and hits < 0.35 * tried, (hits, tried)
+
+
+def test_plain_contexts():
     assert secrets.spans_of("password is xK9$mQ2!vLp, ok")[0][:3] == ("guess", 12, 23)
     for plain in ("the token is thing and", "password is password1 here", "the secret is summer2024! now", "key: value"):
         assert secrets.spans_of(plain) == []
