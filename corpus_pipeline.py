@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 from meterflow.llm import bayesjoin, bytecnn, decontam, mixing, scratch, secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Score from which the network's word that a text is no language is taken.
+JUNK_SCORE = 0.9
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told, a null ``lang`` filled by it; the rest (no text, no letters) go.
+    """Documents in a language, a null ``lang`` filled by the prediction.
 
-    The score rejects nothing: junk with letters scores as high as clean texts do (see README).
+    Documents without a letter go, and those of ``JUNK_CHARS`` characters or more that the
+    network holds for no language with a score of ``JUNK_SCORE`` at least.
     """
     docs = docs.select(*COLUMNS)
-    found = bytecnn.identify(docs, bytecnn.trained_on(docs)).where(F.col("lang_pred") != bytecnn.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+    found = bytecnn.identify(docs, bytecnn.trained_on(docs, junk=True)).where(F.col("lang_pred") != bytecnn.UNKNOWN)
+    junk = F.col("lang_pred") == bytecnn.JUNK
+    sure = (F.length("text") >= bytecnn.JUNK_CHARS) & (F.col("score") >= JUNK_SCORE)
+    lang = F.coalesce("lang", F.when(~junk, F.col("lang_pred")))
+    return found.where(~(junk & sure)).withColumn("lang", lang).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
