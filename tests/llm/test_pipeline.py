@@ -82,10 +82,10 @@ def test_the_network_rejects_junk_and_no_good_document(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select(*corpus_pipeline.COLUMNS)
     long = docs.where("length(text) BETWEEN 300 AND 3000").orderBy("doc_id").limit(90).collect()
     rng = random.Random(99)
-    planted = [(10**9 + i, bytecnn.junk_of(r.text, rng, i % 3), r.lang, r.source, r.n_chars) for i, r in enumerate(long)]
+    planted = [(10**9 + i, bytecnn.junk_of(r.text, rng, i % 3), None, r.source, r.n_chars) for i, r in enumerate(long)]
     coded = "".join(map(chr, range(0x61, 0x7B)))  # code: a kind of junk that training has not seen
     planted += [
-        (2 * 10**9 + i, " ".join("".join(rng.choice(coded + "0123456789_") for _ in range(9)) + "();" for _ in range(60)), "en", "x", 1)
+        (2 * 10**9 + i, " ".join("".join(rng.choice(coded + "0123456789_") for _ in range(9)) + "();" for _ in range(60)), None, "x", 1)
         for i in range(30)
     ]
     out = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(planted, docs.schema)), sf).collect()}
