@@ -1,7 +1,7 @@
 """Cheapest edits of a turn sequence, by Four-Russians block tables.
 
-A row of a conversation is a symbol: what it must become of it (deleted, or free), its
-role's initial and whether keeping it costs one more. The rows are edited into a string
+A row of a conversation is a symbol: whether it must be deleted, its role's initial, and
+whether keeping it costs one more. The rows are edited into a string
 of role initials that ``(s?(ua)+)?`` matches; four states read that: start, after s,
 after u, after a. The cost vector of a prefix holds the least cost of ending in each
 state. Less its minimum it is one of few vectors, since an entry more than ``CAP`` above

@@ -17,8 +17,8 @@ are put together from their pieces by joins and by groups of one short row a pie
 5. a digest along the pieces in order, which keeps one piece in memory and the letters
    of one conversation (they are one value of the result).
 
-Edits: ``K``\\ eep costs 0, ``R``\\ erole 2, ``D``\\ elete 3, ``I``\\ nsert 2; a truncated row
-that stays costs 1 more; blank and duplicate rows are deleted.
+Edits: Keep costs 0, Rerole 2, Delete 3, Insert 2; a truncated row that stays costs 1 more;
+blank and duplicate rows are deleted.
 
 Defined results: null roles and texts are one space, a null turn sorts first, and the
 rows without a conversation form one of their own. Rows of one turn go by role, then by

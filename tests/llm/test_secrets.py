@@ -92,6 +92,8 @@ def test_cost_against_every_segmentation(value):
 def test_ranked_words_count_texts_once(spark):
     rows = [(i, f"common words here number{i}") for i in range(60)] + [(100 + i, "kqzvxwj " * 5) for i in range(200)] + [(400, None)]
     ranked = secrets.ranked_words(tables.docs(spark, rows))
+    assert secrets.ranked_words(tables.docs(spark, rows), most=2) == ["common", "here"]
+    assert secrets.ranked_words(tables.no_rows(spark)) == []
     assert ranked[:3] == ["common", "here", "number"] and "words" in ranked and "kqzvxwj" not in ranked
 
 
