@@ -21,13 +21,14 @@ JUNK_SCORE = 0.8
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language, a null ``lang`` filled by the prediction.
 
-    Documents without a letter go, and those of ``JUNK_CHARS`` characters or more that the
-    network holds for no language with a score of ``JUNK_SCORE`` at least.
+    Documents without a letter go, and those that the network holds for no language with a
+    score of ``JUNK_SCORE`` at least. Texts shorter than one of its windows are not judged: a
+    key or a number in a few words outweighs them.
     """
     docs = docs.select(*COLUMNS)
     found = bytecnn.identify(docs, bytecnn.trained_on(docs, junk=True)).where(F.col("lang_pred") != bytecnn.UNKNOWN)
     junk = F.col("lang_pred") == bytecnn.JUNK
-    sure = (F.length("text") >= bytecnn.JUNK_CHARS) & (F.col("score") >= JUNK_SCORE)
+    sure = (F.length("text") >= bytecnn.WINDOW) & (F.col("score") >= JUNK_SCORE)
     lang = F.coalesce("lang", F.when(~junk, F.col("lang_pred")))
     return found.where(~(junk & sure)).withColumn("lang", lang).select(*COLUMNS)
 
