@@ -14,6 +14,8 @@ block. A NULL key part is a value like others.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +30,10 @@ def _hashes(key: list[str]) -> tuple[Column, Column]:
     return F.xxhash64(*parts), F.xxhash64(F.lit("bits"), *parts)
 
 
-def _bits(a: Column, b: Column) -> Column:
+def _bits(a: Column, b: Column) -> list[Column]:
     """The bits of a key within its block (double hashing with an odd step)."""
     start, step = F.pmod(a, F.lit(BLOCK_BITS)), F.pmod(b, F.lit(BLOCK_BITS // 2)) * 2 + 1
-    return F.transform(F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda i: F.pmod(start + i * step, F.lit(BLOCK_BITS)))
+    return [F.pmod(start + i * step, F.lit(BLOCK_BITS)) for i in range(PROBES)]
 
 
 def _block(a: Column, level: Column) -> Column:
@@ -40,15 +42,22 @@ def _block(a: Column, level: Column) -> Column:
 
 
 def build(keys: DataFrame, key: list[str], group: list[str]) -> DataFrame:
-    """Filters of the keys per group: ``group``, level, block, bitmap. Repeated keys cost room, nothing else."""
+    """Filters of the keys per group: ``group``, level, block, bitmap. Repeated keys cost room, nothing else.
+
+    Each key is one row up to the bitmaps: its probes are aggregated side by side, a bitmap
+    each, and only the bitmaps of a block are then laid over each other.
+    """
     size = F.greatest(F.lit(1.0), F.count(F.lit(1)) / KEYS_PER_BLOCK)
     levels = keys.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group]).agg(F.ceil(F.log2(size)).cast("int").alias("level"))
     same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
     a, b = _hashes(key)
     dealt = keys.join(levels, same).select(*group, "level", a.alias("_a"), b.alias("_b"))
     dealt = dealt.withColumn("block", _block(F.col("_a"), F.col("level"))).repartition(*group, "level", "block")
-    bits = dealt.select(*group, "level", "block", F.explode(_bits(F.col("_a"), F.col("_b"))).alias("_bit"))
-    return bits.groupBy(*group, "level", "block").agg(F.bitmap_construct_agg("_bit").alias("bitmap"))
+    probes = [F.bitmap_construct_agg(bit).alias(f"_bitmap_{i}") for i, bit in enumerate(_bits(F.col("_a"), F.col("_b")))]
+    apart = dealt.groupBy(*group, "level", "block").agg(*probes)
+    bitmaps = F.explode(F.array(*[F.col(f"_bitmap_{i}") for i in range(PROBES)])).alias("_bitmap")
+    laid = apart.select(*group, "level", "block", bitmaps).groupBy(*group, "level", "block")
+    return laid.agg(F.bitmap_or_agg("_bitmap").alias("bitmap"))
 
 
 def _is_set(bitmap: Column, bit: Column) -> Column:
@@ -68,5 +77,6 @@ def may_contain(keys: DataFrame, key: list[str], filters: DataFrame, group: list
     asked = wanted.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
     asked = asked.withColumn("block", _block(F.col("_a"), F.col("level")))
     met = asked.join(filters.withColumnsRenamed({g: f"_g_{g}" for g in group}), ["level", "block"])
-    hit = met.where(F.forall(_bits(F.col("_a"), F.col("_b")), lambda bit: _is_set(F.col("bitmap"), bit)))
+    # Bit after bit: most pairs of a key and a filter that doesn't hold it end at the first or second.
+    hit = met.where(reduce(lambda x, y: x & y, [_is_set(F.col("bitmap"), bit) for bit in _bits(F.col("_a"), F.col("_b"))]))
     return hit.select(*key, *[F.col(f"_g_{g}").alias(g if g not in key else f"filter_{g}") for g in group])

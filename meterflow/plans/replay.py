@@ -92,7 +92,7 @@ def replay_batches(
     """
     spark = fresh.sparkSession
     stage = _Stage(spark, root)
-    fresh = stage(fresh, "fresh")
+    fresh, log = stage(fresh, "fresh"), stage(log, "log")
     stored = read_layer(spark, root, "bronze_cdr_raw")
     own = _values(fresh, "batch_id")
     if not exists(spark, root, FILTERS):

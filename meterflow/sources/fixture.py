@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow import fixed
@@ -100,12 +100,13 @@ def fixture_bronze(ev: DataFrame) -> DataFrame:
 
     Every event lands once; every 89th lands again a minute later, so each
     event row expands to its copies (0, or 0 and 1) instead of a second scan.
+    The columns are made after the copies, so that a filter on the landing time or a
+    batch comes before them.
     """
-    records = ev.selectExpr(*EVENT_COLUMNS).selectExpr(
-        "e",
-        *[f"{expr} AS {name}" for name, expr in RECORD_COLUMNS],
-        f"explode(CASE WHEN e % {COPY_EVERY} = {COPY_REMAINDER} THEN array(0, 1) ELSE array(0) END) AS copy_no",
+    copies = ev.selectExpr(*EVENT_COLUMNS).selectExpr(
+        "*", f"explode(CASE WHEN e % {COPY_EVERY} = {COPY_REMAINDER} THEN array(0, 1) ELSE array(0) END) AS copy_no"
     )
+    records = copies.selectExpr("e", *[f"{expr} AS {name}" for name, expr in RECORD_COLUMNS], "copy_no")
     return records.withColumns(
         {
             "ingestion_ts": F.timestamp_add("SECOND", F.col("copy_no") * COPY_DELAY_SECONDS, F.col("ingestion_ts")),
@@ -180,11 +181,24 @@ def first_delivery(bronze: DataFrame) -> DataFrame:
     )
 
 
+def _load() -> Column:
+    return F.floor((F.dayofmonth("ingestion_ts") - 1) / LOAD_DAYS).cast("int")
+
+
+def _again() -> Column:
+    return F.floor(F.col("ingest_seq") / 2) % RESENT_EVERY == RESENT_REMAINDER
+
+
 def loads(bronze: DataFrame) -> DataFrame:
     """Bronze as it would come in loads: ``load_no`` by the day it landed; some records come again a load later."""
-    load = F.floor((F.dayofmonth("ingestion_ts") - 1) / LOAD_DAYS).cast("int")
-    again = F.floor(F.col("ingest_seq") / 2) % RESENT_EVERY == RESENT_REMAINDER
-    return bronze.withColumn("load_no", F.explode(F.when(again, F.array(load, load + 1)).otherwise(F.array(load))))
+    load = _load()
+    return bronze.withColumn("load_no", F.explode(F.when(_again(), F.array(load, load + 1)).otherwise(F.array(load))))
+
+
+def load_arrivals(bronze: DataFrame, load_no: int) -> DataFrame:
+    """The records of ``loads`` in one load; those of other loads are left out before they are expanded."""
+    near = bronze.where((_load() == load_no) | (_again() & (_load() == load_no - 1)))
+    return loads(near).where(F.col("load_no") == load_no)
 
 
 # A numbering plan over the other parties' numbers (90 54 and seven digits): ranges nest.

@@ -121,3 +121,35 @@ def test_filters_have_no_false_negatives_and_few_false_positives(spark):
     assert keyfilter.may_contain(other, ["s", "k"], filters, ["batch"]).count() <= 5
     none = keyfilter.build(keys.limit(0), ["s", "k"], ["batch"])
     assert none.count() == 0 and keyfilter.may_contain(keys, ["s", "k"], none, ["batch"]).count() == 0
+
+
+def test_a_key_is_one_row_until_its_bitmaps(spark):
+    keys = spark.range(0, 5_000).select(
+        F.when(F.col("id") % 9 == 0, None).otherwise("S").alias("s"),
+        F.col("id").cast("string").alias("k"),
+        (F.col("id") % 3).cast("string").alias("batch"),
+    )
+    filters = keyfilter.build(keys, ["s", "k"], ["batch"])
+    plan = filters._jdf.queryExecution().optimizedPlan().toString()
+    # from the top: the bitmaps are laid over each other after all probes have been aggregated
+    assert plan.index("bitmap_or_agg") < plan.index("Generate") < plan.index("bitmap_construct_agg")
+    asked = keyfilter.may_contain(keys.select("s", "k"), ["s", "k"], filters, ["batch"])
+    assert "forall(" not in asked._jdf.queryExecution().optimizedPlan().toString()
+    # the same bits as a row for each probe gives
+    a, b = keyfilter._hashes(["s", "k"])
+    rows_of = keys.select("batch", "s", "k", a.alias("a"), b.alias("b")).join(
+        filters.groupBy("batch").agg(F.max("level").alias("level")), "batch"
+    )
+    start, step = F.pmod("a", F.lit(32768)), F.pmod("b", F.lit(16384)) * 2 + 1
+    bits = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.pmod(start + i * step, F.lit(32768)))
+    each = rows_of.select("batch", "level", keyfilter._block(F.col("a"), F.col("level")).alias("block"), F.explode(bits).alias("bit"))
+    want = each.groupBy("batch", "level", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    got, want = ({(r.batch, r.level, r.block): bytes(r.bitmap) for r in f.collect()} for f in (filters, want))
+    assert got == want and len(got) > 3
+
+
+def test_a_filter_on_batches_comes_before_the_columns(spark):
+    """The redelivered day is chosen below the projection of the other columns."""
+    plan = fixture.redelivered(LayerSet.from_fixture(spark, SF["0.001"]).bronze)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("lpad") < plan.index("Filter")
+    assert "lpad" not in plan[plan.index("Filter"):]
