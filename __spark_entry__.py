@@ -172,9 +172,9 @@ def _rolled_up(*keys: str) -> Callable[[LayerSet], DataFrame]:
 def _incremental(ls: LayerSet) -> DataFrame:
     """Verdicts of the incremental tier, load after load; a load knows what earlier ones brought."""
     root = f"{checkpoint_root(ls.spark)}/incremental-{uuid.uuid4().hex}"
-    arrivals, step = fixture.loads(ls.bronze), incremental.IncrementalQuality(root, as_of=ls.as_of, fanout=2)
+    step = incremental.IncrementalQuality(root, as_of=ls.as_of, fanout=2)
     for load in range(31 // fixture.LOAD_DAYS + 2):
-        step(arrivals.where(F.col("load_no") == load).select(*LANDING_SCHEMA.fieldNames()), load)
+        step(fixture.load_arrivals(ls.bronze, load).select(*LANDING_SCHEMA.fieldNames()), load)
     tagged = read_layer(ls.spark, root, "silver_cdr_tagged")
     return tagged.select("batch_id", "source_system", "cdr_id", "is_duplicate", "reject_reason", "quality_status")
 

@@ -120,9 +120,13 @@ def _seen_keys(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _write_seen(keys: DataFrame, root: str) -> None:
-    """Add keys under their ``load_id``, then the filters that make them known."""
+    """Add keys under their ``load_id``, then the filters that make them known.
+
+    The keys of a bucket come together first: a load has a few files for each bucket, not one
+    from each task that held some of its keys.
+    """
     for rows, table, parts in [
-        (keys.withColumn("bucket", _bucket()), SEEN_KEYS, ["load_id", "bucket"]),
+        (keys.withColumn("bucket", _bucket()).hint("rebalance", "load_id", "bucket"), SEEN_KEYS, ["load_id", "bucket"]),
         (keyfilter.build(keys, KEY, ["load_id"]), SEEN_FILTERS, ["load_id"]),
     ]:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -208,3 +208,35 @@ def test_exact_hourly_stream_equals_gold_also_after_a_restart(spark, scratch):
     want = ls.hourly
     assert got.count() == want.count() > 500
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_a_load_has_few_key_files_whatever_its_tasks(spark, scratch):
+    import glob
+
+    from meterflow.streaming.incremental import SEEN_BUCKETS, _write_seen, compact
+
+    def files():
+        return glob.glob(os.path.join(scratch, "seen_keys", "*", "*", "*.parquet"))
+
+    def keys(first, load):
+        ids = spark.range(first, first + 6_000, 1, 12)
+        return ids.select(F.lit("S").alias("source_system"), F.col("id").cast("string").alias("cdr_id"), F.lit(load).alias("load_id"))
+
+    _write_seen(keys(0, "a"), scratch)
+    assert SEEN_BUCKETS <= len(files()) <= 2 * SEEN_BUCKETS
+    _write_seen(keys(6_000, "b"), scratch)
+    assert compact(spark, scratch, fanout=2) == ["a", "b"]
+    assert SEEN_BUCKETS <= len(files()) <= 2 * SEEN_BUCKETS
+    assert spark.read.parquet(os.path.join(scratch, "seen_keys")).select("cdr_id").distinct().count() == 12_000
+
+
+def test_arrivals_of_a_load_are_those_of_all_loads(spark):
+    ls = LayerSet.from_fixture(spark, SF["0.001"])
+    odd = ls.bronze.limit(3).withColumn("ingest_seq", F.lit(None).cast("long"))
+    odd = odd.unionByName(ls.bronze.limit(3).withColumn("ingestion_ts", F.lit(None).cast("timestamp")))
+    bronze = ls.bronze.unionByName(odd)
+    whole = fixture.loads(bronze)
+    for load in range(5):
+        got, want = fixture.load_arrivals(bronze, load), whole.where(F.col("load_no") == load)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert fixture.load_arrivals(bronze, 1).count() > ls.bronze.where(F.dayofmonth("ingestion_ts").between(9, 16)).count()
